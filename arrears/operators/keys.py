@@ -1,0 +1,32 @@
+"""Joins on composite contract keys where a null key is a key like any other."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
+            null_safe: Sequence[str] = ()) -> DataFrame:
+    """Equi-join on ``keys``; columns in ``null_safe`` match null to null.
+
+    The output keeps one copy of each key column (the left one, or the right
+    one for rows only the right side has in a full join).
+    """
+    keys = list(keys)
+    ns = [k for k in keys if k in set(null_safe)]
+    if not ns:
+        return left.join(right, keys, how)
+    renamed = {k: f"__r_{k}" for k in ns}
+    r = right.withColumnsRenamed(renamed)
+    plain = [k for k in keys if k not in renamed]
+    conds = [left[k].eqNullSafe(r[renamed[k]]) for k in ns] + [left[k] == r[k] for k in plain]
+    out = left.join(r, reduce(lambda a, b: a & b, conds), how)
+    for k in plain:
+        out = out.drop(r[k])
+    if how in ("full", "outer", "full_outer", "right", "right_outer"):
+        out = out.withColumns({k: F.coalesce(F.col(k), F.col(renamed[k])) for k in ns})
+    return out.drop(*renamed.values())
