@@ -71,7 +71,7 @@ def paid_by_reference(payments: DataFrame, cfg: RunConfig) -> DataFrame:
     keys = list(cfg.contract_keys)
     ref = F.col(REFERENCE)
     usable = valid_payments(payments, cfg).where(ref.isNotNull() & (F.trim(ref) != ""))
-    return usable.groupBy(*keys, REFERENCE).agg(F.sum("total_payment").alias("paid_amount"))
+    return usable.groupBy(*keys, REFERENCE).agg(F.sum("total_payment").cast(MONEY).alias("paid_amount"))
 
 
 def join_mode(schedule: DataFrame, payments: DataFrame, cfg: RunConfig) -> DataFrame:

@@ -182,3 +182,205 @@ SELECT borrower_contract_id,
        CAST(COALESCE(SUM(CASE WHEN join_dpd > 0 THEN join_arrears END), 0) AS {M}) AS join_arrears_total
 FROM d WHERE borrower_contract_id IS NOT NULL
 GROUP BY borrower_contract_id"""
+
+SQL["sanitize_schedule_raw"] = f"""WITH {ORACLE_CTES},
+raw AS (
+  SELECT id, company_code, borrower_contract_id,
+         CASE WHEN id % 97 = 0 THEN 'n/a' ELSE strftime(installment_date, '%Y-%m-%d') END AS date,
+         CAST(id % 100000 AS DOUBLE) AS ref,
+         CAST(gross_amount AS DOUBLE) AS gross_amount, principal_amount, interest_amount, tax_amount,
+         CASE WHEN id % 7 = 0 THEN NULL ELSE fee_amount END AS fee_amount
+  FROM schedule
+),
+t AS (
+  SELECT id, company_code, borrower_contract_id,
+         CASE WHEN ref = floor(ref) THEN CAST(CAST(ref AS BIGINT) AS VARCHAR) ELSE CAST(ref AS VARCHAR) END
+           AS borrower_installment_reference,
+         TRY_CAST(date AS DATE) AS installment_date,
+         CAST(gross_amount AS {M}) AS gross_amount,
+         CAST(0 AS {M}) AS guarantee_amount,
+         CAST(COALESCE(principal_amount, 0) AS {M}) AS principal_amount,
+         CAST(COALESCE(interest_amount, 0) AS {M}) AS interest_amount,
+         CAST(COALESCE(tax_amount, 0) AS {M}) AS tax_amount,
+         CAST(COALESCE(fee_amount, 0) AS {M}) AS fee_amount
+  FROM raw
+)
+SELECT id, company_code, borrower_contract_id, borrower_installment_reference, installment_date, gross_amount,
+       guarantee_amount,
+       CAST(CASE WHEN guarantee_amount + principal_amount + interest_amount + tax_amount + fee_amount = 0
+                      AND COALESCE(gross_amount, 0) > 0 THEN gross_amount ELSE principal_amount END AS {M})
+         AS principal_amount,
+       interest_amount, tax_amount, fee_amount
+FROM t"""
+
+_FALLBACK = ("(guarantee_amount + principal_amount + interest_amount + tax_amount + fee_amount = 0 "
+             "AND COALESCE(gross_amount, 0) > 0)")
+SQL["bucket_fallback"] = f"""WITH {ORACLE_CTES}
+SELECT company_code,
+       COUNT(*) FILTER (WHERE {_FALLBACK}) AS filled_rows,
+       CAST(SUM(CASE WHEN {_FALLBACK} THEN gross_amount END) AS {M}) AS filled_gross
+FROM schedule GROUP BY company_code"""
+
+SQL["rescue_reference"] = f"""WITH {ORACLE_CTES}
+SELECT id, borrower_contract_id, payment_date, total_payment, borrower_installment_reference FROM payments"""
+
+SQL["freshness_dates"] = f"""WITH {ORACLE_CTES},
+cm AS (SELECT * FROM (VALUES (1, 'AUTOMOBILE'), (2, 'BUILDING'), (3, 'FURNITURE'), (4, 'HOUSEHOLD'), (5, 'MACHINERY'))
+       AS t(company_id, company_code)),
+sd AS (SELECT company_code, MAX(installment_date) AS last_schedule_payment_date FROM schedule GROUP BY 1),
+pd AS (SELECT company_id, MAX(payment_date) AS last_payment_tape_date,
+              MAX(CASE WHEN total_payment > 0 THEN payment_date END) AS last_payment_date
+       FROM payments GROUP BY 1)
+SELECT cm.company_id, cm.company_code, sd.last_schedule_payment_date, pd.last_payment_tape_date, pd.last_payment_date
+FROM cm LEFT JOIN sd ON cm.company_code = sd.company_code LEFT JOIN pd ON cm.company_id = pd.company_id"""
+
+PREV = "DATE '1997-12-31'"
+
+SQL["current_dpd_by_contract"] = BASE + cascade_ctes() + """
+SELECT borrower_contract_id, MAX(dpd_current) AS dpd_credito FROM c GROUP BY 1"""
+
+SQL["max_dpd_by_contract"] = BASE + cascade_ctes() + cascade_ctes(calc=PREV, name="c0") + """
+SELECT c.borrower_contract_id, MAX(GREATEST(c.dpd_current, COALESCE(c0.dpd_current, 0))) AS max_tiempo_mora
+FROM c LEFT JOIN c0 ON c.id = c0.id AND c.borrower_contract_id = c0.borrower_contract_id
+                   AND c.installment_date = c0.installment_date
+GROUP BY 1"""
+
+SQL["run_counters"] = DETAIL + """
+SELECT COUNT(*) AS instalments, COUNT(DISTINCT borrower_contract_id) AS contracts,
+       COUNT(*) FILTER (WHERE cascade_dpd > 0) AS cascade_late,
+       COUNT(*) FILTER (WHERE join_dpd > 0) AS join_late
+FROM d"""
+
+_F_CUR = """,
+f AS (
+  SELECT borrower_contract_id, MAX(dpd_current) AS d, SUM(CASE WHEN dpd_current > 0 THEN amount_in_arrears END) AS arr
+  FROM c GROUP BY 1
+),
+f0 AS (SELECT borrower_contract_id, MAX(dpd_current) AS d FROM c0 GROUP BY 1),
+prev AS (SELECT lt.borrower_contract_id, MAX(CAST(COALESCE(f0.d, 0) AS INTEGER)) AS prev_max
+         FROM loan_tape lt LEFT JOIN f0 ON lt.borrower_contract_id = f0.borrower_contract_id GROUP BY 1)"""
+
+SQL["dpd_max_history"] = BASE + cascade_ctes() + cascade_ctes(calc=PREV, name="c0") + _F_CUR + f"""
+SELECT {LOAN_COLS},
+       CAST(COALESCE(f.d, 0) AS INTEGER) AS dpd_current,
+       CAST(GREATEST(COALESCE(f.d, 0), COALESCE(prev.prev_max, 0)) AS INTEGER) AS dpd_max,
+       CAST(COALESCE(f.arr, 0) AS {M}) AS amount_in_arrears
+FROM loan_tape lt
+LEFT JOIN f ON lt.borrower_contract_id = f.borrower_contract_id
+LEFT JOIN prev ON lt.borrower_contract_id = prev.borrower_contract_id"""
+
+_PV = (f"CAST(COALESCE(gross_amount, 0) AS DOUBLE) * (1.0 / pow(CAST({1.0 + INVESTOR_RATE!r} AS DOUBLE), "
+       f"CAST(date_diff('day', {CALC}, installment_date) AS DOUBLE) / 365.25))")
+
+SQL["enrich_loan_tape"] = BASE + cascade_ctes() + cascade_ctes(calc=PREV, name="c0") + _F_CUR + f""",
+tp AS (SELECT borrower_contract_id, SUM(total_payment) AS paid FROM payments WHERE total_payment > 0 GROUP BY 1),
+npv AS (SELECT borrower_contract_id, SUM({_PV}) AS pv FROM s WHERE installment_date > {CALC} GROUP BY 1)
+SELECT {LOAN_COLS},
+       CAST(COALESCE(f.d, 0) AS INTEGER) AS dpd_current,
+       CAST(GREATEST(COALESCE(f.d, 0), COALESCE(prev.prev_max, 0)) AS INTEGER) AS dpd_max,
+       CAST(COALESCE(f.arr, 0) AS {M}) AS amount_in_arrears,
+       CAST(COALESCE(tp.paid, 0) AS {M}) AS total_amount_paid,
+       round(COALESCE(npv.pv, 0.0), 2) AS vpn,
+       '1998-07-01T06:00:00+00:00' AS last_update_date,
+       'job-0001' AS payment_tape_ref
+FROM loan_tape lt
+LEFT JOIN f ON lt.borrower_contract_id = f.borrower_contract_id
+LEFT JOIN prev ON lt.borrower_contract_id = prev.borrower_contract_id
+LEFT JOIN tp ON lt.borrower_contract_id = tp.borrower_contract_id
+LEFT JOIN npv ON lt.borrower_contract_id = npv.borrower_contract_id"""
+
+SQL["companies_without_schedule"] = f"""WITH {ORACLE_CTES}
+SELECT lt.* FROM loan_tape lt
+WHERE NOT EXISTS (SELECT 1 FROM schedule s
+                  WHERE s.company_code <> 'MACHINERY' AND s.company_code = lt.company_code)"""
+
+# --- schedule generation -------------------------------------------------------
+
+TERMS = f"""WITH RECURSIVE {ORACLE_CTES},
+t1 AS (
+  SELECT borrower_contract_id, company_code, original_principal AS principal, num_installments AS n,
+         interest_rate AS annual_rate, first_installment_date,
+         COALESCE(CASE lower(trim(periodicity))
+                    WHEN 'monthly' THEN 'monthly' WHEN 'biweekly' THEN 'biweekly' WHEN 'weekly' THEN 'weekly'
+                    WHEN 'daily' THEN 'daily' WHEN 'mensual' THEN 'monthly' WHEN 'quincenal' THEN 'biweekly'
+                    WHEN 'semanal' THEN 'weekly' WHEN 'diario' THEN 'daily' WHEN 'm' THEN 'monthly'
+                    WHEN 'b' THEN 'biweekly' WHEN 'w' THEN 'weekly' WHEN 'd' THEN 'daily' END, 'monthly') AS periodicity
+  FROM loan_tape
+),
+t2 AS (
+  SELECT *, pow(1.0 + annual_rate, 1.0 / CASE periodicity WHEN 'monthly' THEN 12 WHEN 'biweekly' THEN 26
+                                                          WHEN 'weekly' THEN 52 ELSE 365 END) - 1.0 AS r
+  FROM t1
+),
+terms AS (
+  SELECT *, CAST(r AS DECIMAL(19,18)) AS rdec,
+         CASE WHEN r = 0
+              THEN CAST(CAST((2 * CAST(principal * 1000000 AS HUGEINT) + 10000 * n) // (20000 * n) AS DECIMAL(18,0))
+                        * 0.01 AS DECIMAL(18,2))
+              ELSE CAST(round(CAST(CAST(CAST(principal AS DOUBLE) * r / (1.0 - pow(1.0 + r, -CAST(n AS DOUBLE)))
+                                        AS VARCHAR) AS DECIMAL(38,18)), 2) AS DECIMAL(18,2)) END AS payment
+  FROM t2
+  WHERE principal IS NOT NULL AND n IS NOT NULL AND n <> 0 AND annual_rate IS NOT NULL
+    AND first_installment_date IS NOT NULL
+)"""
+
+SQL["period_rate"] = TERMS.replace("WITH RECURSIVE", "WITH") + """
+SELECT borrower_contract_id, periodicity, CAST(r AS DECIMAL(19,18)) AS period_rate FROM t2"""
+
+SQL["level_payment"] = TERMS.replace("WITH RECURSIVE", "WITH") + """
+SELECT borrower_contract_id, payment FROM terms"""
+
+_DUE = """CAST(CASE periodicity
+           WHEN 'biweekly' THEN first_installment_date + CAST(14 * (i - 1) AS INTEGER)
+           WHEN 'weekly' THEN first_installment_date + CAST(7 * (i - 1) AS INTEGER)
+           WHEN 'daily' THEN first_installment_date + CAST(i - 1 AS INTEGER)
+           ELSE CAST(first_installment_date + to_months(CAST(i - 1 AS INTEGER)) AS DATE) END AS DATE)"""
+
+SQL["due_dates"] = TERMS.replace("WITH RECURSIVE", "WITH") + f""",
+steps AS (SELECT borrower_contract_id, first_installment_date, periodicity, CAST(unnest(range(1, n + 1)) AS INTEGER) AS i
+          FROM terms WHERE n >= 1)
+SELECT borrower_contract_id, i AS installment_number, {_DUE} AS installment_date FROM steps"""
+
+SQL["generate_schedule"] = TERMS + f""",
+amort AS (
+  SELECT borrower_contract_id, company_code, first_installment_date, periodicity, n, rdec, payment,
+         0 AS i, CAST(principal AS DECIMAL(18,6)) AS bal,
+         CAST(NULL AS DECIMAL(18,2)) AS interest, CAST(NULL AS DECIMAL(18,6)) AS princ
+  FROM terms WHERE n >= 1
+  UNION ALL
+  SELECT borrower_contract_id, company_code, first_installment_date, periodicity, n, rdec, payment,
+         i + 1,
+         CAST(GREATEST(bal - CAST(CASE WHEN i + 1 < n
+                                       THEN GREATEST(payment - CAST(round(bal * rdec, 2) AS DECIMAL(18,2)), 0.01)
+                                       ELSE bal END AS DECIMAL(18,6)), 0) AS DECIMAL(18,6)),
+         CAST(round(bal * rdec, 2) AS DECIMAL(18,2)),
+         CAST(CASE WHEN i + 1 < n THEN GREATEST(payment - CAST(round(bal * rdec, 2) AS DECIMAL(18,2)), 0.01)
+                   ELSE bal END AS DECIMAL(18,6))
+  FROM amort WHERE i < n
+)
+SELECT company_code, borrower_contract_id,
+       CAST(i AS VARCHAR) AS borrower_installment_reference,
+       CAST(i AS INTEGER) AS installment_number,
+       {_DUE} AS installment_date,
+       CAST(round(princ + interest, 2) AS {M}) AS gross_amount,
+       CAST(0 AS {M}) AS guarantee_amount,
+       CAST(princ AS {M}) AS principal_amount,
+       CAST(interest AS {M}) AS interest_amount,
+       CAST(0 AS {M}) AS tax_amount,
+       CAST(0 AS {M}) AS fee_amount
+FROM amort WHERE i >= 1"""
+
+SQL["schedule_rejects"] = f"""WITH {ORACLE_CTES},
+m AS (
+  SELECT borrower_contract_id,
+         CASE WHEN CAST(borrower_contract_id AS BIGINT) % 97 = 0 THEN NULL ELSE original_principal END AS principal,
+         CAST(CAST(borrower_contract_id AS BIGINT) % 36 AS INTEGER) AS n
+  FROM loan_tape
+),
+e AS (
+  SELECT borrower_contract_id,
+         list_filter([CASE WHEN principal IS NULL THEN 'original_principal is not a number' END,
+                      CASE WHEN n = 0 THEN 'num_installments is zero' END], lambda x: x IS NOT NULL) AS errs
+  FROM m
+)
+SELECT borrower_contract_id, array_to_string(errs, '; ') AS errors FROM e WHERE len(errs) > 0"""

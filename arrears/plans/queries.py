@@ -6,6 +6,7 @@ column aliases match the SQL oracles in :mod:`arrears.plans.oracle`.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -133,3 +134,182 @@ def detail_both(spark, sf_dir):
 @query
 def summary_both(spark, sf_dir):
     return R.summary(R.detail(_sched(spark, sf_dir), _pays(spark, sf_dir), cfg(), with_contract_max=False))
+
+
+# --- cleaning --------------------------------------------------------------
+
+
+def raw_schedule(spark, sf_dir):
+    """The schedule as a spreadsheet would deliver it: text dates (some bad),
+    numeric references, float gross, null fees, no guarantee column."""
+    s = TD.schedule(spark, sf_dir)
+    return s.select(
+        "id",
+        "company_code",
+        "borrower_contract_id",
+        F.when(F.col("id") % 97 == 0, F.lit("n/a"))
+        .otherwise(F.date_format("installment_date", "yyyy-MM-dd"))
+        .alias("date"),
+        (F.col("id") % 100000).cast("double").alias("borrower_installment_reference"),
+        F.col("gross_amount").cast("double").alias("gross_amount"),
+        "principal_amount",
+        "interest_amount",
+        "tax_amount",
+        F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("fee_amount")).alias("fee_amount"),
+    )
+
+
+@query
+def sanitize_schedule_raw(spark, sf_dir):
+    return sanitize_schedule(raw_schedule(spark, sf_dir))
+
+
+@query
+def bucket_fallback(spark, sf_dir):
+    from arrears.operators.clean import needs_fallback
+
+    s = TD.schedule(spark, sf_dir)
+    return s.groupBy("company_code").agg(
+        F.count_if(needs_fallback()).alias("filled_rows"),
+        F.sum(F.when(needs_fallback(), F.col("gross_amount"))).cast("decimal(18,4)").alias("filled_gross"),
+    )
+
+
+@query
+def rescue_reference(spark, sf_dir):
+    from arrears.operators.clean import rescue_reference as rescue
+
+    p = TD.payments(spark, sf_dir)
+    raw = p.select(
+        "id", "borrower_contract_id", "payment_date", "total_payment",
+        F.lit(None).cast("string").alias("borrower_installment_reference"),
+        F.col("borrower_installment_reference").alias("_c5"),
+    )
+    return rescue(raw).drop("_c5")
+
+
+# --- reports -----------------------------------------------------------------
+
+
+@query
+def freshness_dates(spark, sf_dir):
+    return R.freshness(TD.schedule(spark, sf_dir), TD.payments(spark, sf_dir), company_map=TD.company_map(spark))
+
+
+def _instalment_dpd_history(spark, sf_dir):
+    """Per-instalment dpd_current at the cut-off and dpd_max over the previous and current runs."""
+    s, p = _sched(spark, sf_dir), _pays(spark, sf_dir)
+    now = A.cascade(s, p, cfg()).select("id", CONTRACT, "installment_date", "dpd_current")
+    before = A.cascade(s, p, RunConfig(calc_date=TD.PREVIOUS_CALC_DATE)).select(
+        "id", CONTRACT, "installment_date", F.col("dpd_current").alias("previous_dpd")
+    )
+    return now.join(before, ["id", CONTRACT, "installment_date"], "left").withColumn(
+        "dpd_max", F.greatest("dpd_current", F.coalesce("previous_dpd", F.lit(0)))
+    )
+
+
+@query
+def current_dpd_by_contract(spark, sf_dir):
+    return R.per_contract_max(A.cascade(_sched(spark, sf_dir), _pays(spark, sf_dir), cfg()), "dpd_current",
+                              "dpd_credito")
+
+
+@query
+def max_dpd_by_contract(spark, sf_dir):
+    return R.per_contract_max(_instalment_dpd_history(spark, sf_dir), "dpd_max", "max_tiempo_mora")
+
+
+@query
+def run_counters(spark, sf_dir):
+    return R.run_counters(R.detail(_sched(spark, sf_dir), _pays(spark, sf_dir), cfg(), with_contract_max=False))
+
+
+# --- enrichment --------------------------------------------------------------
+
+JOB_ID = "job-0001"
+UPDATED_AT = datetime.datetime(1998, 7, 1, 6, 0, tzinfo=datetime.timezone.utc)
+
+
+def _previous_output(spark, sf_dir):
+    return P.enrich(_loans(spark, sf_dir), CONTRACT, ["dpd"], RunConfig(calc_date=TD.PREVIOUS_CALC_DATE),
+                    _sched(spark, sf_dir), _pays(spark, sf_dir))
+
+
+@query
+def dpd_max_history(spark, sf_dir):
+    return P.enrich(_loans(spark, sf_dir), CONTRACT, ["dpd"], cfg(), _sched(spark, sf_dir), _pays(spark, sf_dir),
+                    previous=_previous_output(spark, sf_dir))
+
+
+@query
+def enrich_loan_tape(spark, sf_dir):
+    out = P.enrich(
+        _loans(spark, sf_dir), CONTRACT, ["vpn", "dpd", "total_amount"], cfg(),
+        _sched(spark, sf_dir), _pays(spark, sf_dir), interest_rate=TD.INVESTOR_RATE,
+        previous=_previous_output(spark, sf_dir),
+    )
+    return P.with_lineage(out, JOB_ID, UPDATED_AT)
+
+
+@query
+def companies_without_schedule(spark, sf_dir):
+    from arrears.operators.schedule import loans_without_schedule
+
+    sched = TD.schedule(spark, sf_dir).where(F.col("company_code") != "MACHINERY")
+    return loans_without_schedule(_loans(spark, sf_dir), sched)
+
+
+# --- schedule generation -----------------------------------------------------
+
+
+@query
+def period_rate(spark, sf_dir):
+    from arrears.operators.schedule import loan_terms
+
+    t = loan_terms(_loans(spark, sf_dir))
+    return t.select(CONTRACT, "periodicity", F.col("period_rate").cast("decimal(19,18)").alias("period_rate"))
+
+
+@query
+def level_payment(spark, sf_dir):
+    from arrears.operators.schedule import level_payment as pmt, loan_terms
+
+    t = loan_terms(_loans(spark, sf_dir)).where(F.size("errors") == 0)
+    return t.select(CONTRACT, pmt(F.col("principal"), F.col("period_rate"), F.col("num_installments")).alias("payment"))
+
+
+@query
+def due_dates(spark, sf_dir):
+    from arrears.functions.dates import due_date
+    from arrears.operators.schedule import loan_terms
+
+    t = loan_terms(_loans(spark, sf_dir)).where((F.size("errors") == 0) & (F.col("num_installments") >= 1))
+    steps = t.select(CONTRACT, "first_installment_date", "periodicity",
+                     F.explode(F.sequence(F.lit(1), F.col("num_installments"))).alias("installment_number"))
+    return steps.select(CONTRACT, "installment_number",
+                        due_date("first_installment_date", "periodicity", F.col("installment_number") - 1)
+                        .alias("installment_date"))
+
+
+@query
+def generate_schedule(spark, sf_dir):
+    from arrears.operators.schedule import generate_schedule as gen
+
+    return gen(_loans(spark, sf_dir)).drop("id")
+
+
+def messy_loans(spark, sf_dir):
+    """Loan tape with the faults generation must reject: zero terms, missing principals."""
+    lt = _loans(spark, sf_dir)
+    return lt.withColumns({
+        "num_installments": (F.col("borrower_contract_id").cast("long") % 36).cast("int"),
+        "original_principal": F.when(F.col("borrower_contract_id").cast("long") % 97 == 0, F.lit(None))
+        .otherwise(F.col("original_principal")),
+    })
+
+
+@query
+def schedule_rejects(spark, sf_dir):
+    from arrears.operators.schedule import schedule_rejects as rejects
+
+    return rejects(messy_loans(spark, sf_dir))
