@@ -384,3 +384,121 @@ e AS (
   FROM m
 )
 SELECT borrower_contract_id, array_to_string(errs, '; ') AS errors FROM e WHERE len(errs) > 0"""
+
+# --- classifier: positional statement of the rules (windows, LEAD, arg_min) ----
+
+CLASSIFY = BASE + f""",
+p AS (SELECT * FROM payments WHERE borrower_contract_id IS NOT NULL),
+pr AS (
+  SELECT borrower_contract_id, borrower_installment_reference,
+         SUM(total_payment) AS tp, COUNT(total_payment) AS np, COUNT(*) AS nrows, COUNT(payment_date) AS ndated,
+         MIN(year(payment_date) * 12 + month(payment_date)) AS ym_min,
+         MAX(year(payment_date) * 12 + month(payment_date)) AS ym_max
+  FROM p WHERE borrower_installment_reference IS NOT NULL GROUP BY 1, 2
+),
+o AS (
+  SELECT s.borrower_contract_id, s.borrower_installment_reference, s.installment_date, s.id, s.gross_amount AS g,
+         COALESCE(pr.tp, 0) AS tp, COALESCE(pr.np, 0) AS np,
+         ROW_NUMBER() OVER (PARTITION BY s.borrower_contract_id ORDER BY s.installment_date, s.id) - 1 AS pos,
+         COUNT(*) OVER (PARTITION BY s.borrower_contract_id) AS n
+  FROM s LEFT JOIN pr ON s.borrower_contract_id = pr.borrower_contract_id
+                     AND s.borrower_installment_reference = pr.borrower_installment_reference
+  WHERE s.installment_date <= {CALC} AND s.borrower_contract_id IS NOT NULL
+),
+of AS (
+  SELECT *,
+         COALESCE(ABS(tp - g) < 0.001, false) AS ex,
+         COALESCE(tp > 0 AND tp + 0.001 < g, false) AS pa,
+         COALESCE(tp = 0, false) AS un,
+         COALESCE(tp > g + 0.001, false) AS ov,
+         COALESCE(tp >= g - 0.001, false) AS co,
+         COALESCE((g - tp) > 0.001 AND (g - tp) < 1.0, false) AS ce,
+         CASE WHEN g = 0 THEN CASE WHEN tp > 0 THEN CAST('inf' AS DOUBLE) WHEN tp < 0 THEN CAST('-inf' AS DOUBLE) END
+              ELSE CAST(tp AS DOUBLE) / CAST(g AS DOUBLE) END AS ratio,
+         CAST(tp AS DOUBLE) / CAST(CASE WHEN g = 0 THEN 1 ELSE g END AS DOUBLE) AS ratio15,
+         LEAD(tp) OVER (PARTITION BY borrower_contract_id ORDER BY pos) AS next_tp,
+         LEAD(g) OVER (PARTITION BY borrower_contract_id ORDER BY pos) AS next_g
+  FROM o
+),
+agg AS (
+  SELECT borrower_contract_id, COUNT(*) AS n,
+         COUNT(*) FILTER (WHERE ex) AS ne, COUNT(*) FILTER (WHERE pa) AS npa, COUNT(*) FILTER (WHERE un) AS nu,
+         COUNT(*) FILTER (WHERE ov) AS no, COUNT(*) FILTER (WHERE co) AS nc,
+         MAX(np) AS max_np, BOOL_OR(ce) AS cents, MAX(ratio) AS ratio_max, BOOL_OR(ratio15 >= 1.9) AS dup15,
+         BOOL_OR(pos = n - 1 AND pa) AS last_pa,
+         COUNT(*) FILTER (WHERE ex AND pos < n - 1) AS ne_head,
+         COUNT(*) FILTER (WHERE ex AND pos > 0) AS ne_tail,
+         BOOL_OR(pos = 0 AND ex) AS first_ex, BOOL_OR(pos = 0 AND un) AS first_un,
+         COALESCE(BOOL_OR(g > 0 AND ratio >= 1.4 AND ratio <= 1.6 AND next_g IS NOT NULL AND next_tp + 0.001 < next_g),
+                  false) AS r9,
+         MIN(CASE WHEN NOT ex THEN pos END) AS first_not_ex,
+         MAX(CASE WHEN NOT un THEN pos END) AS last_not_un
+  FROM of GROUP BY 1
+),
+le AS (
+  SELECT p.borrower_contract_id,
+         COALESCE(BOOL_OR(p.payment_date > s.installment_date), false) AS late,
+         COALESCE(BOOL_OR(p.payment_date < s.installment_date), false) AS early
+  FROM p JOIN s ON p.borrower_contract_id = s.borrower_contract_id
+               AND p.borrower_installment_reference = s.borrower_installment_reference
+  GROUP BY 1
+),
+ofirst AS (SELECT borrower_contract_id, borrower_installment_reference, arg_min(g, pos) AS g_first FROM of GROUP BY 1, 2),
+tw AS (
+  SELECT ofirst.borrower_contract_id,
+         BOOL_OR(pr.nrows = 2 AND pr.ndated = 2 AND pr.ym_min = pr.ym_max AND ABS(pr.tp - ofirst.g_first) < 0.01) AS twice
+  FROM ofirst JOIN pr ON ofirst.borrower_contract_id = pr.borrower_contract_id
+                     AND ofirst.borrower_installment_reference = pr.borrower_installment_reference
+  GROUP BY 1
+),
+pc AS (SELECT borrower_contract_id, COUNT(*) AS n_pay, COALESCE(BOOL_OR(payment_date = {CALC}), false) AS on_cut
+       FROM p GROUP BY 1),
+k AS (SELECT DISTINCT borrower_contract_id FROM s WHERE borrower_contract_id IS NOT NULL),
+x AS (
+  SELECT k.borrower_contract_id, COALESCE(agg.n, 0) AS n, agg.ne, agg.npa, agg.nu, agg.no, agg.nc, agg.max_np,
+         agg.cents, agg.ratio_max, agg.dup15, agg.last_pa, agg.ne_head, agg.ne_tail, agg.first_ex, agg.first_un,
+         agg.r9, agg.first_not_ex, agg.last_not_un,
+         COALESCE(le.late, false) AS late, COALESCE(le.early, false) AS early,
+         COALESCE(tw.twice, false) AS twice, COALESCE(pc.n_pay, 0) AS n_pay, COALESCE(pc.on_cut, false) AS on_cut
+  FROM k LEFT JOIN agg USING (borrower_contract_id) LEFT JOIN le USING (borrower_contract_id)
+         LEFT JOIN tw USING (borrower_contract_id) LEFT JOIN pc USING (borrower_contract_id)
+),
+r AS (
+  SELECT borrower_contract_id, n, n_pay,
+         list_filter([
+           CASE WHEN ne = n AND NOT late AND NOT early AND no = 0 THEN 1 END,
+           CASE WHEN n >= 2 AND npa = 1 AND nu = 0 AND no = 0 AND last_pa AND ne_head = n - 1 THEN 2 END,
+           CASE WHEN nc = n AND late AND NOT early AND max_np <= 1 AND NOT twice AND NOT on_cut THEN 4 END,
+           CASE WHEN n >= 3 AND npa = 1 AND nu = 0 AND no = 0 AND NOT last_pa AND ne + npa = n AND NOT cents THEN 5 END,
+           CASE WHEN ne = n AND early AND NOT late AND no = 0 THEN 6 END,
+           CASE WHEN no = 1 AND npa = 0 AND nu = 0 AND ratio_max >= 1.001 AND ratio_max <= 1.4
+                     AND NOT late AND NOT early AND NOT on_cut THEN 7 END,
+           CASE WHEN npa >= 2 THEN 8 END,
+           CASE WHEN r9 THEN 9 END,
+           CASE WHEN twice THEN 10 END,
+           CASE WHEN ne = 1 AND nu >= 2 AND npa = 0 AND first_ex THEN 11 END,
+           CASE WHEN on_cut THEN 12 END,
+           CASE WHEN cents THEN 13 END,
+           CASE WHEN dup15 THEN 15 END,
+           CASE WHEN n >= 2 AND first_un AND ne_tail = n - 1 AND npa = 0 AND no = 0 THEN 16 END,
+           CASE WHEN ne >= 2 AND nu >= 1 AND npa = 0 AND no = 0 AND NOT late AND first_not_ex >= 2
+                     AND (last_not_un IS NULL OR last_not_un < first_not_ex) THEN 18 END
+         ], lambda v: v IS NOT NULL) AS matched
+  FROM x
+),
+lab AS (
+  SELECT borrower_contract_id,
+         CASE WHEN n = 0 THEN 'Sin clasificar'
+              WHEN n_pay = 0 THEN '3, 17'
+              WHEN len(matched) = 0 THEN 'Sin clasificar'
+              ELSE array_to_string(matched, ', ') END AS case_label
+  FROM r
+)"""
+
+SQL["classify_contracts"] = CLASSIFY + """
+SELECT borrower_contract_id, case_label FROM lab"""
+
+SQL["case_histogram"] = CLASSIFY + """
+SELECT trim(c) AS case_label, COUNT(*) AS contracts
+FROM (SELECT unnest(string_split(case_label, ',')) AS c FROM lab)
+GROUP BY 1"""

@@ -313,3 +313,20 @@ def schedule_rejects(spark, sf_dir):
     from arrears.operators.schedule import schedule_rejects as rejects
 
     return rejects(messy_loans(spark, sf_dir))
+
+
+# --- classifier --------------------------------------------------------------
+
+
+@query
+def classify_contracts(spark, sf_dir):
+    from arrears.operators.classify import classify_contracts as classify
+
+    return classify(_sched(spark, sf_dir), _pays(spark, sf_dir), TD.CALC_DATE).select(CONTRACT, "case_label")
+
+
+@query
+def case_histogram(spark, sf_dir):
+    from arrears.operators.classify import case_histogram as hist, classify_contracts as classify
+
+    return hist(classify(_sched(spark, sf_dir), _pays(spark, sf_dir), TD.CALC_DATE))

@@ -4,7 +4,8 @@ The driver data has no loan schema, so each query builds one from it:
 
 * loan tape   ← ``orders``   (one contract per order);
 * schedule    ← ``lineitem`` (one instalment per line item);
-* payment tape← ``lineitem`` (about 80% of the lines pay, in varied ways).
+* payment tape← ``lineitem`` (about 80% of the lines pay: half, 1.25×,
+  50 cents short, twice, a 10% reversal or exactly the gross).
 
 Every column is a pure function of one input row (no windows, no joins), so
 the mapping is a narrow projection that scales with the scan.  The same
@@ -73,7 +74,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     amount = (
         F.when(kind == 0, gross * F.lit(0.5).cast("decimal(2,1)"))
         .when(kind == 1, gross * F.lit(1.25).cast("decimal(3,2)"))
-        .when(kind == 2, F.lit(-0.5).cast("decimal(3,2)"))
+        .when(kind == 2, gross - F.lit(0.5).cast("decimal(3,2)"))
         .when(kind == 3, gross * F.lit(2))
         .when(kind == 4, gross * F.lit(-0.1).cast("decimal(2,1)"))
         .otherwise(gross)
@@ -158,7 +159,7 @@ payments AS (
     CAST(CASE l_suppkey % 8
            WHEN 0 THEN CAST(l_extendedprice AS DECIMAL(18,4)) * CAST(0.5 AS DECIMAL(2,1))
            WHEN 1 THEN CAST(l_extendedprice AS DECIMAL(18,4)) * CAST(1.25 AS DECIMAL(3,2))
-           WHEN 2 THEN CAST(-0.5 AS DECIMAL(3,2))
+           WHEN 2 THEN CAST(l_extendedprice AS DECIMAL(18,4)) - CAST(0.5 AS DECIMAL(3,2))
            WHEN 3 THEN CAST(l_extendedprice AS DECIMAL(18,4)) * 2
            WHEN 4 THEN CAST(l_extendedprice AS DECIMAL(18,4)) * CAST(-0.1 AS DECIMAL(2,1))
            ELSE CAST(l_extendedprice AS DECIMAL(18,4)) END AS DECIMAL(18,4)) AS total_payment
