@@ -502,3 +502,48 @@ SQL["case_histogram"] = CLASSIFY + """
 SELECT trim(c) AS case_label, COUNT(*) AS contracts
 FROM (SELECT unnest(string_split(case_label, ',')) AS c FROM lab)
 GROUP BY 1"""
+
+# --- requests ------------------------------------------------------------------
+
+_REQ = """WITH o AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, substr(o_orderpriority, 1, 1) AS digit,
+         o_orderkey % 101 = 0 AS malformed,
+         (['AUTOMOBILE','BUILDING','FURNITURE','HOUSEHOLD','MACHINERY'])[CAST(o_orderkey % 5 + 1 AS INTEGER)] AS company
+  FROM orders
+),
+v AS (
+  SELECT CASE WHEN malformed THEN NULL ELSE 'job-' || CAST(o_orderkey AS VARCHAR) END AS job_id,
+         malformed,
+         CASE WHEN malformed THEN 'malformed JSON'
+              ELSE concat_ws('; ', CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN 'unknown products: npv' END,
+                                   CASE WHEN digit = '5' THEN 'invalid rate_type: floating' END) END AS errors,
+         CASE WHEN NOT malformed AND o_orderstatus = 'O' AND o_custkey % 4 = 0
+              THEN 'vpn without interest_rate: no discount' ELSE '' END AS warnings
+  FROM o
+)"""
+
+SQL["parse_requests"] = _REQ + """
+SELECT CASE WHEN malformed THEN NULL ELSE 'job-' || CAST(o_orderkey AS VARCHAR) END AS job_id,
+       malformed,
+       CASE WHEN malformed THEN NULL ELSE 'LOAN_ENRICHER' END AS origin,
+       CASE WHEN malformed THEN NULL ELSE 'ARREARS_SERVICE' END AS target,
+       CASE WHEN malformed THEN NULL ELSE '/data/loans/' || company || '.parquet' END AS input_file,
+       CASE WHEN malformed THEN NULL ELSE '/data/out/' || company || '.parquet' END AS output_file,
+       CASE WHEN malformed THEN NULL ELSE 'borrower_contract_id' END AS key,
+       CASE WHEN malformed THEN NULL ELSE 'COMPANY' END AS target_type,
+       CASE WHEN malformed THEN NULL ELSE CAST(o_orderkey % 5 + 1 AS INTEGER) END AS target_id,
+       CASE WHEN malformed THEN 'fixed' WHEN digit = '5' THEN 'floating' WHEN digit = '3' THEN 'variable'
+            ELSE 'fixed' END AS rate_type,
+       CASE WHEN malformed THEN '' WHEN o_orderstatus = 'F' THEN 'dpd,total_amount'
+            WHEN o_orderstatus = 'O' THEN 'dpd,vpn' ELSE 'dpd,npv' END AS products,
+       CASE WHEN malformed OR o_custkey % 4 = 0 THEN NULL
+            ELSE CAST(CAST(0.01 AS DECIMAL(3,2)) * (o_custkey % 20) AS DOUBLE) END AS interest_rate,
+       CASE WHEN NOT malformed AND o_orderkey % 7 = 0 THEN CAST(0.8 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END
+         AS paid_threshold
+FROM o"""
+
+SQL["validate_requests"] = _REQ + """
+SELECT job_id, malformed, errors, warnings FROM v"""
+
+SQL["rejected_requests"] = _REQ + """
+SELECT job_id, errors FROM v WHERE errors <> ''"""

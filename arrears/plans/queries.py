@@ -330,3 +330,106 @@ def case_histogram(spark, sf_dir):
     from arrears.operators.classify import case_histogram as hist, classify_contracts as classify
 
     return hist(classify(_sched(spark, sf_dir), _pays(spark, sf_dir), TD.CALC_DATE))
+
+
+# --- requests and the stream -------------------------------------------------
+
+_PARSED = ["job_id", "malformed", "origin", "target", "input_file", "output_file", "key", "target_type",
+           "target_id", "rate_type", "interest_rate", "paid_threshold"]
+
+
+def _validated_orders(spark, sf_dir):
+    from arrears.streaming.requests import parse_requests as parse, validate_requests as validate
+
+    return validate(parse(TD.order_requests(spark, sf_dir)))
+
+
+@query
+def parse_requests(spark, sf_dir):
+    from arrears.streaming.requests import parse_requests as parse
+
+    p = parse(TD.order_requests(spark, sf_dir))
+    return p.select(*_PARSED, F.array_join("products", ",").alias("products"))
+
+
+@query
+def validate_requests(spark, sf_dir):
+    v = _validated_orders(spark, sf_dir)
+    return v.select("job_id", "malformed", F.array_join("errors", "; ").alias("errors"),
+                    F.array_join("warnings", "; ").alias("warnings"))
+
+
+@query
+def rejected_requests(spark, sf_dir):
+    from arrears.streaming.requests import split_valid
+
+    _, rejected = split_valid(_validated_orders(spark, sf_dir))
+    return rejected.select("job_id", F.array_join("errors", "; ").alias("errors"))
+
+
+@query
+def dedup_requests(spark, sf_dir):
+    from arrears.streaming.requests import dedup_requests as dedup
+
+    bodies = TD.order_requests(spark, sf_dir)
+    resent = bodies.where(F.length("body") % 3 == 0)  # every third body arrives twice
+    return dedup(bodies.unionByName(resent)).select("body_hash", "body")
+
+
+def _scratch(spark, name):
+    import uuid
+
+    from arrears.session import scratch_path
+
+    return scratch_path(spark, "queries", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@query
+def build_responses(spark, sf_dir):
+    from arrears.streaming.requests import build_responses as respond, parse_requests as parse
+
+    cm = TD.company_map(spark)
+    bodies = cm.select(TD.company_requests("/data/loans/portfolio.parquet", "/data/out").alias("body"))
+    fresh = R.freshness(_sched(spark, sf_dir), _pays(spark, sf_dir), company_map=cm)
+    return respond(parse(bodies), fresh.drop("company_code"), TD.SERVICE_NAME)
+
+
+@query
+def requests_stream(spark, sf_dir):
+    """Per-company requests dropped as a file, served by the stream (availableNow)."""
+    from arrears.plans.service import PortfolioSources
+    from arrears.streaming.service import start_request_service
+
+    base = _scratch(spark, "stream")
+    tape = f"{base}/in/portfolio.parquet"
+    _loans(spark, sf_dir).write.mode("overwrite").parquet(tape)
+    cm = TD.company_map(spark)
+    cm.select(TD.company_requests(tape, f"{base}/out").alias("body")).coalesce(1).write.text(f"{base}/requests")
+    src = PortfolioSources(_sched(spark, sf_dir), _pays(spark, sf_dir), company_map=cm)
+    q = start_request_service(spark, f"{base}/requests", f"{base}/checkpoint", src, f"{base}/responses",
+                              f"{base}/rejects", TD.SERVICE_NAME, calc_date=TD.CALC_DATE)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/responses")
+
+
+@query
+def load_loan_tape(spark, sf_dir):
+    """Loan tape written as CSV and read back by extension (types inferred)."""
+    from arrears.sources.loan_tape import read_loan_tape
+
+    path = _scratch(spark, "tape") + "/loan_tape.csv"
+    _loans(spark, sf_dir).write.option("header", True).csv(path)
+    return read_loan_tape(spark, path)
+
+
+@query
+def schedule_append_idempotent(spark, sf_dir):
+    """A generated schedule appended twice to a table holds each instalment once."""
+    from arrears.operators.schedule import generate_schedule as gen
+    from arrears.sources.loan_tape import append_schedule
+
+    table = _scratch(spark, "schedule_table")
+    generated = gen(_loans(spark, sf_dir))
+    append_schedule(generated, table)
+    append_schedule(gen(_loans(spark, sf_dir)), table, existing=spark.read.parquet(table))
+    return spark.read.parquet(table)

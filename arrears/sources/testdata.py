@@ -181,3 +181,82 @@ loan_tape AS (
       ELSE NULL END AS periodicity
   FROM orders
 )"""
+
+
+# --- request messages derived from the tables ----------------------------------
+
+REQUEST_ORIGIN = "LOAN_ENRICHER"
+SERVICE_NAME = "ARREARS_SERVICE"
+
+
+def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request body per order, with the faults the validator must catch.
+
+    Products by order status (F: dpd+total_amount, O: dpd+vpn, else an
+    unknown product), rate type by priority digit (5: invalid, 4: omitted,
+    3: variable), no discount rate for every fourth customer, a 0.8 paid
+    threshold for every seventh order, target ids as text for every third
+    customer, and every 101st body cut short.
+    """
+    o = _read(spark, sf_dir, "orders")
+    digit = F.substring("o_orderpriority", 1, 1)
+    company = _company_code(F.col("o_orderkey"))
+    products = (
+        F.when(F.col("o_orderstatus") == "F", F.array(F.lit("dpd"), F.lit("total_amount")))
+        .when(F.col("o_orderstatus") == "O", F.array(F.lit("dpd"), F.lit("vpn")))
+        .otherwise(F.array(F.lit("dpd"), F.lit("npv")))
+    )
+    rate_type = (
+        F.when(digit == "5", F.lit("floating")).when(digit == "4", F.lit(None))
+        .when(digit == "3", F.lit("variable")).otherwise(F.lit("fixed"))
+    )
+    meta = F.struct(
+        products.alias("products"),
+        F.when(F.col("o_custkey") % 4 == 0, F.lit(None))
+        .otherwise((F.lit(0.01).cast("decimal(3,2)") * (F.col("o_custkey") % 20)).cast("double"))
+        .alias("interest_rate"),
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit(0.8)).alias("paid_threshold"),
+    )
+    body = F.to_json(
+        F.struct(
+            F.lit(REQUEST_ORIGIN).alias("origin"),
+            F.lit(SERVICE_NAME).alias("target"),
+            F.concat(F.lit("job-"), F.col("o_orderkey").cast("string")).alias("job_id"),
+            F.concat(F.lit("/data/loans/"), company, F.lit(".parquet")).alias("input_file"),
+            F.concat(F.lit("/data/out/"), company, F.lit(".parquet")).alias("output_file"),
+            F.lit("borrower_contract_id").alias("key"),
+            F.lit("COMPANY").alias("target_type"),
+            (F.col("o_orderkey") % 5 + 1).cast("string").alias("target_id"),
+            rate_type.alias("rate_type"),
+            meta.alias("metadata"),
+        )
+    )
+    body = F.when(F.col("o_custkey") % 3 == 0, body).otherwise(
+        F.regexp_replace(body, '"target_id":"([0-9]+)"', '"target_id":$1')
+    )
+    cut = F.expr("substring(__b, 1, length(__b) - 7)")
+    return (
+        o.select("o_orderkey", body.alias("__b"))
+        .select(F.when(F.col("o_orderkey") % 101 == 0, cut).otherwise(F.col("__b")).alias("body"))
+    )
+
+
+def company_requests(loan_tape_path: str, out_base: str, calc_products=("dpd", "total_amount", "vpn")):
+    """Column expressions for one request per company (used with the company map)."""
+    meta = F.struct(
+        F.array(*[F.lit(p) for p in calc_products]).alias("products"),
+        F.lit(INVESTOR_RATE).alias("interest_rate"),
+    )
+    return F.to_json(
+        F.struct(
+            F.lit(REQUEST_ORIGIN).alias("origin"),
+            F.lit(SERVICE_NAME).alias("target"),
+            F.concat(F.lit("run-"), F.col("company_code")).alias("job_id"),
+            F.lit(loan_tape_path).alias("input_file"),
+            F.concat(F.lit(out_base.rstrip("/") + "/"), F.col("company_code"), F.lit(".parquet")).alias("output_file"),
+            F.lit("borrower_contract_id").alias("key"),
+            F.lit("COMPANY").alias("target_type"),
+            F.col("company_id").alias("target_id"),
+            meta.alias("metadata"),
+        )
+    )
