@@ -60,7 +60,8 @@ def sanitize_schedule(df: DataFrame, bucket_fallback: bool = True) -> DataFrame:
     * ``date`` or ``installment_date`` is parsed tolerantly into
       ``installment_date``;
     * missing or null component columns become 0;
-    * a missing id column is filled with a unique id, single null ids too;
+    * a missing id column, or a single null id, is filled with a hash of
+      (contract, due date, reference, gross);
     * with ``bucket_fallback``, rows whose components sum to 0 but whose
       gross is positive get ``principal_amount = gross_amount``.
     """
@@ -74,10 +75,14 @@ def sanitize_schedule(df: DataFrame, bucket_fallback: bool = True) -> DataFrame:
         out = out.withColumn(REFERENCE, reference_text(df, REFERENCE))
     else:
         out = out.withColumn(REFERENCE, F.lit(None).cast("string"))
+    # Missing ids get a deterministic stand-in (a hash of the row's identity)
+    # so that retries and re-reads give the same value and filters still
+    # reach the scan (a nondeterministic id would block pushdown).
+    fill = F.xxhash64("borrower_contract_id", "installment_date", REFERENCE, "gross_amount")
     if "id" in df.columns:
-        out = out.withColumn("id", F.coalesce(F.col("id").try_cast("long"), F.monotonically_increasing_id() + 1))
+        out = out.withColumn("id", F.coalesce(F.col("id").try_cast("long"), fill))
     else:
-        out = out.withColumn("id", F.monotonically_increasing_id() + 1)
+        out = out.withColumn("id", fill)
     buckets = {
         b: (money_or_zero(b, df.schema[b].dataType) if b in df.columns else F.lit(0).cast(MONEY))
         for b in SCHEDULE_BUCKETS
