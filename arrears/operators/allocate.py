@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from arrears.config import REFERENCE, SCHEDULE_BUCKETS, RunConfig
 from arrears.functions.dates import days_past_due
 from arrears.operators.clean import valid_instalments, valid_payments
-from arrears.operators.ordered import running_before
+from arrears.operators.ordered import from_units, running_before, units
 from arrears.schemas import MONEY
 
 
@@ -24,6 +24,12 @@ def owed() -> Column:
     return sum(parts[1:], parts[0])
 
 
+def owed_units() -> Column:
+    """:func:`owed` in money units (exact, 64-bit)."""
+    parts = [F.greatest(units(F.col(b)), F.lit(0)) for b in SCHEDULE_BUCKETS]
+    return sum(parts[1:], parts[0])
+
+
 def _outcome(df: DataFrame, applied: Column, paid: Column, cfg: RunConfig) -> DataFrame:
     gross = F.col("gross_amount")
     return df.withColumns(
@@ -37,9 +43,9 @@ def _outcome(df: DataFrame, applied: Column, paid: Column, cfg: RunConfig) -> Da
 
 
 def payment_pools(payments: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Σ usable payments per contract (map-side combined aggregate)."""
+    """Σ usable payments per contract, in money units (map-side combined aggregate)."""
     keys = list(cfg.contract_keys)
-    return valid_payments(payments, cfg).groupBy(*keys).agg(F.sum("total_payment").alias("__pool"))
+    return valid_payments(payments, cfg).groupBy(*keys).agg(F.sum(units(F.col("total_payment"))).alias("__pool"))
 
 
 def cascade(schedule: DataFrame, payments: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -52,13 +58,13 @@ def cascade(schedule: DataFrame, payments: DataFrame, cfg: RunConfig) -> DataFra
     them, so the instalment total is all the outcome needs.
     """
     keys = list(cfg.contract_keys)
-    inst = valid_instalments(schedule).withColumn("__owed", owed())
+    inst = valid_instalments(schedule).withColumn("__owed", owed_units())
     rows = running_before(
         inst, keys, "installment_date", "id", {"__before": F.col("__owed")}, per_key=payment_pools(payments, cfg)
     )
     pool = F.coalesce(F.col("__pool"), F.lit(0))
-    applied = F.greatest(F.lit(0), F.least(F.col("__owed"), pool - F.col("__before"))).cast(MONEY)
-    rows = rows.withColumn("applied_amount", applied)
+    applied = F.greatest(F.lit(0), F.least(F.col("__owed"), pool - F.col("__before")))
+    rows = rows.withColumn("applied_amount", from_units(applied))
     if cfg.partial_payment_counts:
         paid = F.col("applied_amount") > 0
     else:

@@ -4,25 +4,43 @@ A window partitioned by contract alone sends every row of a contract to one
 task, so one very large contract (or a third of all rows under one key) would
 run on a single core.  The sums here are computed in two levels instead:
 
-1. rows are pre-aggregated per (contract, day) with partial (map-side)
-   aggregation, and the running sum over *days* is a window over that per-day
-   table.  A contract has at most one row per calendar day in it, so the
-   window's partition size is bounded by the calendar, not by data volume;
-2. rows are joined back to their day on (contract, day) and the remainder
-   within the day comes from a window partitioned by (contract, day), which
-   reuses the join's hash partitioning (no extra shuffle).
+1. the rows are hash-partitioned once on (contract, day); per-(contract,
+   day) totals are aggregated from that same exchange, and the running sum
+   over *days* is a window over this per-day table.  A contract has at most
+   one row per calendar day in it, so that window's partition size is
+   bounded by the calendar, not by data volume;
+2. the per-day prefix is joined back on (contract, day) and the remainder
+   within the day comes from a window partitioned by (contract, day); both
+   reuse the rows' partitioning, so the rows are scanned and shuffled once.
 
 An optional per-contract table (e.g. the payment pool) is attached at the day
-level, so it is joined to the small per-day table instead of to every row.
+level, so it is joined to the per-day table instead of to every row.
+
+Sums are taken over 64-bit integers: callers pass exact money as unscaled
+units (see :func:`units`), which keeps the window and aggregate buffers on
+Spark's fixed-width fast path instead of wide decimals.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+MONEY_SCALE = 4
+
 
+def units(c: Column, scale: int = MONEY_SCALE) -> Column:
+    """Exact ``decimal(p, scale)`` → unscaled ``long`` (amount × 10^scale)."""
+    return (c * F.lit(10**scale)).cast("long")
+
+
+def from_units(c: Column, scale: int = MONEY_SCALE) -> Column:
+    """Unscaled ``long`` → ``decimal(18, scale)``."""
+    return (c.cast(T.DecimalType(18, 0)) * F.lit(Decimal(1).scaleb(-scale))).cast(T.DecimalType(18, scale))
 
 
 def running_before(
@@ -35,21 +53,20 @@ def running_before(
 ) -> DataFrame:
     """Add ``name`` = Σ value over rows of the same key strictly before the row.
 
+    ``values`` are integer columns (counts, or money as :func:`units`).
     Order is ``(day, tiebreak)`` ascending.  Rows with a null day or a null
     key are dropped (callers keep them aside).  Columns of ``per_key`` (one
     row per key) are added to every row, null when the key is absent there.
-
-    Joins are plain equi-joins so that the (key, day) hash partitioning of
-    the row join is the one the within-day window needs.
     """
     keys = list(keys)
     tmp = {name: f"__v_{name}" for name in values}
     present = F.col(day).isNotNull()
     for k in keys:
         present = present & F.col(k).isNotNull()
-    base = df.where(present).withColumns({tmp[n]: c for n, c in values.items()})
+    rows = df.where(present).withColumns({tmp[n]: c.cast("long") for n, c in values.items()})
+    rows = rows.repartition(*keys, day)  # the one shuffle of the rows
 
-    per_day = base.groupBy(*keys, day).agg(*[F.sum(tmp[n]).alias(tmp[n]) for n in values])
+    per_day = rows.groupBy(*keys, day).agg(*[F.sum(tmp[n]).alias(tmp[n]) for n in values])
     if per_key is not None:
         per_day = per_day.join(per_key, keys, "left")
     w_days = Window.partitionBy(*keys).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
@@ -61,9 +78,9 @@ def running_before(
         *[F.coalesce(F.sum(tmp[n]).over(w_days), F.lit(0)).alias(f"__d_{n}") for n in values],
     )
 
-    rows = base.join(per_day, [*keys, day], "inner")
+    out = rows.join(per_day, [*keys, day], "inner")
     w_in_day = Window.partitionBy(*keys, day).orderBy(tiebreak).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumns(
+    out = out.withColumns(
         {n: F.col(f"__d_{n}") + F.coalesce(F.sum(tmp[n]).over(w_in_day), F.lit(0)) for n in values}
     )
-    return rows.drop(*tmp.values(), *[f"__d_{n}" for n in values])
+    return out.drop(*tmp.values(), *[f"__d_{n}" for n in values])
