@@ -4,14 +4,15 @@ A window partitioned by contract alone sends every row of a contract to one
 task, so one very large contract (or a third of all rows under one key) would
 run on a single core.  The sums here are computed in two levels instead:
 
-1. the rows are hash-partitioned once on (contract, day); per-(contract,
-   day) totals are aggregated from that same exchange, and the running sum
-   over *days* is a window over this per-day table.  A contract has at most
-   one row per calendar day in it, so that window's partition size is
-   bounded by the calendar, not by data volume;
-2. the per-day prefix is joined back on (contract, day) and the remainder
-   within the day comes from a window partitioned by (contract, day); both
-   reuse the rows' partitioning, so the rows are scanned and shuffled once.
+1. per-(contract, day) totals are aggregated with partial (map-side)
+   aggregation, so only one row per contract, day and map task crosses the
+   network, and the running sum over *days* is a window over this per-day
+   table.  A contract has at most one row per calendar day in it, so that
+   window's partition size is bounded by the calendar, not by data volume;
+2. the rows are hash-partitioned once on (contract, day); the per-day prefix
+   is joined on those keys and the remainder within the day comes from a
+   window partitioned by (contract, day), both on the rows' partitioning,
+   so the rows themselves are shuffled exactly once.
 
 An optional per-contract table (e.g. the payment pool) is attached at the day
 level, so it is joined to the per-day table instead of to every row.
@@ -63,10 +64,9 @@ def running_before(
     present = F.col(day).isNotNull()
     for k in keys:
         present = present & F.col(k).isNotNull()
-    rows = df.where(present).withColumns({tmp[n]: c.cast("long") for n, c in values.items()})
-    rows = rows.repartition(*keys, day)  # the one shuffle of the rows
+    base = df.where(present).withColumns({tmp[n]: c.cast("long") for n, c in values.items()})
 
-    per_day = rows.groupBy(*keys, day).agg(*[F.sum(tmp[n]).alias(tmp[n]) for n in values])
+    per_day = base.groupBy(*keys, day).agg(*[F.sum(tmp[n]).alias(tmp[n]) for n in values])
     if per_key is not None:
         per_day = per_day.join(per_key, keys, "left")
     w_days = Window.partitionBy(*keys).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
@@ -78,6 +78,7 @@ def running_before(
         *[F.coalesce(F.sum(tmp[n]).over(w_days), F.lit(0)).alias(f"__d_{n}") for n in values],
     )
 
+    rows = base.repartition(*keys, day)  # the one shuffle of the rows
     out = rows.join(per_day, [*keys, day], "inner")
     w_in_day = Window.partitionBy(*keys, day).orderBy(tiebreak).rowsBetween(Window.unboundedPreceding, -1)
     out = out.withColumns(
