@@ -197,3 +197,9 @@ def case_histogram(classified: DataFrame) -> DataFrame:
     return classified.select(F.explode(labels).alias("case_label")).groupBy("case_label").agg(
         F.count(F.lit(1)).alias("contracts")
     )
+
+
+def attach_cases(df: DataFrame, classified: DataFrame, column: str = "case") -> DataFrame:
+    """Add each contract's case label (detail or summary rows; one label row per contract)."""
+    labels = classified.select(CONTRACT, F.col("case_label").alias(column))
+    return df.join(labels, CONTRACT, "left")

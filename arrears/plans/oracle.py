@@ -183,7 +183,7 @@ SELECT borrower_contract_id,
 FROM d WHERE borrower_contract_id IS NOT NULL
 GROUP BY borrower_contract_id"""
 
-SQL["sanitize_schedule_raw"] = f"""WITH {ORACLE_CTES},
+SQL["sanitize_schedule"] = f"""WITH {ORACLE_CTES},
 raw AS (
   SELECT id, company_code, borrower_contract_id,
          CASE WHEN id % 97 = 0 THEN 'n/a' ELSE strftime(installment_date, '%Y-%m-%d') END AS date,
@@ -547,3 +547,31 @@ SELECT job_id, malformed, errors, warnings FROM v"""
 
 SQL["rejected_requests"] = _REQ + """
 SELECT job_id, errors FROM v WHERE errors <> ''"""
+
+_DETAIL_TAIL = DETAIL[len(BASE):]
+_CLASSIFY_TAIL = CLASSIFY[len(BASE):]
+
+SQL["summary_with_cases"] = BASE + _DETAIL_TAIL + _CLASSIFY_TAIL + f""",
+summ AS (
+  SELECT borrower_contract_id,
+         COUNT(id) AS cuotas,
+         MAX(cascade_dpd) AS cascade_dpd_max,
+         CAST(COALESCE(SUM(CASE WHEN cascade_dpd > 0 THEN cascade_arrears END), 0) AS {M}) AS cascade_arrears_total,
+         MAX(join_dpd) AS join_dpd_max,
+         CAST(COALESCE(SUM(CASE WHEN join_dpd > 0 THEN join_arrears END), 0) AS {M}) AS join_arrears_total
+  FROM d WHERE borrower_contract_id IS NOT NULL
+  GROUP BY borrower_contract_id
+)
+SELECT summ.*, lab.case_label AS "case"
+FROM summ LEFT JOIN lab ON summ.borrower_contract_id = lab.borrower_contract_id"""
+
+SQL["generation_gate"] = f"""WITH {ORACLE_CTES},
+cm AS (SELECT * FROM (VALUES (1, 'AUTOMOBILE'), (2, 'BUILDING'), (3, 'FURNITURE'), (4, 'HOUSEHOLD'), (5, 'MACHINERY'))
+       AS t(company_id, company_code)),
+sc AS (SELECT DISTINCT company_code FROM schedule
+       WHERE company_code NOT IN ('MACHINERY', 'HOUSEHOLD') AND company_code IS NOT NULL)
+SELECT cm.company_id, cm.company_code,
+       CASE WHEN cm.company_id % 2 = 0 THEN 'variable' ELSE 'fixed' END AS rate_type,
+       CASE WHEN sc.company_code IS NOT NULL THEN 'use_schedule'
+            WHEN cm.company_id % 2 = 0 THEN 'reject' ELSE 'generate' END AS decision
+FROM cm LEFT JOIN sc ON cm.company_code = sc.company_code"""

@@ -23,9 +23,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(fn: Query | None = None, *, name: str | None = None):
+    def register(f: Query) -> Query:
+        QUERIES[name or f.__name__] = f
+        return f
+
+    return register(fn) if fn is not None else register
 
 
 def cfg(**kw) -> RunConfig:
@@ -159,7 +162,7 @@ def raw_schedule(spark, sf_dir):
     )
 
 
-@query
+@query(name="sanitize_schedule")
 def sanitize_schedule_raw(spark, sf_dir):
     return sanitize_schedule(raw_schedule(spark, sf_dir))
 
@@ -433,3 +436,38 @@ def schedule_append_idempotent(spark, sf_dir):
     append_schedule(generated, table)
     append_schedule(gen(_loans(spark, sf_dir)), table, existing=spark.read.parquet(table))
     return spark.read.parquet(table)
+
+
+@query
+def summary_with_cases(spark, sf_dir):
+    """Run summary with each contract's case label attached."""
+    from arrears.operators.classify import attach_cases, classify_contracts as classify
+
+    s, p = _sched(spark, sf_dir), _pays(spark, sf_dir)
+    summ = R.summary(R.detail(s, p, cfg(), with_contract_max=False), ordered=False)
+    return attach_cases(summ, classify(s, p, TD.CALC_DATE))
+
+
+@query
+def generation_gate(spark, sf_dir):
+    """Per company request: use the stored schedule, generate one (fixed rate) or reject (variable)."""
+    from arrears.operators.schedule import schedule_gate
+
+    cm = TD.company_map(spark)
+    requests = cm.select("company_id", "company_code",
+                         F.when(F.col("company_id") % 2 == 0, F.lit("variable")).otherwise(F.lit("fixed"))
+                         .alias("rate_type"))
+    sched = TD.schedule(spark, sf_dir).where(~F.col("company_code").isin("MACHINERY", "HOUSEHOLD"))
+    return schedule_gate(requests, sched)
+
+
+@query
+def export_detail_summary(spark, sf_dir):
+    """Detail and summary written side by side; the summary part read back."""
+    from arrears.sources.loan_tape import export_two_part
+
+    base = _scratch(spark, "export")
+    s, p = _sched(spark, sf_dir), _pays(spark, sf_dir)
+    d = R.detail(s, p, cfg())
+    export_two_part(d, R.summary(d, ordered=False), base)
+    return spark.read.parquet(f"{base}/summary")
