@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from arrears.config import CONTRACT, REFERENCE, UNCLASSIFIED
 from arrears.operators.ordered import running_before
+from arrears.session import ensure_checkpoint_dir
 
 # Tolerances and ratio bounds of the case rules.
 TOL = 0.001  # equality tolerance between paid and gross
@@ -70,7 +71,10 @@ def contract_features(schedule: DataFrame, payments: DataFrame, calc_date: _dt.d
     s = schedule.where(F.col(CONTRACT).isNotNull())
     p = payments.where(F.col(CONTRACT).isNotNull())
     ym = F.year("payment_date") * 12 + F.month("payment_date")
-    by_ref = p.where(F.col(REFERENCE).isNotNull()).groupBy(CONTRACT, REFERENCE).agg(
+    # One reduction of the payments per (contract, reference) serves every
+    # payment-side test; the null reference is a group of its own here (it
+    # never matches an instalment, but counts for the contract's totals).
+    by_ref = p.groupBy(CONTRACT, REFERENCE).agg(
         F.sum("total_payment").alias("tp"),
         F.count("total_payment").alias("np"),
         F.count(F.lit(1)).alias("nrows"),
@@ -79,7 +83,13 @@ def contract_features(schedule: DataFrame, payments: DataFrame, calc_date: _dt.d
         F.max(ym).alias("ym_max"),
         F.min("payment_date").alias("pmin"),
         F.max("payment_date").alias("pmax"),
+        F.bool_or(F.col("payment_date") == calc).alias("ref_on_cut"),
     )
+    # Both intermediates below feed several reductions; each is materialised
+    # once in the shared checkpoint folder instead of being recomputed (with
+    # its scans and shuffles) by every consumer.
+    ensure_checkpoint_dir(s.sparkSession)
+    by_ref = by_ref.checkpoint(eager=True)
 
     overdue = (
         s.where(F.col("installment_date") <= calc)
@@ -87,7 +97,7 @@ def contract_features(schedule: DataFrame, payments: DataFrame, calc_date: _dt.d
         .join(by_ref.select(CONTRACT, REFERENCE, "tp", "np"), [CONTRACT, REFERENCE], "left")
         .withColumns({"tp": F.coalesce("tp", F.lit(0)), "np": F.coalesce("np", F.lit(0))})
     )
-    o = _flags(running_before(overdue, [CONTRACT], "installment_date", "id", {"pos": F.lit(1)}))
+    o = _flags(running_before(overdue, [CONTRACT], "installment_date", "id", {"pos": F.lit(1)})).checkpoint(eager=True)
 
     lo, hi = MODEST_OVERPAY
     main = o.groupBy(CONTRACT).agg(
@@ -114,7 +124,7 @@ def contract_features(schedule: DataFrame, payments: DataFrame, calc_date: _dt.d
     rule9 = cand.join(short, [CONTRACT, "pos"]).select(CONTRACT).distinct().withColumn("r9", F.lit(True))
 
     # Late / early: some payment after / before a due date of its reference.
-    s_rng = s.where(F.col(REFERENCE).isNotNull()).groupBy(CONTRACT, REFERENCE).agg(
+    s_rng = s.groupBy(CONTRACT, REFERENCE).agg(
         F.min("installment_date").alias("smin"), F.max("installment_date").alias("smax")
     )
     late_early = (
@@ -133,10 +143,8 @@ def contract_features(schedule: DataFrame, payments: DataFrame, calc_date: _dt.d
         .select(CONTRACT).distinct().withColumn("twice", F.lit(True))
     )
 
-    pay = p.groupBy(CONTRACT).agg(
-        F.count(F.lit(1)).alias("n_pay"), F.bool_or(F.col("payment_date") == calc).alias("on_cut")
-    )
-    contracts = s.select(CONTRACT).distinct()
+    pay = by_ref.groupBy(CONTRACT).agg(F.sum("nrows").alias("n_pay"), F.bool_or("ref_on_cut").alias("on_cut"))
+    contracts = s_rng.select(CONTRACT).distinct()
     out = contracts
     for t in (main, late_early, twice, rule9, pay):
         out = out.join(t, CONTRACT, "left")
