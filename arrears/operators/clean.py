@@ -157,3 +157,10 @@ def valid_payments(df: DataFrame, cfg: RunConfig) -> DataFrame:
     if cfg.payments_as_of is not None:
         cond = cond & (F.col("payment_date") <= F.lit(cfg.payments_as_of))
     return df.where(cond)
+
+
+def component_mismatch() -> Column:
+    """Components that do not add up to gross (the cascade caps what it applies
+    at their sum but compares with gross, so such rows can never be paid)."""
+    total = sum((F.col(b) for b in SCHEDULE_BUCKETS[1:]), F.col(SCHEDULE_BUCKETS[0]))
+    return F.coalesce(total != F.col("gross_amount"), F.lit(False))

@@ -575,3 +575,9 @@ SELECT cm.company_id, cm.company_code,
        CASE WHEN sc.company_code IS NOT NULL THEN 'use_schedule'
             WHEN cm.company_id % 2 = 0 THEN 'reject' ELSE 'generate' END AS decision
 FROM cm LEFT JOIN sc ON cm.company_code = sc.company_code"""
+
+SQL["bucket_mismatch"] = BASE + """
+SELECT company_code, COUNT(*) AS instalments,
+       COUNT(*) FILTER (WHERE COALESCE(guarantee_amount + principal_amount + interest_amount + tax_amount + fee_amount
+                                       <> gross_amount, false)) AS mismatched
+FROM s GROUP BY company_code"""

@@ -471,3 +471,15 @@ def export_detail_summary(spark, sf_dir):
     d = R.detail(s, p, cfg())
     export_two_part(d, R.summary(d, ordered=False), base)
     return spark.read.parquet(f"{base}/summary")
+
+
+@query
+def bucket_mismatch(spark, sf_dir):
+    """Data-quality count: instalments whose components do not add up to gross, per company."""
+    from arrears.operators.clean import component_mismatch
+
+    s = _sched(spark, sf_dir)
+    return s.groupBy("company_code").agg(
+        F.count(F.lit(1)).alias("instalments"),
+        F.count_if(component_mismatch()).alias("mismatched"),
+    )
