@@ -44,3 +44,20 @@ def read_payments(payments: DataFrame, company_id: int | None = None) -> DataFra
     if company_id is not None:
         last = F.broadcast(last)  # one row: a single company was selected
     return df.join(last, "company_id", "left")
+
+
+MAX_BROADCAST_COMPANIES = 100_000
+
+
+def with_company_code(payments: DataFrame, company_map: DataFrame) -> DataFrame:
+    """Give payments the schedule's company column (``company_code``) through the map.
+
+    Needed for portfolio-wide runs, where contract ids repeat across
+    companies and the contract key becomes (company_code, contract).  The
+    map is a dimension: it is broadcast after its size is checked, and
+    joined normally beyond the bound.
+    """
+    cm = company_map.select("company_id", "company_code")
+    if cm.limit(MAX_BROADCAST_COMPANIES + 1).count() <= MAX_BROADCAST_COMPANIES:
+        cm = F.broadcast(cm)
+    return payments.join(cm, "company_id", "left")
