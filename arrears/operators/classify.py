@@ -21,6 +21,7 @@ any payment get cases 3 and 17 and nothing else.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -144,10 +145,15 @@ def contract_features(schedule: DataFrame, payments: DataFrame, calc_date: _dt.d
     )
 
     pay = by_ref.groupBy(CONTRACT).agg(F.sum("nrows").alias("n_pay"), F.bool_or("ref_on_cut").alias("on_cut"))
-    contracts = s_rng.select(CONTRACT).distinct()
-    out = contracts
-    for t in (main, late_early, twice, rule9, pay):
-        out = out.join(t, CONTRACT, "left")
+    contracts = s_rng.select(CONTRACT).distinct().withColumn("in_schedule", F.lit(True))
+
+    # Every source is already one row per contract: union them and reduce
+    # once (one exchange) instead of chaining joins on the contract.
+    parts = [contracts, main, late_early, twice, rule9, pay]
+    facts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    cols = [c for part in parts for c in part.columns if c != CONTRACT]
+    cols = list(dict.fromkeys(cols))
+    out = facts.groupBy(CONTRACT).agg(*[F.max(c).alias(c) for c in cols]).where(F.col("in_schedule"))
     bools = ["cents", "dup15", "last_pa", "last_ex", "first_ex", "first_un", "r9", "late", "early", "twice", "on_cut"]
     counts = ["n", "n_ex", "n_pa", "n_un", "n_ov", "n_co", "n_pay"]
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in bools}).withColumns(
