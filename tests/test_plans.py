@@ -42,3 +42,9 @@ def test_cascade_windows_are_bounded(spark):
     windows = re.findall(r"Window \[[^\]]*\], \[([^\]]*)\]", plan)
     assert windows, plan
     assert any("installment_date" in w for w in windows)
+
+
+def test_request_bodies_are_parsed_once(spark):
+    df = E.queries()["rejected_requests"](spark, SF)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1, plan
