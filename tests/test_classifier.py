@@ -84,3 +84,17 @@ def test_histogram(spark):
     s, p = frames(spark, sched, pays)
     h = {r["case_label"]: r["contracts"] for r in case_histogram(classify_contracts(s, p, CUT)).collect()}
     assert h["3"] == 1 and h["17"] == 1 and h[UNCLASSIFIED] == 2 and h["10"] == 1 and h["18"] == 1
+
+
+def test_more_boundaries(spark):
+    """1.6 is inside case 9's range; a payment exactly .001 short is neither exact nor partial."""
+    sched = [instalment(1, "U9", "U9-0", "2026-03-01"), instalment(2, "U9", "U9-1", "2026-04-01"),
+             instalment(3, "T1", "T1-0", "2026-03-01"), instalment(4, "T1", "T1-1", "2026-04-01")]
+    pays = [payment(10, "U9", "U9-0", "2026-03-01", "1600"), payment(11, "U9", "U9-1", "2026-04-01", "100"),
+            payment(12, "T1", "T1-0", "2026-03-01", "999.999"), payment(13, "T1", "T1-1", "2026-04-01", "1000")]
+    s, p = frames(spark, sched, pays)
+    got = {r["borrower_contract_id"]: r["cases"] for r in classify_contracts(s, p, CUT).collect()}
+    assert 9 in got["U9"]
+    # T1: first instalment short by exactly .001: not exact (|diff| < .001 fails), not partial, no cents
+    # difference (> .001 fails), but covered; no rule for a happy path applies
+    assert 1 not in got["T1"] and 13 not in got["T1"] and 2 not in got["T1"]
