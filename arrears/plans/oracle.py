@@ -525,7 +525,7 @@ v AS (
 SQL["parse_requests"] = _REQ + """
 SELECT CASE WHEN malformed THEN NULL ELSE 'job-' || CAST(o_orderkey AS VARCHAR) END AS job_id,
        malformed,
-       CASE WHEN malformed THEN NULL ELSE 'LOAN_ENRICHER' END AS origin,
+       CASE WHEN malformed THEN NULL ELSE 'PORTFOLIO_DESK' END AS origin,
        CASE WHEN malformed THEN NULL ELSE 'ARREARS_SERVICE' END AS target,
        CASE WHEN malformed THEN NULL ELSE '/data/loans/' || company || '.parquet' END AS input_file,
        CASE WHEN malformed THEN NULL ELSE '/data/out/' || company || '.parquet' END AS output_file,

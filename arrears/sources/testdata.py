@@ -185,7 +185,7 @@ loan_tape AS (
 
 # --- request messages derived from the tables ----------------------------------
 
-REQUEST_ORIGIN = "LOAN_ENRICHER"
+REQUEST_ORIGIN = "PORTFOLIO_DESK"
 SERVICE_NAME = "ARREARS_SERVICE"
 
 
