@@ -145,15 +145,24 @@ def rescue_reference(df: DataFrame, prefixes: Sequence[str] = ("Unnamed:", "_c")
     return df
 
 
+def usable_instalment() -> Column:
+    """A due date and a positive gross, written as plain comparisons (a Parquet
+    scan can take it, and its negation, as pushed filters)."""
+    g = F.col("gross_amount")
+    return F.col("installment_date").isNotNull() & g.isNotNull() & (g > 0)
+
+
 def valid_instalments(df: DataFrame) -> DataFrame:
     """Rows the allocation modes use: a due date and a positive gross."""
-    return df.where(F.col("installment_date").isNotNull() & (F.coalesce(F.col("gross_amount"), F.lit(0)) > 0))
+    return df.where(usable_instalment())
 
 
 def valid_payments(df: DataFrame, cfg: RunConfig) -> DataFrame:
     """Payments the modes use: dated and positive (non-zero with reversals)."""
-    amount = F.coalesce(F.col("total_payment"), F.lit(0))
-    cond = F.col("payment_date").isNotNull() & ((amount != 0) if cfg.allow_reversals else (amount > 0))
+    amount = F.col("total_payment")
+    cond = F.col("payment_date").isNotNull() & amount.isNotNull() & (
+        (amount != 0) if cfg.allow_reversals else (amount > 0)
+    )
     if cfg.payments_as_of is not None:
         cond = cond & (F.col("payment_date") <= F.lit(cfg.payments_as_of))
     return df.where(cond)
