@@ -73,3 +73,12 @@ def test_threshold_80(spark):
     s, p = frames(spark, SEED_SCHEDULE, SEED_PAYMENTS)
     got = _result(A.join_mode(s, p, RunConfig(calc_date=CUT, paid_threshold=0.5)))
     assert got["C003-1"] == (0, Decimal(0))  # 500 >= 1000 * 0.5
+
+
+def test_product_in_join_mode(spark):
+    s, p = frames(spark, SEED_SCHEDULE, SEED_PAYMENTS)
+    loans = spark.createDataFrame([("C002",), ("C005",)], "contract string")
+    out = {r["contract"]: r for r in P.enrich(loans, "contract", ["dpd"], RunConfig(calc_date=CUT), s, p,
+                                              mode="join").collect()}
+    assert out["C002"]["dpd_current"] == 63 and out["C002"]["amount_in_arrears"] == Decimal("1000")
+    assert out["C005"]["dpd_current"] == 32 and out["C005"]["amount_in_arrears"] == Decimal("1000")
