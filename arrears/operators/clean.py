@@ -54,7 +54,7 @@ def require_columns(df: DataFrame, required: Sequence[str], what: str) -> None:
         raise ValueError(f"{what} lacks required columns {missing}; available: {df.columns}")
 
 
-def sanitize_schedule(df: DataFrame, bucket_fallback: bool = True) -> DataFrame:
+def sanitize_schedule(df: DataFrame, bucket_fallback: bool = True, observation=None) -> DataFrame:
     """Uniform schedule: ``installment_date`` date, text refs, ids, decimal buckets.
 
     * ``date`` or ``installment_date`` is parsed tolerantly into
@@ -63,7 +63,9 @@ def sanitize_schedule(df: DataFrame, bucket_fallback: bool = True) -> DataFrame:
     * a missing id column, or a single null id, is filled with a hash of
       (contract, due date, reference, gross);
     * with ``bucket_fallback``, rows whose components sum to 0 but whose
-      gross is positive get ``principal_amount = gross_amount``.
+      gross is positive get ``principal_amount = gross_amount``; with an
+      ``Observation``, the number of such rows is recorded as
+      ``filled_rows`` while the data flows (no extra pass).
     """
     require_columns(df, ["borrower_contract_id", "gross_amount"], "schedule")
     dcol = date_column(df, ["installment_date", "date"])
@@ -93,6 +95,8 @@ def sanitize_schedule(df: DataFrame, bucket_fallback: bool = True) -> DataFrame:
         else money("gross_amount"),
     )
     if bucket_fallback:
+        if observation is not None:
+            out = out.observe(observation, F.count_if(needs_fallback()).alias("filled_rows"))
         out = out.withColumn("principal_amount", fallback_principal())
     return out
 

@@ -82,3 +82,21 @@ def test_product_in_join_mode(spark):
                                               mode="join").collect()}
     assert out["C002"]["dpd_current"] == 63 and out["C002"]["amount_in_arrears"] == Decimal("1000")
     assert out["C005"]["dpd_current"] == 32 and out["C005"]["amount_in_arrears"] == Decimal("1000")
+
+
+def test_fallback_rows_are_observed(spark):
+    from pyspark.sql import Observation
+
+    from arrears.operators.clean import sanitize_schedule
+    from tests.fixtures import instalment
+
+    rows = [instalment(1, "A", "A-1", "2026-01-01", buckets=("0", "0", "0", "0", "0")),
+            instalment(2, "A", "A-2", "2026-02-01"),
+            instalment(3, "A", "A-3", "2026-03-01", buckets=(None, None, None, None, None))]
+    from arrears.schemas import SCHEDULE
+
+    obs = Observation("fallback")
+    out = sanitize_schedule(spark.createDataFrame(rows, SCHEDULE), observation=obs)
+    principals = {r["id"]: r["principal_amount"] for r in out.collect()}
+    assert obs.get["filled_rows"] == 2
+    assert principals[1] == Decimal("1000") and principals[2] == Decimal("800") and principals[3] == Decimal("1000")
