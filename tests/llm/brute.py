@@ -1,0 +1,172 @@
+"""Plain versions of the training-data operators, for small inputs."""
+
+import hashlib
+import re
+import zlib
+from collections import defaultdict
+from fractions import Fraction
+
+SPACE = " \t\n\r\x0b\x0c"
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def sha(x):
+    return hashlib.sha256(x.encode("utf-8") if isinstance(x, str) else x).hexdigest()
+
+
+def targets(rows, weights=(5, 2, 1), cap=3):
+    """{source: (size, target)} of (doc_id, text, source) rows."""
+    size = defaultdict(int)
+    for _, t, s in rows:
+        size[s] += len(words(t))
+    order = sorted(size, key=lambda s: (s is None, s or ""))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    goal, free, left = {}, list(order), Fraction(sum(size.values()))
+    while free:
+        total = sum(w[s] for s in free)
+        over = [s for s in free if left * w[s] / total > cap * size[s]]
+        if not over:
+            goal.update({s: left * w[s] / total for s in free})
+            break
+        for s in over:
+            goal[s] = Fraction(cap * size[s])
+            left -= goal[s]
+            free.remove(s)
+    return {s: (size[s], float(goal[s])) for s in order}
+
+
+def jaccard_groups(rows, n=4, num=85, den=100):
+    """{row index: (set size, component doc_id)} of (doc_id, text) rows."""
+    sets = []
+    for _, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+        sets.append({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set()))
+    up = list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    lists = defaultdict(list)
+    for i, s in enumerate(sets):
+        for g in s:
+            lists[g].append(i)
+    seen = set()
+    for ids in lists.values():
+        for x, i in enumerate(ids):
+            for j in ids[x + 1 :]:
+                if (i, j) not in seen:
+                    seen.add((i, j))
+                    o = len(sets[i] & sets[j])
+                    if den * o >= num * len(sets[i] | sets[j]):
+                        up[root(i)] = root(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        r = root(i)
+        if d is not None:
+            least[r] = min(least.get(r, d), d)
+    return {i: (len(sets[i]), least.get(root(i))) for i in range(len(rows))}
+
+
+ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
+
+
+def base_spans(text):
+    """(start, end, kind) of the base kinds."""
+    out = [(m.start(), m.end(), 0) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    out += [(m.start(), m.end(), 1) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    return out + [(m.start(), m.end(), 2) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+
+
+def secrets(rows, max_owners=2):
+    """[(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live)] of (doc_id, text, owner) rows."""
+    kinds = ("assign", "access", "hex", "opaque")
+    found, owners = [], defaultdict(set)
+    for d, t, owner in rows:
+        t = t or ""
+        base = base_spans(t)
+        more = [(m.start(), m.end(), 3) for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", t) if re.search("[0-9]", m[0]) and re.search("[a-z]", m[0]) and re.search("[A-Z]", m[0])]
+        more = [x for x in more if not any(x[0] < y[1] and y[0] < x[1] for y in base)]
+        value = lambda x, t=t: ASSIGN.match(t, x[0])[2] if x[2] == 0 else t[x[0] : x[1]]
+        for x in base + more:
+            owners[value(x)].add(owner)
+        found.append((d, base, more, [value(x) for x in base], [value(x) for x in more]))
+    name = lambda xs: ",".join(f"{kinds[k]}:{s}:{e}" for s, e, k in sorted(xs, key=lambda x: (x[0], x[2])))
+    out = []
+    for d, base, more, bv, mv in found:
+        live = [x for x, v in zip(more, mv, strict=True) if len(owners[v]) <= max_owners]
+        n = [sum(k == i for *_, k in base) for i in range(3)]
+        out.append((d, *n, sha(name(base)), name(base + live), len(live) + sum(len(owners[v]) <= max_owners for v in bv)))
+    return out
+
+
+def captures(rows, least=100):
+    """[(page_id, bytes, digest, type, refers_to)] of (page_id, html) rows."""
+    first = {}
+    for p, h in rows:
+        b = (h or "").encode("utf-8")
+        if len(b) >= least:
+            first[b] = min(first.get(b, p), p)
+    out = []
+    for p, h in rows:
+        b = (h or "").encode("utf-8")
+        to = first[b] if b in first and first[b] != p else None
+        out.append((p, len(b), sha(b), "response" if to is None else "revisit", to))
+    return out
+
+
+def strip_words(rows, width=50):
+    """[(doc_id, n_words, n_removed, sha256)] of (doc_id, text) rows; a null id is the largest."""
+    key = lambda d: (d is None, d or 0)
+    first = {}
+    for d, t in rows:
+        w = words(t)
+        for i in range(len(w) - width + 1):
+            g = tuple(w[i : i + width])
+            first[g] = min(first.get(g, key(d)), key(d))
+    out = []
+    for d, t in rows:
+        w = words(t)
+        gone = [False] * len(w)
+        for i in range(len(w) - width + 1):
+            if first[tuple(w[i : i + width])] < key(d):
+                gone[i : i + width] = [True] * width
+        out.append((d, len(w), sum(gone), sha(" ".join(x for x, g in zip(w, gone, strict=True) if not g))))
+    return out
+
+
+def strip_bytes(rows, width=100):
+    """[(doc_id, n_bytes, n_removed, n_spans, sha256)] of (doc_id, text) rows with ids of their own."""
+    first = {}
+    for d, t in rows:
+        b = (t or "").encode("utf-8")
+        for i in range(len(b) - width + 1):
+            g = b[i : i + width]
+            if g not in first or (d, i) < first[g]:
+                first[g] = (d, i)
+    out = []
+    for d, t in rows:
+        b = (t or "").encode("utf-8")
+        gone = bytearray(len(b))
+        for i in range(len(b) - width + 1):
+            if first[b[i : i + width]] < (d, i):
+                gone[i : i + width] = b"\x01" * width
+        runs = len(re.findall(b"\x01+", bytes(gone)))
+        out.append((d, len(b), sum(gone), runs, sha(bytes(x for x, g in zip(b, gone, strict=True) if not g))))
+    return out
+
+
+def tokens(rows, tok, end_id=1):
+    """[(doc_id, start, n_tokens, crc32)] of (doc_id, text) rows."""
+    import struct
+
+    out, start = [], 0
+    for d, t in sorted(rows, key=lambda r: r[0]):
+        ids = [*tok.encode(t or "", add_special_tokens=False).ids, end_id]
+        out.append((d, start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
+        start += len(ids)
+    return out
