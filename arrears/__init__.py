@@ -8,6 +8,6 @@ are served as batch or Structured Streaming jobs.  Everything is expressed
 with DataFrame expressions, windows, aggregates and joins.
 """
 
-from arrears.config import RunConfig
+from arrears.config import Cutoff
 
-__all__ = ["RunConfig"]
+__all__ = ["Cutoff"]

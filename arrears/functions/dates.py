@@ -1,4 +1,4 @@
-"""Date expressions: days past due and instalment due dates."""
+"""Date expressions: days late and instalment due dates."""
 
 from __future__ import annotations
 
@@ -14,9 +14,9 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def days_past_due(due, calc_date: _dt.date, grace_days: int) -> Column:
-    """``max(calc - due - grace, 0)`` in calendar days (null due stays null)."""
-    days = F.datediff(F.lit(calc_date), _col(due)) - F.lit(int(grace_days))
+def days_late(due, as_of: _dt.date, grace: int) -> Column:
+    """``max(as_of - due - grace, 0)`` in calendar days (null due stays null)."""
+    days = F.datediff(F.lit(as_of), _col(due)) - F.lit(int(grace))
     return F.greatest(days, F.lit(0)).cast("int")
 
 

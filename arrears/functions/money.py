@@ -1,4 +1,4 @@
-"""Money columns: exact decimals, null and NaN as zero, HALF_UP cents."""
+"""Money columns: exact decimals, null, NaN and bad text as zero, HALF_UP cents."""
 
 from __future__ import annotations
 
@@ -13,23 +13,25 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def money(c) -> Column:
-    """Cast to ``decimal(18,4)`` keeping nulls."""
-    return _col(c).cast(MONEY)
+def money(c, dtype: T.DataType | None = None) -> Column:
+    """``decimal(18,4)``; nulls, NaN and what is not a number are null."""
+    c = _col(c)
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        c = F.when(~F.isnan(c), c)
+    elif isinstance(dtype, T.StringType):
+        c = F.trim(c)
+    return c.try_cast(MONEY)
 
 
 def money_or_zero(c, dtype: T.DataType | None = None) -> Column:
-    """Null (and NaN for floating inputs) become 0, the rest ``decimal(18,4)``."""
-    c = _col(c)
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        c = F.when(F.isnan(c), None).otherwise(c)
-    return F.coalesce(c.cast(MONEY), F.lit(0).cast(MONEY))
+    """As :func:`money`, with 0 for null."""
+    return F.coalesce(money(c, dtype), F.lit(0).cast(MONEY))
 
 
-def numeric_or_zero(c) -> Column:
-    """Non-numeric text becomes 0 (``try_cast`` then ``coalesce``)."""
+def not_a_number(c, dtype: T.DataType | None = None) -> Column:
+    """Whether a value is there that :func:`money` cannot read."""
     c = _col(c)
-    return F.coalesce(c.try_cast(MONEY), F.lit(0).cast(MONEY))
+    return c.isNotNull() & money(c, dtype).isNull()
 
 
 def round_half_up_cents(c) -> Column:

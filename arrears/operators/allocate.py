@@ -8,47 +8,56 @@ late; reports apply their own rule on top (see ``detail`` and ``products``).
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrears.config import REFERENCE, SCHEDULE_BUCKETS, RunConfig
-from arrears.functions.dates import days_past_due
+from arrears.config import REFERENCE, SCHEDULE_BUCKETS, Cutoff
+from arrears.functions.dates import days_late
 from arrears.operators.clean import valid_instalments, valid_payments
 from arrears.operators.ordered import from_units, running_before, units
 from arrears.schemas import MONEY
 
 
-def owed() -> Column:
-    """What an instalment can absorb: the sum of its positive components."""
-    parts = [F.greatest(F.col(b), F.lit(0)) for b in SCHEDULE_BUCKETS]
-    return sum(parts[1:], parts[0])
-
-
 def owed_units() -> Column:
-    """:func:`owed` in money units (exact, 64-bit)."""
+    """What an instalment can absorb, the sum of its positive components, in money units (exact, 64-bit)."""
     parts = [F.greatest(units(F.col(b)), F.lit(0)) for b in SCHEDULE_BUCKETS]
     return sum(parts[1:], parts[0])
 
 
-def _outcome(df: DataFrame, applied: Column, paid: Column, cfg: RunConfig) -> DataFrame:
-    gross = F.col("gross_amount")
+def _paid(applied: Column, cfg: Cutoff, any_counts: bool) -> Column:
+    if any_counts:
+        return applied > 0
+    return applied >= F.col("gross_amount") * F.lit(cfg.exact_share)
+
+
+def _outcome(df: DataFrame, amount: str, cfg: Cutoff, others: Mapping[str, Cutoff], any_counts: bool = False) -> DataFrame:
+    """Lateness and arrears from the amount applied; ``others`` adds the lateness under other cut-offs."""
+    applied = F.col(amount)
+    paid = _paid(applied, cfg, any_counts and cfg.any_payment_counts)
+
+    def late(c: Cutoff) -> Column:
+        done = _paid(applied, c, any_counts and c.any_payment_counts)
+        return F.when(done, F.lit(0)).otherwise(days_late("installment_date", c.as_of, c.grace)).cast("int")
+
+    left = F.greatest(F.col("gross_amount") - applied, F.lit(0))
     return df.withColumns(
         {
-            "dpd_current": F.when(paid, F.lit(0)).otherwise(
-                days_past_due("installment_date", cfg.calc_date, cfg.grace_days)
-            ).cast("int"),
-            "amount_in_arrears": F.when(paid, F.lit(0)).otherwise(F.greatest(gross - applied, F.lit(0))).cast(MONEY),
+            "dpd_current": late(cfg),
+            "amount_in_arrears": F.when(paid, F.lit(0)).otherwise(left).cast(MONEY),
+            **{name: late(c) for name, c in others.items()},
         }
     )
 
 
-def payment_pools(payments: DataFrame, cfg: RunConfig) -> DataFrame:
+def payment_pools(payments: DataFrame, cfg: Cutoff) -> DataFrame:
     """Σ usable payments per contract, in money units (map-side combined aggregate)."""
     keys = list(cfg.contract_keys)
     return valid_payments(payments, cfg).groupBy(*keys).agg(F.sum(units(F.col("total_payment"))).alias("__pool"))
 
 
-def cascade(schedule: DataFrame, payments: DataFrame, cfg: RunConfig) -> DataFrame:
+def cascade(schedule: DataFrame, payments: DataFrame, cfg: Cutoff, others: Mapping[str, Cutoff] | None = None) -> DataFrame:
     """FIFO: each contract's whole payment pool drains instalments in (date, id) order.
 
     Closed form of the sequential drain: with ``owed`` the positive
@@ -56,6 +65,9 @@ def cascade(schedule: DataFrame, payments: DataFrame, cfg: RunConfig) -> DataFra
     ``applied = clamp(pool - before, 0, owed)``.  Draining the components in
     their fixed order inside one instalment only splits ``applied`` among
     them, so the instalment total is all the outcome needs.
+
+    What is applied does not depend on the cut-off: ``others`` (column name →
+    cut-off) adds the lateness under other days or paid shares from the same allocation.
     """
     keys = list(cfg.contract_keys)
     inst = valid_instalments(schedule).withColumn("__owed", owed_units())
@@ -65,14 +77,10 @@ def cascade(schedule: DataFrame, payments: DataFrame, cfg: RunConfig) -> DataFra
     pool = F.coalesce(F.col("__pool"), F.lit(0))
     applied = F.greatest(F.lit(0), F.least(F.col("__owed"), pool - F.col("__before")))
     rows = rows.withColumn("applied_amount", from_units(applied))
-    if cfg.partial_payment_counts:
-        paid = F.col("applied_amount") > 0
-    else:
-        paid = F.col("applied_amount") >= F.col("gross_amount") * F.lit(cfg.threshold_decimal)
-    return _outcome(rows, F.col("applied_amount"), paid, cfg).drop("__owed", "__before", "__pool")
+    return _outcome(rows, "applied_amount", cfg, others or {}, any_counts=True).drop("__owed", "__before", "__pool")
 
 
-def paid_by_reference(payments: DataFrame, cfg: RunConfig) -> DataFrame:
+def paid_by_reference(payments: DataFrame, cfg: Cutoff) -> DataFrame:
     """Σ usable payments per (contract, reference); null and blank references are ignored."""
     keys = list(cfg.contract_keys)
     ref = F.col(REFERENCE)
@@ -80,7 +88,7 @@ def paid_by_reference(payments: DataFrame, cfg: RunConfig) -> DataFrame:
     return usable.groupBy(*keys, REFERENCE).agg(F.sum("total_payment").cast(MONEY).alias("paid_amount"))
 
 
-def join_mode(schedule: DataFrame, payments: DataFrame, cfg: RunConfig) -> DataFrame:
+def join_mode(schedule: DataFrame, payments: DataFrame, cfg: Cutoff, others: Mapping[str, Cutoff] | None = None) -> DataFrame:
     """Each instalment is paid by the payments carrying its reference.
 
     Surplus never flows to another instalment; instalments sharing one
@@ -90,13 +98,13 @@ def join_mode(schedule: DataFrame, payments: DataFrame, cfg: RunConfig) -> DataF
     inst = valid_instalments(schedule)
     rows = inst.join(paid_by_reference(payments, cfg), [*keys, REFERENCE], "left")
     rows = rows.withColumn("paid_amount", F.coalesce(F.col("paid_amount"), F.lit(0)).cast(MONEY))
-    paid = F.col("paid_amount") >= F.col("gross_amount") * F.lit(cfg.threshold_decimal)
-    return _outcome(rows, F.col("paid_amount"), paid, cfg)
+    return _outcome(rows, "paid_amount", cfg, others or {})
 
 
-def allocate(schedule: DataFrame, payments: DataFrame, cfg: RunConfig, mode: str = "cascade") -> DataFrame:
+def allocate(schedule: DataFrame, payments: DataFrame, cfg: Cutoff, mode: str = "cascade",
+             others: Mapping[str, Cutoff] | None = None) -> DataFrame:
     if mode == "cascade":
-        return cascade(schedule, payments, cfg)
+        return cascade(schedule, payments, cfg, others)
     if mode == "join":
-        return join_mode(schedule, payments, cfg)
+        return join_mode(schedule, payments, cfg, others)
     raise ValueError(f"unknown mode {mode!r}; expected 'cascade' or 'join'")

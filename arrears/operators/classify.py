@@ -11,8 +11,8 @@ step needs all rows of one contract in one task:
   (date, id) order;
 * late / early payment tests compare per-reference date ranges of the
   payments and of the schedule (no payment × instalment fan-out);
-* the one rule about the *next* instalment uses positions from the
-  two-level running count and an equi self-join on (contract, position).
+* the one rule about the *next* instalment takes it from the two-level order
+  (:mod:`arrears.operators.ordered`) that also gives the positions.
 
 Contracts without overdue instalments are unclassified; contracts without
 any payment get cases 3 and 17 and nothing else.
@@ -21,6 +21,7 @@ any payment get cases 3 and 17 and nothing else.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,7 +29,6 @@ from pyspark.sql import functions as F
 
 from arrears.config import CONTRACT, REFERENCE, UNCLASSIFIED
 from arrears.operators.ordered import running_before
-from arrears.session import ensure_checkpoint_dir
 
 # Tolerances and ratio bounds of the case rules.
 TOL = 0.001  # equality tolerance between paid and gross
@@ -66,16 +66,23 @@ def _flags(o: DataFrame) -> DataFrame:
     )
 
 
-def contract_features(schedule: DataFrame, payments: DataFrame, calc_date: _dt.date) -> DataFrame:
-    """One row per schedule contract with every count and flag the rules use."""
-    calc = F.lit(calc_date)
-    s = schedule.where(F.col(CONTRACT).isNotNull())
-    p = payments.where(F.col(CONTRACT).isNotNull())
+def contract_features(schedule: DataFrame, payments: DataFrame, as_of: _dt.date, keys: Sequence[str] = (CONTRACT,)) -> DataFrame:
+    """One row per schedule contract with every count and flag the rules use.
+
+    Payments and schedule are each reduced once per (contract, reference); the
+    overdue instalments take what was paid on their reference, their position
+    and whether the next one is short; all facts are then reduced by one
+    ``groupBy`` on the contract.  Nothing is stored in between.
+    """
+    keys = list(keys)
+    ref = [*keys, REFERENCE]
+    calc = F.lit(as_of)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    s, p = schedule.where(known), payments.where(known)
     ym = F.year("payment_date") * 12 + F.month("payment_date")
-    # One reduction of the payments per (contract, reference) serves every
-    # payment-side test; the null reference is a group of its own here (it
-    # never matches an instalment, but counts for the contract's totals).
-    by_ref = p.groupBy(CONTRACT, REFERENCE).agg(
+    # The null reference is a group of its own here: it never matches an
+    # instalment, but counts for the contract's totals.
+    by_ref = p.groupBy(*ref).agg(
         F.sum("total_payment").alias("tp"),
         F.count("total_payment").alias("np"),
         F.count(F.lit(1)).alias("nrows"),
@@ -86,79 +93,60 @@ def contract_features(schedule: DataFrame, payments: DataFrame, calc_date: _dt.d
         F.max("payment_date").alias("pmax"),
         F.bool_or(F.col("payment_date") == calc).alias("ref_on_cut"),
     )
-    # Both intermediates below feed several reductions; each is materialised
-    # once in the shared checkpoint folder instead of being recomputed (with
-    # its scans and shuffles) by every consumer.
-    ensure_checkpoint_dir(s.sparkSession)
-    by_ref = by_ref.checkpoint(eager=True)
+    due = F.col("installment_date") <= calc
+    first = F.struct("installment_date", "id")
+    by_sched = s.groupBy(*ref).agg(
+        F.min("installment_date").alias("smin"),
+        F.max("installment_date").alias("smax"),
+        F.min(F.when(due, F.struct(first.alias("ord"), F.col("gross_amount").alias("g")))).alias("first_due"),
+        F.lit(True).alias("in_schedule"),
+    )
+    # Late / early: some payment after / before a due date of its reference.
+    # Twice: two payments in one calendar month summing to the first overdue gross of their reference.
+    refs = by_sched.join(by_ref, ref, "full")
+    refs = refs.select(
+        *keys,
+        "in_schedule",
+        F.col("nrows").alias("n_pay"),
+        F.col("ref_on_cut").alias("on_cut"),
+        (F.col("pmax") > F.col("smin")).alias("late"),
+        (F.col("pmin") < F.col("smax")).alias("early"),
+        ((F.col("nrows") == 2) & (F.col("ndated") == 2) & (F.col("ym_min") == F.col("ym_max"))
+         & (F.abs(F.col("tp") - F.col("first_due.g")) < _d(TWICE_TOL))).alias("twice"),
+    )
 
     overdue = (
-        s.where(F.col("installment_date") <= calc)
-        .select(CONTRACT, REFERENCE, "installment_date", "id", "gross_amount")
-        .join(by_ref.select(CONTRACT, REFERENCE, "tp", "np"), [CONTRACT, REFERENCE], "left")
+        s.where(due)
+        .select(*ref, "installment_date", "id", "gross_amount")
+        .join(by_ref.select(*ref, "tp", "np"), ref, "left")
         .withColumns({"tp": F.coalesce("tp", F.lit(0)), "np": F.coalesce("np", F.lit(0))})
     )
-    o = _flags(running_before(overdue, [CONTRACT], "installment_date", "id", {"pos": F.lit(1)})).checkpoint(eager=True)
-
-    lo, hi = MODEST_OVERPAY
-    main = o.groupBy(CONTRACT).agg(
-        F.count(F.lit(1)).alias("n"),
+    short = F.coalesce(F.col("tp") + _d(TOL) < F.col("gross_amount"), F.lit(False))
+    o = _flags(running_before(overdue, keys, "installment_date", "id", {"pos": F.lit(1)}, following={"next_short": short}))
+    a, b = ONE_AND_A_HALF
+    o = o.withColumns({
+        "dup15": F.col("ratio15") >= DUPLICATE_RATIO,
+        # Case 9: an instalment paid 1.4–1.6× followed by one paid short.
+        "r9": (F.col("gross_amount") > 0) & (F.col("ratio") >= a) & (F.col("ratio") <= b) & F.col("next_short"),
+        "one": F.lit(1),
+    }).select(*keys, "one", "ex", "pa", "un", "ov", "co", "np", "ce", "ratio", "dup15", "r9", "ord", "pos")
+
+    facts = refs.unionByName(o, allowMissingColumns=True)
+    flags = {"cents": "ce", "dup15": "dup15", "r9": "r9", "late": "late", "early": "early", "twice": "twice", "on_cut": "on_cut"}
+    out = facts.groupBy(*keys).agg(
+        F.bool_or("in_schedule").alias("in_schedule"),
+        F.coalesce(F.sum("one"), F.lit(0)).alias("n"),
+        F.coalesce(F.sum("n_pay"), F.lit(0)).alias("n_pay"),
         *[F.count_if(F.col(c)).alias(f"n_{c}") for c in ("ex", "pa", "un", "ov", "co")],
+        *[F.coalesce(F.bool_or(c), F.lit(False)).alias(name) for name, c in flags.items()],
         F.max("np").alias("max_np"),
-        F.bool_or("ce").alias("cents"),
         F.max("ratio").alias("ratio_max"),
-        F.bool_or(F.col("ratio15") >= DUPLICATE_RATIO).alias("dup15"),
-        F.max_by("pa", "ord").alias("last_pa"),
-        F.max_by("ex", "ord").alias("last_ex"),
-        F.min_by("ex", "ord").alias("first_ex"),
-        F.min_by("un", "ord").alias("first_un"),
+        *[F.coalesce(f(c, "ord"), F.lit(False)).alias(name) for name, f, c in
+          (("last_pa", F.max_by, "pa"), ("last_ex", F.max_by, "ex"), ("first_ex", F.min_by, "ex"), ("first_un", F.min_by, "un"))],
         F.min(F.when(~F.col("ex"), F.col("pos"))).alias("first_not_ex"),
         F.max(F.when(~F.col("un"), F.col("pos"))).alias("last_not_un"),
     )
-
-    # Case 9: an instalment paid 1.4–1.6× followed by one paid short.
-    a, b = ONE_AND_A_HALF
-    cand = o.where((F.col("gross_amount") > 0) & (F.col("ratio") >= a) & (F.col("ratio") <= b)).select(
-        CONTRACT, (F.col("pos") + 1).alias("pos")
-    )
-    short = o.where(F.col("tp") + _d(TOL) < F.col("gross_amount")).select(CONTRACT, "pos")
-    rule9 = cand.join(short, [CONTRACT, "pos"]).select(CONTRACT).distinct().withColumn("r9", F.lit(True))
-
-    # Late / early: some payment after / before a due date of its reference.
-    s_rng = s.groupBy(CONTRACT, REFERENCE).agg(
-        F.min("installment_date").alias("smin"), F.max("installment_date").alias("smax")
-    )
-    late_early = (
-        s_rng.join(by_ref.select(CONTRACT, REFERENCE, "pmin", "pmax"), [CONTRACT, REFERENCE])
-        .groupBy(CONTRACT)
-        .agg(F.bool_or(F.col("pmax") > F.col("smin")).alias("late"),
-             F.bool_or(F.col("pmin") < F.col("smax")).alias("early"))
-    )
-
-    # Two payments in one calendar month summing to the first overdue gross of their reference.
-    first_gross = o.groupBy(CONTRACT, REFERENCE).agg(F.min_by("gross_amount", "ord").alias("g_first"))
-    twice = (
-        first_gross.join(by_ref, [CONTRACT, REFERENCE])
-        .where((F.col("nrows") == 2) & (F.col("ndated") == 2) & (F.col("ym_min") == F.col("ym_max"))
-               & (F.abs(F.col("tp") - F.col("g_first")) < _d(TWICE_TOL)))
-        .select(CONTRACT).distinct().withColumn("twice", F.lit(True))
-    )
-
-    pay = by_ref.groupBy(CONTRACT).agg(F.sum("nrows").alias("n_pay"), F.bool_or("ref_on_cut").alias("on_cut"))
-    contracts = s_rng.select(CONTRACT).distinct().withColumn("in_schedule", F.lit(True))
-
-    # Every source is already one row per contract: union them and reduce
-    # once (one exchange) instead of chaining joins on the contract.
-    parts = [contracts, main, late_early, twice, rule9, pay]
-    facts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    cols = [c for part in parts for c in part.columns if c != CONTRACT]
-    cols = list(dict.fromkeys(cols))
-    out = facts.groupBy(CONTRACT).agg(*[F.max(c).alias(c) for c in cols]).where(F.col("in_schedule"))
-    bools = ["cents", "dup15", "last_pa", "last_ex", "first_ex", "first_un", "r9", "late", "early", "twice", "on_cut"]
-    counts = ["n", "n_ex", "n_pa", "n_un", "n_ov", "n_co", "n_pay"]
-    return out.withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in bools}).withColumns(
-        {c: F.coalesce(F.col(c), F.lit(0)) for c in counts}
-    )
+    return out.where(F.col("in_schedule"))
 
 
 def case_rules(f: DataFrame) -> dict[int, Column]:
@@ -188,9 +176,9 @@ def case_rules(f: DataFrame) -> dict[int, Column]:
     }
 
 
-def classify_contracts(schedule: DataFrame, payments: DataFrame, calc_date: _dt.date) -> DataFrame:
+def classify_contracts(schedule: DataFrame, payments: DataFrame, as_of: _dt.date, keys: Sequence[str] = (CONTRACT,)) -> DataFrame:
     """Per contract: ``cases`` (array of case numbers) and ``case_label`` ("1, 13" or unclassified)."""
-    f = contract_features(schedule, payments, calc_date)
+    f = contract_features(schedule, payments, as_of, keys)
     rules = case_rules(f)
     matched = F.array_compact(F.array(*[F.when(rules[k], F.lit(k)) for k in CASE_ORDER]))
     cases = (
@@ -198,7 +186,7 @@ def classify_contracts(schedule: DataFrame, payments: DataFrame, calc_date: _dt.
         .when(F.col("n_pay") == 0, F.array(*[F.lit(k) for k in NO_PAYMENT_CASES]))
         .otherwise(matched)
     )
-    out = f.select(CONTRACT, cases.alias("cases"))
+    out = f.select(*keys, cases.alias("cases"))
     label = F.when(F.size("cases") == 0, F.lit(UNCLASSIFIED)).otherwise(
         F.array_join(F.col("cases").cast("array<string>"), ", ")
     )
@@ -213,7 +201,7 @@ def case_histogram(classified: DataFrame) -> DataFrame:
     )
 
 
-def attach_cases(df: DataFrame, classified: DataFrame, column: str = "case") -> DataFrame:
+def attach_cases(df: DataFrame, classified: DataFrame, column: str = "case", keys: Sequence[str] = (CONTRACT,)) -> DataFrame:
     """Add each contract's case label (detail or summary rows; one label row per contract)."""
-    labels = classified.select(CONTRACT, F.col("case_label").alias(column))
-    return df.join(labels, CONTRACT, "left")
+    labels = classified.select(*keys, F.col("case_label").alias(column))
+    return df.join(labels, list(keys), "left")

@@ -35,8 +35,12 @@ MONEY_SCALE = 4
 
 
 def units(c: Column, scale: int = MONEY_SCALE) -> Column:
-    """Exact ``decimal(p, scale)`` → unscaled ``long`` (amount × 10^scale)."""
-    return (c * F.lit(10**scale)).cast("long")
+    """Money → unscaled ``long`` (amount × 10^scale).
+
+    The amount is first fixed to ``decimal(18, scale)``, HALF_UP: nothing happens to
+    sanitised money, and a double 1.13 is 11300 units, not 11299.
+    """
+    return (c.cast(T.DecimalType(18, scale)) * F.lit(10**scale)).cast("long")
 
 
 def from_units(c: Column, scale: int = MONEY_SCALE) -> Column:
@@ -51,6 +55,7 @@ def running_before(
     tiebreak: str,
     values: Mapping[str, Column],
     per_key: DataFrame | None = None,
+    following: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Add ``name`` = Σ value over rows of the same key strictly before the row.
 
@@ -58,30 +63,39 @@ def running_before(
     Order is ``(day, tiebreak)`` ascending.  Rows with a null day or a null
     key are dropped (callers keep them aside).  Columns of ``per_key`` (one
     row per key) are added to every row, null when the key is absent there.
+    ``following`` adds the value that the key's next row has (null on the last):
+    from the row's own day, or else from the first row of the key's next day.
     """
     keys = list(keys)
+    following = dict(following or {})
     tmp = {name: f"__v_{name}" for name in values}
+    nxt = {name: f"__f_{name}" for name in following}
     present = F.col(day).isNotNull()
     for k in keys:
         present = present & F.col(k).isNotNull()
-    base = df.where(present).withColumns({tmp[n]: c.cast("long") for n, c in values.items()})
+    base = df.where(present).withColumns({tmp[n]: c.cast("long") for n, c in values.items()} | {nxt[n]: c for n, c in following.items()})
 
-    per_day = base.groupBy(*keys, day).agg(*[F.sum(tmp[n]).alias(tmp[n]) for n in values])
+    per_day = base.groupBy(*keys, day).agg(
+        *[F.sum(tmp[n]).alias(tmp[n]) for n in values],
+        *[F.min_by(nxt[n], tiebreak).alias(nxt[n]) for n in following],
+    )
     if per_key is not None:
         per_day = per_day.join(per_key, keys, "left")
-    w_days = Window.partitionBy(*keys).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
+    days = Window.partitionBy(*keys).orderBy(day)  # a row for each calendar day of a contract
     extra = [c for c in (per_key.columns if per_key is not None else []) if c not in keys]
     per_day = per_day.select(
         *keys,
         day,
         *extra,
-        *[F.coalesce(F.sum(tmp[n]).over(w_days), F.lit(0)).alias(f"__d_{n}") for n in values],
+        *[F.coalesce(F.sum(tmp[n]).over(days.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"__d_{n}") for n in values],
+        *[F.lead(nxt[n]).over(days).alias(f"__n_{n}") for n in following],
     )
 
     rows = base.repartition(*keys, day)  # the one shuffle of the rows
     out = rows.join(per_day, [*keys, day], "inner")
-    w_in_day = Window.partitionBy(*keys, day).orderBy(tiebreak).rowsBetween(Window.unboundedPreceding, -1)
+    in_day = Window.partitionBy(*keys, day).orderBy(tiebreak)
     out = out.withColumns(
-        {n: F.col(f"__d_{n}") + F.coalesce(F.sum(tmp[n]).over(w_in_day), F.lit(0)) for n in values}
+        {n: F.col(f"__d_{n}") + F.coalesce(F.sum(tmp[n]).over(in_day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) for n in values}
+        | {n: F.coalesce(F.lead(nxt[n]).over(in_day), F.col(f"__n_{n}")) for n in following}
     )
-    return out.drop(*tmp.values(), *[f"__d_{n}" for n in values])
+    return out.drop(*tmp.values(), *nxt.values(), *[f"__d_{n}" for n in values], *[f"__n_{n}" for n in following])

@@ -8,7 +8,7 @@ CTEs) on purpose: they are the independent statement of each rule.
 
 from __future__ import annotations
 
-from arrears.sources.testdata import CALC_DATE, INVESTOR_RATE, ORACLE_CTES
+from arrears.sources.testdata import CALC_DATE, INVESTOR_RATE, ORACLE_CTES, SHARED_ORACLE_CTES
 
 CALC = f"DATE '{CALC_DATE.isoformat()}'"
 M = "DECIMAL(18,4)"
@@ -183,20 +183,30 @@ SELECT borrower_contract_id,
 FROM d WHERE borrower_contract_id IS NOT NULL
 GROUP BY borrower_contract_id"""
 
+
+def _raw_date(column: str) -> str:
+    """The text a date is delivered as, and what reading it month first gives."""
+    return f"""CASE WHEN id % 97 = 0 THEN 'n/a' WHEN id % 89 = 0 THEN strftime({column}, '13/%d/%Y')
+                WHEN id % 3 = 0 THEN strftime({column}, '%m/%d/%Y') ELSE strftime({column}, '%Y-%m-%d') END"""
+
+
+def _read_date(text: str) -> str:
+    return f"CAST(COALESCE(try_strptime({text}, '%Y-%m-%d'), try_strptime({text}, '%m/%d/%Y')) AS DATE)"
+
+
 SQL["sanitize_schedule"] = f"""WITH {ORACLE_CTES},
 raw AS (
   SELECT id, company_code, borrower_contract_id,
-         CASE WHEN id % 97 = 0 THEN 'n/a' ELSE strftime(installment_date, '%Y-%m-%d') END AS date,
-         CAST(id % 100000 AS DOUBLE) AS ref,
-         CAST(gross_amount AS DOUBLE) AS gross_amount, principal_amount, interest_amount, tax_amount,
+         {_raw_date('installment_date')} AS date,
+         CASE WHEN id % 11 = 0 THEN NULL ELSE CAST(id % 100000 AS VARCHAR) END AS ref,
+         CASE WHEN id % 101 = 0 THEN NULL ELSE gross_amount END AS gross_amount,
+         CASE WHEN id % 23 = 0 THEN 0 ELSE principal_amount END AS principal_amount, interest_amount, tax_amount,
          CASE WHEN id % 7 = 0 THEN NULL ELSE fee_amount END AS fee_amount
   FROM schedule
 ),
 t AS (
-  SELECT id, company_code, borrower_contract_id,
-         CASE WHEN ref = floor(ref) THEN CAST(CAST(ref AS BIGINT) AS VARCHAR) ELSE CAST(ref AS VARCHAR) END
-           AS borrower_installment_reference,
-         TRY_CAST(date AS DATE) AS installment_date,
+  SELECT id, company_code, borrower_contract_id, ref AS borrower_installment_reference,
+         {_read_date('date')} AS installment_date,
          CAST(gross_amount AS {M}) AS gross_amount,
          CAST(0 AS {M}) AS guarantee_amount,
          CAST(COALESCE(principal_amount, 0) AS {M}) AS principal_amount,
@@ -213,6 +223,12 @@ SELECT id, company_code, borrower_contract_id, borrower_installment_reference, i
        interest_amount, tax_amount, fee_amount
 FROM t"""
 
+SQL["sanitize_payments"] = f"""WITH {ORACLE_CTES},
+raw AS (SELECT *, {_raw_date('payment_date')} AS date FROM payments)
+SELECT id, company_id, borrower_contract_id, {_read_date('date')} AS payment_date,
+       CASE WHEN id % 19 = 0 THEN NULL ELSE total_payment END AS total_payment, borrower_installment_reference
+FROM raw"""
+
 _FALLBACK = ("(guarantee_amount + principal_amount + interest_amount + tax_amount + fee_amount = 0 "
              "AND COALESCE(gross_amount, 0) > 0)")
 SQL["bucket_fallback"] = f"""WITH {ORACLE_CTES}
@@ -290,9 +306,19 @@ LEFT JOIN tp ON lt.borrower_contract_id = tp.borrower_contract_id
 LEFT JOIN npv ON lt.borrower_contract_id = npv.borrower_contract_id"""
 
 SQL["companies_without_schedule"] = f"""WITH {ORACLE_CTES}
-SELECT lt.* FROM loan_tape lt
-WHERE NOT EXISTS (SELECT 1 FROM schedule s
-                  WHERE s.company_code <> 'MACHINERY' AND s.company_code = lt.company_code)"""
+SELECT lt.* EXCLUDE (company_code), 'B' || lt.borrower_contract_id AS company_code FROM loan_tape lt
+WHERE lt.borrower_contract_id NOT IN (SELECT borrower_contract_id FROM schedule)"""
+
+
+def _shared(sql: str) -> str:
+    """The statement over contract ids that are only unique within a company."""
+    return sql.replace(ORACLE_CTES, SHARED_ORACLE_CTES)
+
+
+_SPLIT = "split_part({0}borrower_contract_id, ':', 1) AS company_code, split_part({0}borrower_contract_id, ':', 2) AS borrower_contract_id"
+
+SQL["portfolio_enrichment"] = f"""SELECT * EXCLUDE (borrower_contract_id, company_code, last_update_date, payment_tape_ref), {_SPLIT.format('')}
+FROM ({_shared(SQL['enrich_loan_tape'])})"""
 
 # --- schedule generation -------------------------------------------------------
 
@@ -324,6 +350,30 @@ terms AS (
     AND first_installment_date IS NOT NULL
 )"""
 
+# The same with the faults of the messy tape: what cannot be built is left out.
+_K = "CAST(borrower_contract_id AS BIGINT)"
+MESSY = f"""messy AS (
+  SELECT borrower_contract_id, company_code, first_date AS first_installment_date, principal, rate AS interest_rate, n,
+         CASE WHEN {_K} % 499 = 7 THEN 'diario' ELSE periodicity END AS periodicity,
+         list_filter([CASE WHEN principal IS NULL THEN 'original_principal is not a number' END,
+                      CASE WHEN principal >= 1000000000000 THEN 'original_principal is 10^12 or more' END,
+                      CASE WHEN n = 0 THEN 'num_installments is zero' END,
+                      CASE WHEN n < 0 THEN 'num_installments is negative' END,
+                      CASE WHEN rate IS NULL THEN 'interest_rate is not a number' END,
+                      CASE WHEN first_date IS NULL THEN 'first_installment_date is not a date' END,
+                      CASE WHEN rate <= -1 THEN 'interest_rate is -100% or less' END], lambda x: x IS NOT NULL) AS errs
+  FROM (SELECT *,
+               CASE WHEN {_K} % 97 = 0 THEN NULL WHEN {_K} % 89 = 0 THEN 2500000000000 ELSE original_principal END AS principal,
+               CASE WHEN {_K} % 499 = 7 THEN 3650 WHEN {_K} % 41 = 0 THEN -3 ELSE CAST({_K} % 36 AS INTEGER) END AS n,
+               CASE WHEN {_K} % 83 = 0 THEN -1.5 WHEN {_K} % 79 = 0 THEN NULL ELSE interest_rate END AS rate,
+               CASE WHEN {_K} % 73 = 0 THEN NULL ELSE first_installment_date END AS first_date
+        FROM loan_tape)
+)"""
+_RENAMED = "original_principal AS principal, num_installments AS n,"
+assert _RENAMED in TERMS and "  FROM loan_tape\n)," in TERMS
+MESSY_TERMS = TERMS.replace(f"{ORACLE_CTES},", f"{ORACLE_CTES},\n{MESSY},", 1).replace(_RENAMED, "CAST(principal AS DECIMAL(18,6)) AS principal, n,").replace(
+    "  FROM loan_tape\n),", "  FROM messy WHERE len(errs) = 0\n),")
+
 SQL["period_rate"] = TERMS.replace("WITH RECURSIVE", "WITH") + """
 SELECT borrower_contract_id, periodicity, CAST(r AS DECIMAL(19,18)) AS period_rate FROM t2"""
 
@@ -341,7 +391,7 @@ steps AS (SELECT borrower_contract_id, first_installment_date, periodicity, CAST
           FROM terms WHERE n >= 1)
 SELECT borrower_contract_id, i AS installment_number, {_DUE} AS installment_date FROM steps"""
 
-SQL["generate_schedule"] = TERMS + f""",
+SQL["generate_schedule"] = MESSY_TERMS + f""",
 amort AS (
   SELECT borrower_contract_id, company_code, first_installment_date, periodicity, n, rdec, payment,
          0 AS i, CAST(principal AS DECIMAL(18,6)) AS bal,
@@ -370,20 +420,11 @@ SELECT company_code, borrower_contract_id,
        CAST(0 AS {M}) AS fee_amount
 FROM amort WHERE i >= 1"""
 
+SQL["schedule_append_idempotent"] = f"""SELECT * REPLACE ('ONE' AS company_code) FROM ({SQL['generate_schedule']})"""
+
 SQL["schedule_rejects"] = f"""WITH {ORACLE_CTES},
-m AS (
-  SELECT borrower_contract_id,
-         CASE WHEN CAST(borrower_contract_id AS BIGINT) % 97 = 0 THEN NULL ELSE original_principal END AS principal,
-         CAST(CAST(borrower_contract_id AS BIGINT) % 36 AS INTEGER) AS n
-  FROM loan_tape
-),
-e AS (
-  SELECT borrower_contract_id,
-         list_filter([CASE WHEN principal IS NULL THEN 'original_principal is not a number' END,
-                      CASE WHEN n = 0 THEN 'num_installments is zero' END], lambda x: x IS NOT NULL) AS errs
-  FROM m
-)
-SELECT borrower_contract_id, array_to_string(errs, '; ') AS errors FROM e WHERE len(errs) > 0"""
+{MESSY}
+SELECT borrower_contract_id, array_to_string(errs, '; ') AS errors FROM messy WHERE len(errs) > 0"""
 
 # --- classifier: positional statement of the rules (windows, LEAD, arg_min) ----
 
@@ -391,9 +432,7 @@ CLASSIFY = BASE + f""",
 p AS (SELECT * FROM payments WHERE borrower_contract_id IS NOT NULL),
 pr AS (
   SELECT borrower_contract_id, borrower_installment_reference,
-         SUM(total_payment) AS tp, COUNT(total_payment) AS np, COUNT(*) AS nrows, COUNT(payment_date) AS ndated,
-         MIN(year(payment_date) * 12 + month(payment_date)) AS ym_min,
-         MAX(year(payment_date) * 12 + month(payment_date)) AS ym_max
+         SUM(total_payment) AS tp, COUNT(total_payment) AS np
   FROM p WHERE borrower_installment_reference IS NOT NULL GROUP BY 1, 2
 ),
 o AS (
@@ -431,8 +470,7 @@ agg AS (
          BOOL_OR(pos = 0 AND ex) AS first_ex, BOOL_OR(pos = 0 AND un) AS first_un,
          COALESCE(BOOL_OR(g > 0 AND ratio >= 1.4 AND ratio <= 1.6 AND next_g IS NOT NULL AND next_tp + 0.001 < next_g),
                   false) AS r9,
-         MIN(CASE WHEN NOT ex THEN pos END) AS first_not_ex,
-         MAX(CASE WHEN NOT un THEN pos END) AS last_not_un
+         string_agg(CASE WHEN ex THEN 'e' WHEN un THEN 'u' ELSE '-' END, '' ORDER BY pos) AS pattern
   FROM of GROUP BY 1
 ),
 le AS (
@@ -444,11 +482,16 @@ le AS (
   GROUP BY 1
 ),
 ofirst AS (SELECT borrower_contract_id, borrower_installment_reference, arg_min(g, pos) AS g_first FROM of GROUP BY 1, 2),
-tw AS (
-  SELECT ofirst.borrower_contract_id,
-         BOOL_OR(pr.nrows = 2 AND pr.ndated = 2 AND pr.ym_min = pr.ym_max AND ABS(pr.tp - ofirst.g_first) < 0.01) AS twice
-  FROM ofirst JOIN pr ON ofirst.borrower_contract_id = pr.borrower_contract_id
-                     AND ofirst.borrower_installment_reference = pr.borrower_installment_reference
+tw AS (  -- two dated payments of one month, the only ones on their reference, that add up to its first overdue gross
+  SELECT ofirst.borrower_contract_id, BOOL_OR(ABS(a.total_payment + b.total_payment - ofirst.g_first) < 0.01) AS twice
+  FROM ofirst
+  JOIN p a ON ofirst.borrower_contract_id = a.borrower_contract_id
+          AND ofirst.borrower_installment_reference = a.borrower_installment_reference
+  JOIN p b ON a.borrower_contract_id = b.borrower_contract_id
+          AND a.borrower_installment_reference = b.borrower_installment_reference
+          AND a.id < b.id AND date_trunc('month', a.payment_date) = date_trunc('month', b.payment_date)
+  WHERE NOT EXISTS (SELECT 1 FROM p c WHERE c.borrower_contract_id = a.borrower_contract_id
+                    AND c.borrower_installment_reference = a.borrower_installment_reference AND c.id NOT IN (a.id, b.id))
   GROUP BY 1
 ),
 pc AS (SELECT borrower_contract_id, COUNT(*) AS n_pay, COALESCE(BOOL_OR(payment_date = {CALC}), false) AS on_cut
@@ -457,7 +500,7 @@ k AS (SELECT DISTINCT borrower_contract_id FROM s WHERE borrower_contract_id IS
 x AS (
   SELECT k.borrower_contract_id, COALESCE(agg.n, 0) AS n, agg.ne, agg.npa, agg.nu, agg.no, agg.nc, agg.max_np,
          agg.cents, agg.ratio_max, agg.dup15, agg.last_pa, agg.ne_head, agg.ne_tail, agg.first_ex, agg.first_un,
-         agg.r9, agg.first_not_ex, agg.last_not_un,
+         agg.r9, agg.pattern,
          COALESCE(le.late, false) AS late, COALESCE(le.early, false) AS early,
          COALESCE(tw.twice, false) AS twice, COALESCE(pc.n_pay, 0) AS n_pay, COALESCE(pc.on_cut, false) AS on_cut
   FROM k LEFT JOIN agg USING (borrower_contract_id) LEFT JOIN le USING (borrower_contract_id)
@@ -481,8 +524,7 @@ r AS (
            CASE WHEN cents THEN 13 END,
            CASE WHEN dup15 THEN 15 END,
            CASE WHEN n >= 2 AND first_un AND ne_tail = n - 1 AND npa = 0 AND no = 0 THEN 16 END,
-           CASE WHEN ne >= 2 AND nu >= 1 AND npa = 0 AND no = 0 AND NOT late AND first_not_ex >= 2
-                     AND (last_not_un IS NULL OR last_not_un < first_not_ex) THEN 18 END
+           CASE WHEN NOT late AND regexp_full_match(pattern, 'ee+u+') THEN 18 END  -- paid exactly, then not at all
          ], lambda v: v IS NOT NULL) AS matched
   FROM x
 ),
@@ -548,6 +590,60 @@ SELECT job_id, malformed, errors, warnings FROM v"""
 SQL["rejected_requests"] = _REQ + """
 SELECT job_id, errors FROM v WHERE errors <> ''"""
 
+_BODY = """'{"origin":"PORTFOLIO_DESK","target":"ARREARS_SERVICE","job_id":"job-' || o_orderkey
+  || '","input_file":"/data/loans/' || company || '.parquet","output_file":"/data/out/' || company
+  || '.parquet","key":"borrower_contract_id","target_type":"COMPANY","target_id":'
+  || CASE WHEN o_custkey % 3 = 0 THEN '"' || (o_orderkey % 5 + 1) || '"' ELSE CAST(o_orderkey % 5 + 1 AS VARCHAR) END
+  || CASE digit WHEN '5' THEN ',"rate_type":"floating"' WHEN '4' THEN '' WHEN '3' THEN ',"rate_type":"variable"'
+                ELSE ',"rate_type":"fixed"' END
+  || ',"metadata":{"products":["dpd","' || CASE o_orderstatus WHEN 'F' THEN 'total_amount' WHEN 'O' THEN 'vpn' ELSE 'npv' END || '"]'
+  || CASE WHEN o_custkey % 4 = 0 THEN ''
+          ELSE ',"interest_rate":' || CAST(CAST(CAST(0.01 AS DECIMAL(3,2)) * (o_custkey % 20) AS DOUBLE) AS VARCHAR) END
+  || CASE WHEN o_orderkey % 7 = 0 THEN ',"paid_threshold":0.8' ELSE '' END || '}}'"""
+
+SQL["dedup_requests"] = _REQ + f""",
+b AS (SELECT malformed, {_BODY} AS body FROM o),
+c AS (SELECT DISTINCT CASE WHEN malformed THEN substr(body, 1, length(body) - 7) ELSE body END AS body FROM b)
+SELECT sha256(body) AS body_hash, body FROM c"""
+
+_FRESH = SQL["freshness_dates"]
+
+SQL["build_responses"] = _REQ + f""",
+f AS ({_FRESH})
+SELECT 'ARREARS_SERVICE' AS origin, 'PORTFOLIO_DESK' AS target, 'job-' || o_orderkey AS job_id,
+       '/data/loans/' || company || '.parquet' AS input_file, '/data/out/' || company || '.parquet' AS output_file,
+       'borrower_contract_id' AS key, 'COMPANY' AS target_type, CAST(o_orderkey % 5 + 1 AS INTEGER) AS target_id,
+       CASE o_orderstatus WHEN 'F' THEN 'dpd,total_amount' ELSE 'dpd,vpn' END AS products,
+       CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE CAST(CAST(0.01 AS DECIMAL(3,2)) * (o_custkey % 20) AS DOUBLE) END AS interest_rate,
+       f.last_payment_tape_date, f.last_schedule_payment_date, f.last_payment_date, 'PORTFOLIO_DESK' AS routed_to
+FROM o JOIN f ON f.company_id = o_orderkey % 5 + 1
+WHERE NOT malformed AND o_orderstatus IN ('F', 'O') AND digit <> '5'"""
+
+# The last valid request of each company decides the paid share; dpd_max sees the highest share of all.
+SQL["requests_stream"] = BASE + cascade_ctes(name="c") + f""",
+o AS ({_REQ[len('WITH o AS ('):_REQ.index('),')]}),
+valid AS (SELECT company, 'job-' || o_orderkey AS job_id, CASE WHEN o_orderkey % 7 = 0 THEN 0.8 ELSE 1.0 END AS share
+          FROM o WHERE NOT malformed AND o_orderstatus IN ('F', 'O') AND digit <> '5'),
+last AS (SELECT company, max(job_id) AS job_id, arg_max(share, job_id) AS share, max(share) AS highest FROM valid GROUP BY 1),
+late AS (
+  SELECT c.borrower_contract_id,
+         MAX(CASE WHEN applied_amount >= gross_amount * last.share THEN 0 ELSE {_dpd(1)} END) AS d,
+         MAX(CASE WHEN applied_amount >= gross_amount * last.highest THEN 0 ELSE {_dpd(1)} END) AS dm,
+         SUM(CASE WHEN applied_amount < gross_amount * last.share AND {_dpd(1)} > 0
+                  THEN GREATEST(gross_amount - applied_amount, 0) END) AS arr
+  FROM c JOIN last ON last.company = c.company_code GROUP BY 1
+)
+SELECT lt.borrower_contract_id, lt.company_code, CAST(COALESCE(late.d, 0) AS INTEGER) AS dpd_current,
+       CAST(COALESCE(GREATEST(late.d, late.dm), 0) AS INTEGER) AS dpd_max,
+       CAST(COALESCE(late.arr, 0) AS {M}) AS amount_in_arrears, last.job_id AS payment_tape_ref
+FROM loan_tape lt JOIN last ON last.company = lt.company_code LEFT JOIN late USING (borrower_contract_id)"""
+
+SQL["load_loan_tape"] = f"""WITH {ORACLE_CTES}
+SELECT CAST(borrower_contract_id AS INTEGER) AS borrower_contract_id, company_code, company_id,
+       CAST(original_principal AS DOUBLE) AS original_principal, num_installments, interest_rate, first_installment_date,
+       trim(periodicity) AS periodicity
+FROM loan_tape"""
+
 _DETAIL_TAIL = DETAIL[len(BASE):]
 _CLASSIFY_TAIL = CLASSIFY[len(BASE):]
 
@@ -565,16 +661,28 @@ summ AS (
 SELECT summ.*, lab.case_label AS "case"
 FROM summ LEFT JOIN lab ON summ.borrower_contract_id = lab.borrower_contract_id"""
 
+SQL["detail_with_cases"] = BASE + _DETAIL_TAIL + _CLASSIFY_TAIL + """
+SELECT d.*, MAX(cascade_dpd) OVER (PARTITION BY d.borrower_contract_id) AS max_cascade_dpd,
+       MAX(join_dpd) OVER (PARTITION BY d.borrower_contract_id) AS max_join_dpd, lab.case_label AS "case"
+FROM d LEFT JOIN lab ON d.borrower_contract_id = lab.borrower_contract_id"""
+
+SQL["portfolio_summary_with_cases"] = f"""SELECT * EXCLUDE (borrower_contract_id), {_SPLIT.format('')}
+FROM ({_shared(SQL['summary_with_cases'])})"""
+
+SQL["export_detail_summary"] = f"""
+SELECT 'detail' AS part, borrower_contract_id, id, CAST(NULL AS BIGINT) AS cuotas, cascade_dpd, cascade_arrears, join_dpd, join_arrears
+FROM ({SQL['detail_both']})
+UNION ALL
+SELECT 'summary', borrower_contract_id, NULL, cuotas, cascade_dpd_max, cascade_arrears_total, join_dpd_max, join_arrears_total
+FROM ({SQL['summary_both']})"""
+
 SQL["generation_gate"] = f"""WITH {ORACLE_CTES},
-cm AS (SELECT * FROM (VALUES (1, 'AUTOMOBILE'), (2, 'BUILDING'), (3, 'FURNITURE'), (4, 'HOUSEHOLD'), (5, 'MACHINERY'))
-       AS t(company_id, company_code)),
-sc AS (SELECT DISTINCT company_code FROM schedule
-       WHERE company_code NOT IN ('MACHINERY', 'HOUSEHOLD') AND company_code IS NOT NULL)
-SELECT cm.company_id, cm.company_code,
-       CASE WHEN cm.company_id % 2 = 0 THEN 'variable' ELSE 'fixed' END AS rate_type,
-       CASE WHEN sc.company_code IS NOT NULL THEN 'use_schedule'
-            WHEN cm.company_id % 2 = 0 THEN 'reject' ELSE 'generate' END AS decision
-FROM cm LEFT JOIN sc ON cm.company_code = sc.company_code"""
+sc AS (SELECT DISTINCT borrower_contract_id FROM schedule)
+SELECT 'B' || lt.borrower_contract_id AS company_code,
+       CASE WHEN num_installments % 2 = 0 THEN 'variable' ELSE 'fixed' END AS rate_type,
+       CASE WHEN sc.borrower_contract_id IS NOT NULL THEN 'use_schedule'
+            WHEN num_installments % 2 = 0 THEN 'reject' ELSE 'generate' END AS decision
+FROM loan_tape lt LEFT JOIN sc USING (borrower_contract_id)"""
 
 SQL["bucket_mismatch"] = BASE + """
 SELECT company_code, COUNT(*) AS instalments,

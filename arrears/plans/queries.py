@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.config import CONTRACT, RunConfig
+from arrears.config import CONTRACT, CURRENT_REPORT_COLUMN, HISTORY_REPORT_COLUMN, Cutoff
 from arrears.operators import allocate as A
 from arrears.operators import products as P
 from arrears.operators import reports as R
@@ -31,8 +32,8 @@ def query(fn: Query | None = None, *, name: str | None = None):
     return register(fn) if fn is not None else register
 
 
-def cfg(**kw) -> RunConfig:
-    return RunConfig(calc_date=TD.CALC_DATE, **kw)
+def cfg(**kw) -> Cutoff:
+    return Cutoff(as_of=TD.CALC_DATE, **kw)
 
 
 def _sched(spark, sf_dir):
@@ -74,17 +75,17 @@ def dpd_cascade(spark, sf_dir):
 
 @query
 def dpd_cascade_partial(spark, sf_dir):
-    return _alloc(spark, sf_dir, "cascade", "applied_amount", partial_payment_counts=True)
+    return _alloc(spark, sf_dir, "cascade", "applied_amount", any_payment_counts=True)
 
 
 @query
 def dpd_cascade_threshold80(spark, sf_dir):
-    return _alloc(spark, sf_dir, "cascade", "applied_amount", paid_threshold=0.8)
+    return _alloc(spark, sf_dir, "cascade", "applied_amount", paid_share=0.8)
 
 
 @query
 def dpd_cascade_grace5(spark, sf_dir):
-    return _alloc(spark, sf_dir, "cascade", "applied_amount", grace_days=5)
+    return _alloc(spark, sf_dir, "cascade", "applied_amount", grace=5)
 
 
 @query
@@ -142,20 +143,31 @@ def summary_both(spark, sf_dir):
 # --- cleaning --------------------------------------------------------------
 
 
+def _raw_date(column: str):
+    """ISO or month-first text; some days that do not exist month first, some that are no date."""
+    d = F.col(column)
+    return (
+        F.when(F.col("id") % 97 == 0, F.lit("n/a"))
+        .when(F.col("id") % 89 == 0, F.date_format(d, "'13'/dd/yyyy"))
+        .when(F.col("id") % 3 == 0, F.date_format(d, "MM/dd/yyyy"))
+        .otherwise(F.date_format(d, "yyyy-MM-dd"))
+    )
+
+
 def raw_schedule(spark, sf_dir):
-    """The schedule as a spreadsheet would deliver it: text dates (some bad),
-    numeric references, float gross, null fees, no guarantee column."""
+    """The schedule as a spreadsheet would deliver it: text dates (ISO, month first, some bad), numeric
+    references (some NaN), float gross, amounts as text (some not numbers), null fees, no guarantee column."""
     s = TD.schedule(spark, sf_dir)
     return s.select(
         "id",
         "company_code",
         "borrower_contract_id",
-        F.when(F.col("id") % 97 == 0, F.lit("n/a"))
-        .otherwise(F.date_format("installment_date", "yyyy-MM-dd"))
-        .alias("date"),
-        (F.col("id") % 100000).cast("double").alias("borrower_installment_reference"),
-        F.col("gross_amount").cast("double").alias("gross_amount"),
-        "principal_amount",
+        _raw_date("installment_date").alias("date"),
+        F.when(F.col("id") % 11 == 0, F.lit(float("nan"))).otherwise((F.col("id") % 100000).cast("double"))
+        .alias("borrower_installment_reference"),
+        F.when(F.col("id") % 101 == 0, F.lit(float("nan"))).otherwise(F.col("gross_amount").cast("double")).alias("gross_amount"),
+        F.when(F.col("id") % 23 == 0, F.lit("pending")).otherwise(F.concat(F.lit(" "), F.col("principal_amount").cast("string")))
+        .alias("principal_amount"),
         "interest_amount",
         "tax_amount",
         F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("fee_amount")).alias("fee_amount"),
@@ -167,6 +179,24 @@ def sanitize_schedule_raw(spark, sf_dir):
     return sanitize_schedule(raw_schedule(spark, sf_dir))
 
 
+@query
+def sanitize_payments(spark, sf_dir):
+    """A payment tape with all faults: references in a column without a header, text dates and amounts."""
+    from arrears.operators.clean import sanitize_payments as sanitize
+
+    p = TD.payments(spark, sf_dir)
+    raw = p.select(
+        "id", "company_id", "borrower_contract_id",
+        _raw_date("payment_date").alias("payment_date"),
+        F.when(F.col("id") % 19 == 0, F.lit("??")).otherwise(F.col("total_payment").cast("string")).alias("total_payment"),
+        F.lit(None).cast("string").alias("borrower_installment_reference"),
+        F.lit("x").alias("_corrupt_record"),
+        F.lit(None).cast("string").alias("_c5"),
+        F.col("borrower_installment_reference").alias("_c6"),
+    )
+    return sanitize(raw).drop("_c5", "_c6", "_corrupt_record")
+
+
 @query
 def bucket_fallback(spark, sf_dir):
     from arrears.operators.clean import needs_fallback
@@ -199,27 +229,24 @@ def freshness_dates(spark, sf_dir):
     return R.freshness(TD.schedule(spark, sf_dir), TD.payments(spark, sf_dir), company_map=TD.company_map(spark))
 
 
+BEFORE = {"previous_dpd": Cutoff(as_of=TD.PREVIOUS_CALC_DATE)}
+
+
 def _instalment_dpd_history(spark, sf_dir):
-    """Per-instalment dpd_current at the cut-off and dpd_max over the previous and current runs."""
-    s, p = _sched(spark, sf_dir), _pays(spark, sf_dir)
-    now = A.cascade(s, p, cfg()).select("id", CONTRACT, "installment_date", "dpd_current")
-    before = A.cascade(s, p, RunConfig(calc_date=TD.PREVIOUS_CALC_DATE)).select(
-        "id", CONTRACT, "installment_date", F.col("dpd_current").alias("previous_dpd")
-    )
-    return now.join(before, ["id", CONTRACT, "installment_date"], "left").withColumn(
-        "dpd_max", F.greatest("dpd_current", F.coalesce("previous_dpd", F.lit(0)))
-    )
+    """Per-instalment dpd_current at the cut-off and dpd_max over the previous and current runs (one allocation)."""
+    now = A.cascade(_sched(spark, sf_dir), _pays(spark, sf_dir), cfg(), BEFORE)
+    return now.withColumn("dpd_max", F.greatest("dpd_current", "previous_dpd"))
 
 
 @query
 def current_dpd_by_contract(spark, sf_dir):
     return R.per_contract_max(A.cascade(_sched(spark, sf_dir), _pays(spark, sf_dir), cfg()), "dpd_current",
-                              "dpd_credito")
+                              CURRENT_REPORT_COLUMN)
 
 
 @query
 def max_dpd_by_contract(spark, sf_dir):
-    return R.per_contract_max(_instalment_dpd_history(spark, sf_dir), "dpd_max", "max_tiempo_mora")
+    return R.per_contract_max(_instalment_dpd_history(spark, sf_dir), "dpd_max", HISTORY_REPORT_COLUMN)
 
 
 @query
@@ -233,33 +260,58 @@ JOB_ID = "job-0001"
 UPDATED_AT = datetime.datetime(1998, 7, 1, 6, 0, tzinfo=datetime.timezone.utc)
 
 
-def _previous_output(spark, sf_dir):
-    return P.enrich(_loans(spark, sf_dir), CONTRACT, ["dpd"], RunConfig(calc_date=TD.PREVIOUS_CALC_DATE),
-                    _sched(spark, sf_dir), _pays(spark, sf_dir))
-
-
 @query
 def dpd_max_history(spark, sf_dir):
     return P.enrich(_loans(spark, sf_dir), CONTRACT, ["dpd"], cfg(), _sched(spark, sf_dir), _pays(spark, sf_dir),
-                    previous=_previous_output(spark, sf_dir))
+                    also=list(BEFORE.values()))
 
 
 @query
 def enrich_loan_tape(spark, sf_dir):
     out = P.enrich(
         _loans(spark, sf_dir), CONTRACT, ["vpn", "dpd", "total_amount"], cfg(),
-        _sched(spark, sf_dir), _pays(spark, sf_dir), interest_rate=TD.INVESTOR_RATE,
-        previous=_previous_output(spark, sf_dir),
+        _sched(spark, sf_dir), _pays(spark, sf_dir), interest_rate=TD.INVESTOR_RATE, also=list(BEFORE.values()),
     )
     return P.with_lineage(out, JOB_ID, UPDATED_AT)
 
 
+def _shared(spark, sf_dir):
+    """Loans, schedule and payments of a portfolio whose contract ids repeat across companies."""
+    pays = tables.with_company_code(TD.shared_id(_pays(spark, sf_dir)), TD.company_map(spark))
+    return TD.shared_id(_loans(spark, sf_dir)), TD.shared_id(_sched(spark, sf_dir)), pays
+
+
+SHARED_KEYS = ("company_code", CONTRACT)
+
+
+@query
+def portfolio_enrichment(spark, sf_dir):
+    """Products of a portfolio-wide run under the composite contract key."""
+    loans, s, p = _shared(spark, sf_dir)
+    return P.enrich(loans, CONTRACT, ["vpn", "dpd", "total_amount"], cfg(contract_keys=SHARED_KEYS), s, p,
+                    interest_rate=TD.INVESTOR_RATE, also=list(BEFORE.values()))
+
+
+@query
+def portfolio_summary_with_cases(spark, sf_dir):
+    """Summary and case labels of a portfolio-wide run under the composite contract key."""
+    from arrears.operators.classify import attach_cases, classify_contracts as classify
+
+    _, s, p = _shared(spark, sf_dir)
+    summ = R.summary(R.detail(s, p, cfg(contract_keys=SHARED_KEYS), with_contract_max=False), keys=SHARED_KEYS)
+    return attach_cases(summ, classify(s, p, TD.CALC_DATE, SHARED_KEYS), keys=SHARED_KEYS)
+
+
+def _branch(df, key: str = CONTRACT):
+    """Every order is a branch of its own; some have no line items, so no schedule."""
+    return df.withColumn("company_code", F.concat(F.lit("B"), F.col(key).cast("string")))
+
+
 @query
 def companies_without_schedule(spark, sf_dir):
     from arrears.operators.schedule import loans_without_schedule
 
-    sched = TD.schedule(spark, sf_dir).where(F.col("company_code") != "MACHINERY")
-    return loans_without_schedule(_loans(spark, sf_dir), sched)
+    return loans_without_schedule(_branch(_loans(spark, sf_dir)), _branch(TD.schedule(spark, sf_dir)))
 
 
 # --- schedule generation -----------------------------------------------------
@@ -294,23 +346,29 @@ def due_dates(spark, sf_dir):
                         .alias("installment_date"))
 
 
-@query
-def generate_schedule(spark, sf_dir):
-    from arrears.operators.schedule import generate_schedule as gen
-
-    return gen(_loans(spark, sf_dir)).drop("id")
-
-
 def messy_loans(spark, sf_dir):
-    """Loan tape with the faults generation must reject: zero terms, missing principals."""
+    """Loan tape with the faults generation must reject (terms, principals, rates, dates) and some
+    ten-year daily loans."""
     lt = _loans(spark, sf_dir)
+    k = F.col("borrower_contract_id").cast("long")
+    long = k % 499 == 7
     return lt.withColumns({
-        "num_installments": (F.col("borrower_contract_id").cast("long") % 36).cast("int"),
-        "original_principal": F.when(F.col("borrower_contract_id").cast("long") % 97 == 0, F.lit(None))
-        .otherwise(F.col("original_principal")),
+        "num_installments": F.when(long, F.lit(3650)).when(k % 41 == 0, F.lit(-3)).otherwise((k % 36).cast("int")),
+        "periodicity": F.when(long, F.lit("diario")).otherwise(F.col("periodicity")),
+        "original_principal": F.when(k % 97 == 0, F.lit(None)).when(k % 89 == 0, F.lit("2500000000000"))
+        .otherwise(F.col("original_principal").cast("string")),
+        "interest_rate": F.when(k % 83 == 0, F.lit(-1.5)).when(k % 79 == 0, F.lit(float("nan"))).otherwise(F.col("interest_rate")),
+        "first_installment_date": F.when(k % 73 != 0, F.col("first_installment_date")),
     })
 
 
+@query
+def generate_schedule(spark, sf_dir):
+    from arrears.operators.schedule import generate_schedule as gen
+
+    return gen(messy_loans(spark, sf_dir)).drop("id")
+
+
 @query
 def schedule_rejects(spark, sf_dir):
     from arrears.operators.schedule import schedule_rejects as rejects
@@ -387,32 +445,45 @@ def _scratch(spark, name):
     return scratch_path(spark, "queries", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+_RESPONSE = ("origin string, target string, job_id string, input_file string, output_file string, key string, target_type string, "
+             "target_id int, metadata struct<products:array<string>,interest_rate:double,last_payment_tape_date:date,"
+             "last_schedule_payment_date:date,last_payment_date:date>")
+
+
 @query
 def build_responses(spark, sf_dir):
-    from arrears.streaming.requests import build_responses as respond, parse_requests as parse
+    """Responses to the valid requests, their JSON read back into columns."""
+    from arrears.streaming.requests import build_responses as respond, split_valid
 
-    cm = TD.company_map(spark)
-    bodies = cm.select(TD.company_requests("/data/loans/portfolio.parquet", "/data/out").alias("body"))
-    fresh = R.freshness(_sched(spark, sf_dir), _pays(spark, sf_dir), company_map=cm)
-    return respond(parse(bodies), fresh.drop("company_code"), TD.SERVICE_NAME)
+    valid, _ = split_valid(_validated_orders(spark, sf_dir))
+    fresh = R.freshness(TD.schedule(spark, sf_dir), TD.payments(spark, sf_dir), company_map=TD.company_map(spark))
+    out = respond(valid, fresh.drop("company_code"), TD.SERVICE_NAME)
+    r = out.select(F.inline(F.array(F.struct(F.from_json("body", _RESPONSE).alias("r"), F.col("attributes").alias("a")))))
+    return r.select("r.origin", "r.target", "r.job_id", "r.input_file", "r.output_file", "r.key", "r.target_type", "r.target_id",
+                    F.array_join("r.metadata.products", ",").alias("products"), "r.metadata.interest_rate",
+                    "r.metadata.last_payment_tape_date", "r.metadata.last_schedule_payment_date", "r.metadata.last_payment_date",
+                    F.col("a")["target"].alias("routed_to"))
 
 
 @query
 def requests_stream(spark, sf_dir):
-    """Per-company requests dropped as a file, served by the stream (availableNow)."""
+    """The requests of all orders dropped as files and served by the stream: the enriched tapes it leaves."""
     from arrears.plans.service import PortfolioSources
+    from arrears.sources.loan_tape import read_loan_tape
     from arrears.streaming.service import start_request_service
 
     base = _scratch(spark, "stream")
-    tape = f"{base}/in/portfolio.parquet"
-    _loans(spark, sf_dir).write.mode("overwrite").parquet(tape)
-    cm = TD.company_map(spark)
-    cm.select(TD.company_requests(tape, f"{base}/out").alias("body")).coalesce(1).write.text(f"{base}/requests")
-    src = PortfolioSources(_sched(spark, sf_dir), _pays(spark, sf_dir), company_map=cm)
+    loans = _loans(spark, sf_dir)
+    for code in TD.COMPANIES:
+        loans.where(F.col("company_code") == code).write.parquet(f"{base}/in/{code}.parquet")
+    TD.order_requests(spark, sf_dir, f"{base}/in", f"{base}/out").write.text(f"{base}/requests")
+    src = PortfolioSources(_sched(spark, sf_dir), _pays(spark, sf_dir), company_map=TD.company_map(spark))
     q = start_request_service(spark, f"{base}/requests", f"{base}/checkpoint", src, f"{base}/responses",
-                              f"{base}/rejects", TD.SERVICE_NAME, calc_date=TD.CALC_DATE)
+                              f"{base}/rejects", TD.SERVICE_NAME, as_of=TD.CALC_DATE)
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/responses")
+    cols = [CONTRACT, "company_code", "dpd_current", "dpd_max", "amount_in_arrears", "payment_tape_ref"]
+    tapes = [read_loan_tape(spark, f"{base}/out/{code}.parquet").select(*cols) for code in TD.COMPANIES]
+    return reduce(DataFrame.unionByName, tapes)
 
 
 @query
@@ -427,15 +498,14 @@ def load_loan_tape(spark, sf_dir):
 
 @query
 def schedule_append_idempotent(spark, sf_dir):
-    """A generated schedule appended twice to a table holds each instalment once."""
+    """A generated schedule appended by two batches, one of them twice: each instalment is stored once."""
     from arrears.operators.schedule import generate_schedule as gen
-    from arrears.sources.loan_tape import append_schedule
+    from arrears.sources.loan_tape import append_schedule, read_schedule_table
 
-    table = _scratch(spark, "schedule_table")
-    generated = gen(_loans(spark, sf_dir))
-    append_schedule(generated, table)
-    append_schedule(gen(_loans(spark, sf_dir)), table, existing=spark.read.parquet(table))
-    return spark.read.parquet(table)
+    stored = _scratch(spark, "schedule_table")
+    for batch in ("a", "b", "a"):
+        append_schedule(gen(messy_loans(spark, sf_dir), company_code="ONE"), stored, "ONE", batch)
+    return read_schedule_table(spark, stored).drop("id")
 
 
 @query
@@ -444,33 +514,45 @@ def summary_with_cases(spark, sf_dir):
     from arrears.operators.classify import attach_cases, classify_contracts as classify
 
     s, p = _sched(spark, sf_dir), _pays(spark, sf_dir)
-    summ = R.summary(R.detail(s, p, cfg(), with_contract_max=False), ordered=False)
+    summ = R.summary(R.detail(s, p, cfg(), with_contract_max=False))
     return attach_cases(summ, classify(s, p, TD.CALC_DATE))
 
 
+@query
+def detail_with_cases(spark, sf_dir):
+    """Detail rows of a whole run with each contract's case label attached."""
+    from arrears.plans.run import run_tables
+
+    d, _ = run_tables(TD.schedule(spark, sf_dir), TD.payments(spark, sf_dir), TD.CALC_DATE, cases=True)
+    return d
+
+
 @query
 def generation_gate(spark, sf_dir):
-    """Per company request: use the stored schedule, generate one (fixed rate) or reject (variable)."""
+    """Per branch request: use the stored schedule, generate one (fixed rate) or reject (variable)."""
     from arrears.operators.schedule import schedule_gate
 
-    cm = TD.company_map(spark)
-    requests = cm.select("company_id", "company_code",
-                         F.when(F.col("company_id") % 2 == 0, F.lit("variable")).otherwise(F.lit("fixed"))
-                         .alias("rate_type"))
-    sched = TD.schedule(spark, sf_dir).where(~F.col("company_code").isin("MACHINERY", "HOUSEHOLD"))
-    return schedule_gate(requests, sched)
+    requests = _branch(_loans(spark, sf_dir)).select(
+        "company_code", F.when(F.col("num_installments") % 2 == 0, F.lit("variable")).otherwise(F.lit("fixed")).alias("rate_type"))
+    return schedule_gate(requests, _branch(TD.schedule(spark, sf_dir)))
 
 
 @query
 def export_detail_summary(spark, sf_dir):
-    """Detail and summary written side by side; the summary part read back."""
-    from arrears.sources.loan_tape import export_two_part
+    """Detail and summary written side by side; both parts read back."""
+    from arrears.plans.run import run_detail_summary
 
     base = _scratch(spark, "export")
-    s, p = _sched(spark, sf_dir), _pays(spark, sf_dir)
-    d = R.detail(s, p, cfg())
-    export_two_part(d, R.summary(d, ordered=False), base)
-    return spark.read.parquet(f"{base}/summary")
+    TD.schedule(spark, sf_dir).write.parquet(f"{base}/schedule.parquet")
+    TD.payments(spark, sf_dir).write.parquet(f"{base}/payments.parquet")
+    run_detail_summary(spark, f"{base}/schedule.parquet", f"{base}/payments.parquet", f"{base}/out", as_of=TD.CALC_DATE)
+    part = lambda name, **more: spark.read.parquet(f"{base}/out/{name}").select(
+        F.lit(name).alias("part"), CONTRACT, *[c.alias(k) for k, c in more.items()])
+    d = part("detail", id=F.col("id"), cuotas=F.lit(None).cast("long"), cascade_dpd=F.col("cascade_dpd"), cascade_arrears=F.col("cascade_arrears"),
+             join_dpd=F.col("join_dpd"), join_arrears=F.col("join_arrears"))
+    s = part("summary", id=F.lit(None).cast("long"), cuotas=F.col("cuotas"), cascade_dpd=F.col("cascade_dpd_max"),
+             cascade_arrears=F.col("cascade_arrears_total"), join_dpd=F.col("join_dpd_max"), join_arrears=F.col("join_arrears_total"))
+    return d.unionByName(s)
 
 
 @query

@@ -24,6 +24,11 @@ SCHEDULE = T.StructType(
     ]
 )
 
+# Generated instalments as stored.
+SCHEDULE_STORED = T.StructType(
+    [*SCHEDULE.fields[:4], T.StructField("installment_number", T.IntegerType()), *SCHEDULE.fields[4:]]
+)
+
 PAYMENTS = T.StructType(
     [
         T.StructField("id", T.LongType()),
@@ -35,17 +40,6 @@ PAYMENTS = T.StructType(
     ]
 )
 
-LOAN_TAPE_GENERATION = T.StructType(
-    [
-        T.StructField("borrower_contract_id", T.StringType()),
-        T.StructField("original_principal", PRINCIPAL),
-        T.StructField("num_installments", T.IntegerType()),
-        T.StructField("interest_rate", T.DoubleType()),
-        T.StructField("first_installment_date", T.DateType()),
-        T.StructField("periodicity", T.StringType()),
-    ]
-)
-
 REQUEST_METADATA = T.StructType(
     [
         T.StructField("products", T.ArrayType(T.StringType())),

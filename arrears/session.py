@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -35,11 +36,14 @@ def local_session(cores: int | str = 8, app: str = "arrears", **conf) -> SparkSe
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``; it is only set here when
-    unset, which happens in local tests.
+    A cluster names it in ``spark.checkpoint.dir``.  Only a session with a
+    ``local`` master, as in tests, gets a folder of its own where that is unset;
+    elsewhere executors could not read each other's files in it.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="arrears-ckpt-", dir=os.environ.get("ARREARS_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

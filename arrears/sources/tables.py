@@ -30,23 +30,19 @@ def read_schedule(schedule: DataFrame, company_code: str | None = None) -> DataF
 
 
 def read_payments(payments: DataFrame, company_id: int | None = None) -> DataFrame:
-    """One company's dated positive payments with the company's last payment date.
+    """Dated positive payments; of one company with its last payment date.
 
-    The per-company maximum is a grouped aggregate joined back (at most one
-    row per company, broadcast), not a window over the whole company.
+    The maximum is one row, joined back by broadcast.  For all companies the
+    dates come from :func:`arrears.operators.reports.freshness`, one row per
+    company, so the payments are not shuffled on the company.
     """
     df = payments.where(F.col("payment_date").isNotNull() & (F.col("total_payment") > 0))
-    if company_id is not None:
-        df = df.where(F.col("company_id") == F.lit(int(company_id)))
     cols = ["company_id", "borrower_contract_id", "borrower_installment_reference", "payment_date", "total_payment"]
-    df = df.select(*cols)
+    if company_id is None:
+        return df.select(*cols)
+    df = df.where(F.col("company_id") == F.lit(int(company_id))).select(*cols)
     last = df.groupBy("company_id").agg(F.max("payment_date").alias("last_payment_date"))
-    if company_id is not None:
-        last = F.broadcast(last)  # one row: a single company was selected
-    return df.join(last, "company_id", "left")
-
-
-MAX_BROADCAST_COMPANIES = 100_000
+    return df.join(F.broadcast(last), "company_id", "left")  # one row: a single company was selected
 
 
 def with_company_code(payments: DataFrame, company_map: DataFrame) -> DataFrame:
@@ -54,10 +50,7 @@ def with_company_code(payments: DataFrame, company_map: DataFrame) -> DataFrame:
 
     Needed for portfolio-wide runs, where contract ids repeat across
     companies and the contract key becomes (company_code, contract).  The
-    map is a dimension: it is broadcast after its size is checked, and
-    joined normally beyond the bound.
+    planner knows the size of the map's files and broadcasts it where it is
+    small enough.
     """
-    cm = company_map.select("company_id", "company_code")
-    if cm.limit(MAX_BROADCAST_COMPANIES + 1).count() <= MAX_BROADCAST_COMPANIES:
-        cm = F.broadcast(cm)
-    return payments.join(cm, "company_id", "left")
+    return payments.join(company_map.select("company_id", "company_code"), "company_id", "left")

@@ -5,7 +5,8 @@ The driver data has no loan schema, so each query builds one from it:
 * loan tape   ← ``orders``   (one contract per order);
 * schedule    ← ``lineitem`` (one instalment per line item);
 * payment tape← ``lineitem`` (about 80% of the lines pay: half, 1.25×,
-  50 cents short, twice, a 10% reversal or exactly the gross).
+  50 cents short, twice, a 10% reversal or exactly the gross; the others are
+  rows that name no contract, day or amount).
 
 Every column is a pure function of one input row (no windows, no joins), so
 the mapping is a narrow projection that scales with the scan.  The same
@@ -80,21 +81,20 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(gross)
     ).cast(MONEY)
     ref = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-    return li.where((F.col("l_orderkey") + F.col("l_linenumber") * 3 + F.col("l_suppkey")) % 10 < 8).select(
+    pays = (F.col("l_orderkey") + F.col("l_linenumber") * 3 + F.col("l_suppkey")) % 10 < 8
+    return li.select(
         (
             F.col("l_orderkey") * 10_000_000
             + F.col("l_linenumber") * 1_000_000
             + (F.col("l_suppkey") * 20011 + F.col("l_partkey")) % 1_000_000
         ).alias("id"),
         (F.col("l_orderkey") % 5 + 1).cast("int").alias("company_id"),
-        F.col("l_orderkey").cast("string").alias("borrower_contract_id"),
-        F.when(F.col("l_partkey") % 17 == 0, F.lit(None).cast("string")).otherwise(ref).alias(
-            "borrower_installment_reference"
-        ),
-        F.when(F.col("l_partkey") % 53 == 0, F.lit(None).cast("date"))
-        .otherwise(F.date_add(F.col("l_shipdate").cast("date"), (F.col("l_partkey") % 31 - 5).cast("int")))
+        F.when(pays, F.col("l_orderkey").cast("string")).alias("borrower_contract_id"),
+        F.when(pays & (F.col("l_partkey") % 17 != 0), ref).alias("borrower_installment_reference"),
+        F.when(pays & (F.col("l_partkey") % 53 != 0),
+               F.date_add(F.col("l_shipdate").cast("date"), (F.col("l_partkey") % 31 - 5).cast("int")))
         .alias("payment_date"),
-        amount.alias("total_payment"),
+        F.when(pays, amount).alias("total_payment"),
     )
 
 
@@ -151,20 +151,19 @@ payments AS (
   SELECT
     l_orderkey * 10000000 + l_linenumber * 1000000 + (l_suppkey * 20011 + l_partkey) % 1000000 AS id,
     CAST(l_orderkey % 5 + 1 AS INTEGER) AS company_id,
-    CAST(l_orderkey AS VARCHAR) AS borrower_contract_id,
-    CASE WHEN l_partkey % 17 = 0 THEN NULL
-         ELSE CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END AS borrower_installment_reference,
-    CASE WHEN l_partkey % 53 = 0 THEN NULL
-         ELSE CAST(CAST(l_shipdate AS DATE) + CAST(l_partkey % 31 - 5 AS INTEGER) AS DATE) END AS payment_date,
-    CAST(CASE l_suppkey % 8
+    CASE WHEN (l_orderkey + l_linenumber * 3 + l_suppkey) % 10 < 8 THEN CAST(l_orderkey AS VARCHAR) END AS borrower_contract_id,
+    CASE WHEN (l_orderkey + l_linenumber * 3 + l_suppkey) % 10 < 8 AND l_partkey % 17 <> 0
+         THEN CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END AS borrower_installment_reference,
+    CASE WHEN (l_orderkey + l_linenumber * 3 + l_suppkey) % 10 < 8 AND l_partkey % 53 <> 0
+         THEN CAST(CAST(l_shipdate AS DATE) + CAST(l_partkey % 31 - 5 AS INTEGER) AS DATE) END AS payment_date,
+    CAST(CASE WHEN (l_orderkey + l_linenumber * 3 + l_suppkey) % 10 < 8 THEN CASE l_suppkey % 8
            WHEN 0 THEN CAST(l_extendedprice AS DECIMAL(18,4)) * CAST(0.5 AS DECIMAL(2,1))
            WHEN 1 THEN CAST(l_extendedprice AS DECIMAL(18,4)) * CAST(1.25 AS DECIMAL(3,2))
            WHEN 2 THEN CAST(l_extendedprice AS DECIMAL(18,4)) - CAST(0.5 AS DECIMAL(3,2))
            WHEN 3 THEN CAST(l_extendedprice AS DECIMAL(18,4)) * 2
            WHEN 4 THEN CAST(l_extendedprice AS DECIMAL(18,4)) * CAST(-0.1 AS DECIMAL(2,1))
-           ELSE CAST(l_extendedprice AS DECIMAL(18,4)) END AS DECIMAL(18,4)) AS total_payment
+           ELSE CAST(l_extendedprice AS DECIMAL(18,4)) END END AS DECIMAL(18,4)) AS total_payment
   FROM lineitem
-  WHERE (l_orderkey + l_linenumber * 3 + l_suppkey) % 10 < 8
 ),
 loan_tape AS (
   SELECT
@@ -189,7 +188,7 @@ REQUEST_ORIGIN = "PORTFOLIO_DESK"
 SERVICE_NAME = "ARREARS_SERVICE"
 
 
-def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_requests(spark: SparkSession, sf_dir: str, tapes: str = "/data/loans", outputs: str = "/data/out") -> DataFrame:
     """One request body per order, with the faults the validator must catch.
 
     Products by order status (F: dpd+total_amount, O: dpd+vpn, else an
@@ -222,8 +221,8 @@ def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(REQUEST_ORIGIN).alias("origin"),
             F.lit(SERVICE_NAME).alias("target"),
             F.concat(F.lit("job-"), F.col("o_orderkey").cast("string")).alias("job_id"),
-            F.concat(F.lit("/data/loans/"), company, F.lit(".parquet")).alias("input_file"),
-            F.concat(F.lit("/data/out/"), company, F.lit(".parquet")).alias("output_file"),
+            F.concat(F.lit(f"{tapes}/"), company, F.lit(".parquet")).alias("input_file"),
+            F.concat(F.lit(f"{outputs}/"), company, F.lit(".parquet")).alias("output_file"),
             F.lit("borrower_contract_id").alias("key"),
             F.lit("COMPANY").alias("target_type"),
             (F.col("o_orderkey") % 5 + 1).cast("string").alias("target_id"),
@@ -241,22 +240,27 @@ def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def company_requests(loan_tape_path: str, out_base: str, calc_products=("dpd", "total_amount", "vpn")):
-    """Column expressions for one request per company (used with the company map)."""
-    meta = F.struct(
-        F.array(*[F.lit(p) for p in calc_products]).alias("products"),
-        F.lit(INVESTOR_RATE).alias("interest_rate"),
-    )
-    return F.to_json(
-        F.struct(
-            F.lit(REQUEST_ORIGIN).alias("origin"),
-            F.lit(SERVICE_NAME).alias("target"),
-            F.concat(F.lit("run-"), F.col("company_code")).alias("job_id"),
-            F.lit(loan_tape_path).alias("input_file"),
-            F.concat(F.lit(out_base.rstrip("/") + "/"), F.col("company_code"), F.lit(".parquet")).alias("output_file"),
-            F.lit("borrower_contract_id").alias("key"),
-            F.lit("COMPANY").alias("target_type"),
-            F.col("company_id").alias("target_id"),
-            meta.alias("metadata"),
-        )
-    )
+#: Contract ids of the shared-id portfolio repeat across companies.
+SHARED_IDS = 999
+
+
+def shared_id(df: DataFrame) -> DataFrame:
+    """The same rows with contract ids that are only unique within a company."""
+    return df.withColumn("borrower_contract_id", (F.col("borrower_contract_id").cast("long") % SHARED_IDS).cast("string"))
+
+
+# The same in SQL: company and id in one text, split again by the oracles.
+SHARED_ORACLE_CTES = (
+    ORACLE_CTES.replace(
+        "CAST(l_orderkey AS VARCHAR) AS borrower_contract_id",
+        "(['AUTOMOBILE','BUILDING','FURNITURE','HOUSEHOLD','MACHINERY'])[CAST(l_orderkey % 5 + 1 AS INTEGER)] || ':' || "
+        f"CAST(l_orderkey % {SHARED_IDS} AS VARCHAR) AS borrower_contract_id")
+    .replace(
+        "THEN CAST(l_orderkey AS VARCHAR) END AS borrower_contract_id",
+        "THEN (['AUTOMOBILE','BUILDING','FURNITURE','HOUSEHOLD','MACHINERY'])[CAST(l_orderkey % 5 + 1 AS INTEGER)] || ':' || "
+        f"CAST(l_orderkey % {SHARED_IDS} AS VARCHAR) END AS borrower_contract_id")
+    .replace(
+        "CAST(o_orderkey AS VARCHAR) AS borrower_contract_id",
+        "(['AUTOMOBILE','BUILDING','FURNITURE','HOUSEHOLD','MACHINERY'])[CAST(o_orderkey % 5 + 1 AS INTEGER)] || ':' || "
+        f"CAST(o_orderkey % {SHARED_IDS} AS VARCHAR) AS borrower_contract_id")
+)

@@ -98,3 +98,20 @@ def test_more_boundaries(spark):
     # T1: first instalment short by exactly .001: not exact (|diff| < .001 fails), not partial, no cents
     # difference (> .001 fails), but covered; no rule for a happy path applies
     assert 1 not in got["T1"] and 13 not in got["T1"] and 2 not in got["T1"]
+
+
+def test_twice_and_prefix_rules_need_their_rows(spark):
+    """Case 10: two dated payments of one month and no third; case 18: an unbroken exact prefix, then nothing."""
+    sched = [instalment(1, "A", "A-0", "2026-02-01"), instalment(2, "B", "B-0", "2026-02-01"), instalment(3, "C", "C-0", "2026-02-01")]
+    pays = [payment(10, "A", "A-0", "2026-02-03", "400"), payment(11, "A", "A-0", "2026-02-20", "600"),
+            payment(12, "B", "B-0", "2026-02-03", "400"), payment(13, "B", "B-0", "2026-03-01", "600"),
+            payment(14, "C", "C-0", "2026-02-03", "400"), payment(15, "C", "C-0", "2026-02-05", "400"), payment(16, "C", "C-0", None, "200")]
+    for k, amounts in {"P": ["1000", "1000", None, None], "Q": ["1000", None, "1000", None], "R": ["1000", None, None, None]}.items():
+        for i, amount in enumerate(amounts):
+            sched.append(instalment(100 + 10 * ord(k) + i, k, f"{k}-{i}", DUES[i]))
+            if amount:
+                pays.append(payment(5000 + 10 * ord(k) + i, k, f"{k}-{i}", DUES[i], amount))
+    s, p = frames(spark, sched, pays)
+    got = {r["borrower_contract_id"]: r["cases"] for r in classify_contracts(s, p, CUT).collect()}
+    assert 10 in got["A"] and 10 not in got["B"] and 10 not in got["C"]
+    assert 18 in got["P"] and 18 not in got["Q"] and 18 not in got["R"]

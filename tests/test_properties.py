@@ -6,10 +6,10 @@ from decimal import Decimal
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from arrears.config import RunConfig
+from arrears.config import Cutoff
 from arrears.operators import allocate as A
 from arrears.schemas import PAYMENTS, SCHEDULE
-from tests.sequential import cascade as seq_cascade
+from tests.sequential import expected_cascade
 
 CALC = dt.date(2024, 6, 30)
 money = st.decimals(min_value=Decimal("-50"), max_value=Decimal("900"), places=2)
@@ -50,10 +50,10 @@ def _df(spark, rows, schema):
 @given(data=portfolios(), partial=st.booleans(), threshold=st.sampled_from(["1.0", "0.8"]))
 def test_cascade_equals_sequential_drain(spark, data, partial, threshold):
     sched, pays = data
-    cfg = RunConfig(calc_date=CALC, partial_payment_counts=partial, paid_threshold=float(threshold))
+    cfg = Cutoff(as_of=CALC, any_payment_counts=partial, paid_share=float(threshold))
     got = {r["id"]: (r["applied_amount"], r["dpd_current"], r["amount_in_arrears"])
            for r in A.cascade(_df(spark, sched, SCHEDULE), _df(spark, pays, PAYMENTS), cfg).collect()}
-    exp = seq_cascade(sched, pays, CALC, threshold=threshold, partial=partial)
+    exp = expected_cascade(sched, pays, CALC, share=threshold, partial=partial)
     assert got == exp
     # Σ applied = min(pool, Σ owed) per contract, DPD never negative
     for r in got.values():
@@ -65,7 +65,7 @@ def test_input_order_does_not_matter(spark):
 
     s, p = frames(spark, SEED_SCHEDULE, SEED_PAYMENTS)
     s2, p2 = frames(spark, list(reversed(SEED_SCHEDULE)), list(reversed(SEED_PAYMENTS)))
-    cfg = RunConfig(calc_date=dt.date(2026, 5, 4))
+    cfg = Cutoff(as_of=dt.date(2026, 5, 4))
     a = sorted(map(tuple, A.cascade(s, p, cfg).repartition(3).collect()))
     b = sorted(map(tuple, A.cascade(s2, p2, cfg).collect()))
     assert a == b

@@ -4,7 +4,7 @@ from decimal import Decimal
 
 import pytest
 
-from arrears.config import RunConfig
+from arrears.config import Cutoff
 from arrears.operators import allocate as A
 from arrears.operators import products as P
 from arrears.operators import reports as R
@@ -33,7 +33,7 @@ def _result(df):
 def test_seed_modes(spark, variant):
     s, p = frames(spark, SEED_SCHEDULE, SEED_PAYMENTS)
     mode = "join" if variant == 0 else "cascade"
-    cfg = RunConfig(calc_date=CUT, partial_payment_counts=(variant == 2))
+    cfg = Cutoff(as_of=CUT, any_payment_counts=(variant == 2))
     got = _result(A.allocate(s, p, cfg, mode))
     for ref, exp in EXPECTED.items():
         dpd, arr = exp[variant]
@@ -43,7 +43,7 @@ def test_seed_modes(spark, variant):
 def test_seed_documented_example(spark):
     """C005: one 1500 payment covers the first 1000 and leaves 500 owed on the second."""
     s, p = frames(spark, SEED_SCHEDULE, SEED_PAYMENTS)
-    rows = {r["borrower_installment_reference"]: r for r in A.cascade(s, p, RunConfig(calc_date=CUT)).collect()}
+    rows = {r["borrower_installment_reference"]: r for r in A.cascade(s, p, Cutoff(as_of=CUT)).collect()}
     assert rows["C005-1"]["applied_amount"] == Decimal("1000")
     assert rows["C005-2"]["applied_amount"] == Decimal("500")
     assert rows["C005-2"]["amount_in_arrears"] == Decimal("500")
@@ -51,13 +51,13 @@ def test_seed_documented_example(spark):
 
 def test_seed_raw_days_without_grace(spark):
     s, p = frames(spark, SEED_SCHEDULE, SEED_PAYMENTS)
-    rows = _result(A.join_mode(s, p, RunConfig(calc_date=CUT, grace_days=0)))
+    rows = _result(A.join_mode(s, p, Cutoff(as_of=CUT, grace=0)))
     assert rows["C003-1"][0] == 92 and rows["C002-2"][0] == 64 and rows["C004-1"][0] == 33
 
 
 def test_seed_summary_and_product(spark):
     s, p = frames(spark, SEED_SCHEDULE, SEED_PAYMENTS)
-    cfg = RunConfig(calc_date=CUT)
+    cfg = Cutoff(as_of=CUT)
     summ = {r["borrower_contract_id"]: r for r in R.summary(R.detail(s, p, cfg)).collect()}
     assert summ["C002"]["cascade_dpd_max"] == 32 and summ["C002"]["join_dpd_max"] == 63
     assert summ["C005"]["cascade_arrears_total"] == Decimal("500")
@@ -71,14 +71,14 @@ def test_seed_summary_and_product(spark):
 
 def test_threshold_80(spark):
     s, p = frames(spark, SEED_SCHEDULE, SEED_PAYMENTS)
-    got = _result(A.join_mode(s, p, RunConfig(calc_date=CUT, paid_threshold=0.5)))
+    got = _result(A.join_mode(s, p, Cutoff(as_of=CUT, paid_share=0.5)))
     assert got["C003-1"] == (0, Decimal(0))  # 500 >= 1000 * 0.5
 
 
 def test_product_in_join_mode(spark):
     s, p = frames(spark, SEED_SCHEDULE, SEED_PAYMENTS)
     loans = spark.createDataFrame([("C002",), ("C005",)], "contract string")
-    out = {r["contract"]: r for r in P.enrich(loans, "contract", ["dpd"], RunConfig(calc_date=CUT), s, p,
+    out = {r["contract"]: r for r in P.enrich(loans, "contract", ["dpd"], Cutoff(as_of=CUT), s, p,
                                               mode="join").collect()}
     assert out["C002"]["dpd_current"] == 63 and out["C002"]["amount_in_arrears"] == Decimal("1000")
     assert out["C005"]["dpd_current"] == 32 and out["C005"]["amount_in_arrears"] == Decimal("1000")

@@ -5,10 +5,10 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from arrears.config import RunConfig
+from arrears.config import Cutoff
 from arrears.operators import allocate as A
 from arrears.schemas import PAYMENTS, SCHEDULE
-from tests.sequential import cascade as seq_cascade
+from tests.sequential import expected_cascade
 
 CALC = dt.date(2030, 1, 1)
 
@@ -44,7 +44,7 @@ def test_hot_contract_is_split_and_exact(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        out = A.cascade(s, p, RunConfig(calc_date=CALC)).withColumn("task", F.spark_partition_id())
+        out = A.cascade(s, p, Cutoff(as_of=CALC)).withColumn("task", F.spark_partition_id())
         rows = out.collect()
     finally:
         for k, v in prev.items():
@@ -54,6 +54,6 @@ def test_hot_contract_is_split_and_exact(spark):
     names = [f.name for f in SCHEDULE.fields]
     srows = [dict(zip(names, r)) for r in sched]
     prows = [dict(zip([f.name for f in PAYMENTS.fields], r)) for r in pays]
-    exp = seq_cascade(srows, prows, CALC)
+    exp = expected_cascade(srows, prows, CALC)
     got = {r["id"]: (r["applied_amount"], r["dpd_current"], r["amount_in_arrears"]) for r in rows}
     assert got == exp
