@@ -29,7 +29,7 @@ from pyspark.sql.types import DoubleType, StructType
 from .common import _BYTE, cut, gram_hashes, mix, text_slices, word_hashes, word_spans
 
 #: Labelled rows that the fit may use at most.
-MAX_TRAIN = 12_000
+MAX_TRAIN = 10_000
 #: Bits of the hashed n-gram space.
 BITS = 18
 #: A document is kept where its score is at least this.
@@ -87,25 +87,29 @@ def log_count_ratio(rows: list[np.ndarray], y: np.ndarray, size: int) -> np.ndar
     return np.log(good / good.sum()) - np.log(bad / bad.sum())
 
 
-def dual_descent(rows: list[np.ndarray], scale: list[np.ndarray], y: np.ndarray, size: int, cost: float = COST, rounds: int = 12, seed: int = 5) -> tuple[np.ndarray, float]:
-    """Weights and intercept of the hinge-loss model, by coordinate descent on its dual.
+def dual_descent(rows: list[np.ndarray], ratio: np.ndarray, y: np.ndarray, cost: float = COST, rounds: int = 12, seed: int = 5) -> tuple[np.ndarray, float]:
+    """Weights (for scaled indicators) and intercept of the hinge-loss model, by coordinate descent on its dual.
 
-    Each step sets one row's multiplier to its best value between 0 and the cost
-    while the weights are kept up.
+    A row's indicators are scaled by ``ratio`` and the root of their number.  Each
+    step sets one row's multiplier to its best value between 0 and the cost while
+    the weights are kept up.
     """
     rng = np.random.default_rng(seed)
-    w, b = np.zeros(size), 0.0
+    w, b = np.zeros(len(ratio)), 0.0
     sign = np.where(y, 1.0, -1.0)
     alpha = np.zeros(len(y))
-    square = np.array([float(s @ s) + 1.0 for s in scale])
+    norm = np.array([max(1.0, np.sqrt(len(x))) for x in rows])
+    square = np.array([float(ratio[x] @ ratio[x]) / r**2 + 1.0 for x, r in zip(rows, norm, strict=True)])
     for _ in range(rounds):
         moved = 0.0
         for i in rng.permutation(len(y)):
-            g = sign[i] * (float(w[rows[i]] @ scale[i]) + b) - 1.0
+            x = rows[i]
+            scaled = ratio[x] / norm[i]
+            g = sign[i] * (float(w[x] @ scaled) + b) - 1.0
             new = min(max(alpha[i] - g / square[i], 0.0), cost)
             d = (new - alpha[i]) * sign[i]
             if d:
-                w[rows[i]] += d * scale[i]
+                w[x] += d * scaled
                 b += d
                 alpha[i] = new
                 moved = max(moved, abs(d))
@@ -139,27 +143,33 @@ def _rows(data: np.ndarray, offs: np.ndarray, bits: int) -> list[np.ndarray]:
 def fit(train: DataFrame, bits: int = BITS, cost: float = COST) -> dict | None:
     """Model of (doc_id, text, label) rows, at most ``MAX_TRAIN`` of them; None without both classes.
 
-    The indicators are made by the tasks; the bounded sample's come together for the descent.
+    Many tasks make the indicators; one takes the bounded sample's and descends. The driver gets the model alone.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, data, offs in text_slices(b, "text"):
                 blobs = [x.astype("<i4").tobytes() for x in _rows(data, offs, bits)]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), b.column("label").slice(lo, hi - lo), pa.array(blobs, pa.binary())], names=["doc_id", "label", "f"])
 
-    got = train.mapInArrow(run, "doc_id long, label int, f binary").toArrow().sort_by("doc_id")
-    y = got["label"].to_numpy() == 1
-    if not len(y) or y.all() or not y.any():
+    def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = sorted(((d, label, np.frombuffer(f, "<i4")) for b in batches for d, label, f in zip(*[b.column(c).to_pylist() for c in ("doc_id", "label", "f")], strict=True)), key=lambda r: r[0])
+        y = np.array([label == 1 for _, label, _ in got], bool)
+        if not len(y) or y.all() or not y.any():
+            return
+        rows = [x for _, _, x in got]
+        ratio = log_count_ratio(rows, y, 1 << bits)
+        w, c0 = dual_descent(rows, ratio, y, cost)
+        weights = w * ratio
+        margin = np.array([float(weights[x].sum()) / max(1.0, np.sqrt(len(x))) + c0 for x in rows])
+        a, c = logistic_curve(margin, y)
+        yield pa.RecordBatch.from_arrays([pa.array([weights.astype("<f4").tobytes()], pa.binary()), pa.array([c0]), pa.array([a]), pa.array([c])], names=["weights", "b", "a", "c"])
+
+    sample = train.mapInArrow(features, "doc_id long, label int, f binary").repartition(1)
+    model = sample.mapInArrow(descend, "weights binary, b double, a double, c double").first()
+    if model is None:
         return None
-    rows = [np.frombuffer(x.as_buffer(), "<i4") for x in got["f"]]
-    size = 1 << bits
-    ratio = log_count_ratio(rows, y, size)
-    scale = [ratio[x] / max(1.0, np.sqrt(len(x))) for x in rows]
-    w, b = dual_descent(rows, scale, y, size, cost)
-    margin = np.array([float(w[x] @ s) + b for x, s in zip(rows, scale, strict=True)])
-    a, c = logistic_curve(margin, y)
-    return {"weights": w * ratio, "b": b, "a": a, "c": c, "bits": bits}
+    return {"weights": np.frombuffer(bytes(model["weights"]), "<f4"), "b": model["b"], "a": model["a"], "c": model["c"], "bits": bits}
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str = "quality", max_train: int = MAX_TRAIN) -> DataFrame:
@@ -175,7 +185,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str = "quality", ma
 def score(docs: DataFrame, model: dict | None, name: str = "score") -> DataFrame:
     """``docs`` with the score in a column ``name``."""
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(None if model is None else dict(model, weights=model["weights"].astype(np.float32)))
+    held = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
