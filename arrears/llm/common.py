@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from arrears.session import ensure_checkpoint_dir
 
 #: Bytes of text that one task handles at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: White space between words, as a Java regular expression and as byte values.
 WORD = r"[^\x20\x09-\x0D]+"
 NOT_SPACE = np.ones(256, bool)
@@ -32,16 +32,32 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows from a reliable checkpoint, so later steps read them instead of computing them again."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+def cut(df: DataFrame, name: str = "step") -> DataFrame:
+    """The same rows from a table written below the shared checkpoint folder, so later steps, and repeats after a lost
+    executor, read them instead of computing them again.
+
+    Unlike ``checkpoint()``, which computes its rows once to count and once to write them, this computes them once.
+    The tables stay until the owner of the folder deletes them.
+    """
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before them where ``df`` has such columns already."""
+    out = []
+    for name in names:
+        while name in df.columns or name in out:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 _checked: dict[str, bool] = {}
 
 
@@ -157,7 +173,7 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     out = np.zeros(len(words) - n + 1, np.uint64)
     for k in range(n):
-        out = out * _BYTE[1] + words[k : len(words) - n + 1 + k]
+        out = out * _P + words[k : len(words) - n + 1 + k]  # an odd factor: no word loses bits
     return mix(out)
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LETTERS, cut, gram_hashes, text_slices, word_hashes, word_spans
+from .common import LETTERS, cut, gram_hashes, text_slices, unused, word_hashes, word_spans
 
 N = 4
 MIN_SCORE = 0.6
@@ -256,5 +256,6 @@ def contamination_report(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **kw) -> DataFrame:
     """The documents without the contaminated ones, with all their columns."""
-    bad = contaminated(docs.select("doc_id", "text"), items, **kw).select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_k")), "left_anti")
+    d, k = unused(docs, "bad_id", "bad_key")
+    bad = contaminated(docs.select("doc_id", "text"), items, **kw).select(F.col("doc_id").alias(d), F.col("text_key").alias(k)).distinct()
+    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col(d)) & (F.xxhash64("text") == F.col(k)), "left_anti")

@@ -22,13 +22,15 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut
+from .common import WORD, cut, unused
 
 #: Weights given to the sources in order, again and again.
 WEIGHTS = (5, 2, 1)
 #: A target stops at this multiple of the source's size.
 MAX_REPEATS = 3
-#: The offset is one of this many equal steps.
+#: Parts in which a source's documents meet its target.
+SALT = 32
+#: The offset is one of this many equal steps (five hexadecimal digits of a hash).
 STEPS = 1 << 20
 
 
@@ -87,8 +89,12 @@ def copies(docs: DataFrame, text: str = "text", source: str = "source", doc_id:
     line = cut(line)
     first = line.groupBy("source").agg(F.min("rank").alias("first"), F.count("*").alias("n"))
     goal = goal.withColumnRenamed("source", "s").join(first.withColumnRenamed("source", "s2"), F.col("s").eqNullSafe(F.col("s2"))).drop("s2")
-    out = line.join(goal, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    offset = F.pmod(F.xxhash64(F.col("source"), F.lit(seed)), F.lit(STEPS)) / F.lit(float(STEPS))
+    # A source may hold most documents: its rows meet its targets in SALT parts.
+    goal = goal.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    line = line.withColumn("part", F.pmod(F.col("rank"), F.lit(SALT)).cast("int"))
+    out = line.join(goal, (line["part"] == goal["part"]) & F.col("source").eqNullSafe(F.col("s"))).drop("s", "part")
+    named = F.concat(F.lit(f"{seed}:"), F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("-")))
+    offset = F.conv(F.substring(F.sha2(named, 256), 1, 5), 16, 10).cast("double") / F.lit(float(STEPS))  # 20 bits
     by_size = F.col("rank") - F.col("first")
     k = F.when(by_size % 2 == 0, by_size / 2).otherwise(F.col("n") - 1 - (by_size - 1) / 2).cast("long")
     crossed = F.floor((k + 1) * F.col("ratio") + offset) - F.floor(k * F.col("ratio") + offset)
@@ -105,15 +111,15 @@ def mix_documents(docs: DataFrame, **kw) -> DataFrame:
 
     Rows that share a doc_id and source are drawn together: as often in all as the mix draws them.
     """
-    key = kw.get("doc_id", "doc_id"), kw.get("source", "source")
-    drawn = copies(docs, **kw).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    drawn = drawn.where("_copies > 0").select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z"), "_copies", "_rows")
-    same = F.col("_d").eqNullSafe(F.col(key[0])) & F.col("_s").eqNullSafe(F.col(key[1])) & (F.col("_z") == n_words(kw.get("text", "text")))
-    rows = docs.join(drawn, same)
-    single = rows.where("_rows = 1").withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    d, s, z, times, rows, k, nth = unused(docs, "drawn_id", "drawn_source", "drawn_size", "times", "n_rows", "k", "nth")
+    drawn = copies(docs, **kw).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("t"), F.count("*").alias("r")).where("t > 0")
+    drawn = drawn.select(F.col("doc_id").alias(d), F.col("source").alias(s), F.col("size").alias(z), F.col("t").alias(times), F.col("r").alias(rows))
+    same = F.col(kw.get("doc_id", "doc_id")).eqNullSafe(F.col(d)) & F.col(kw.get("source", "source")).eqNullSafe(F.col(s))
+    both = docs.join(drawn, same & (n_words(kw.get("text", "text")) == F.col(z)))
+    again = lambda df, n: df.withColumn(k, F.explode(F.sequence(F.lit(1), n.cast("int")))).select(*docs.columns)
+    single = again(both.where(F.col(rows) == 1), F.col(times))
     # Rows that cannot be told apart by id, source and size: the draws go round them.
-    nth = F.row_number().over(Window.partitionBy("_d", "_s", "_z").orderBy(F.xxhash64(*[F.col(c) for c in docs.columns])))
-    many = rows.where("_rows > 1").withColumn("_i", nth)
-    times = F.floor(F.col("_copies") / F.col("_rows")) + (F.col("_i") <= F.col("_copies") % F.col("_rows")).cast("long")
-    many = many.withColumn("_t", times).where("_t > 0").withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_t").cast("int"))))
-    return single.select(*docs.columns).unionByName(many.select(*docs.columns))
+    place = F.row_number().over(Window.partitionBy(d, s, z).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns])))
+    many = both.where(F.col(rows) > 1).withColumn(nth, place)
+    each = F.floor(F.col(times) / F.col(rows)) + (F.col(nth) <= F.col(times) % F.col(rows)).cast("long")
+    return single.unionByName(again(many.where(each > 0), each))

@@ -8,8 +8,8 @@ equal anchors at equal offsets, so no repeat is lost, and only about two in
 ``width - gram + 2`` suffixes stay.
 
 1. Every task finds the anchors of its texts, with a hash of the segment that
-   all windows around an anchor can reach.  Of anchors with equal segments in
-   one batch only the earliest goes on; the others are covered by it.
+   all windows around an anchor can reach.  Of anchors with equal segments
+   among those sent together only the earliest goes on; the others are covered by it.
 2. Anchors meet by gram.  Grams that occur once end here.  Later occurrences of
    an equal segment are covered whole.  The first ones of grams with different
    segments are asked for.
@@ -30,8 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BYTE, mix, range_hashes, scratch, text_slices, word_hashes, word_spans
+from .common import _BYTE, cut, mix, range_hashes, text_slices, word_hashes, word_spans
 
+#: Anchors of one task that are compared before they are sent on.
+AT_ONCE = 1 << 18
 #: Segments that a prefix group may hold before it is split.
 GROUP = 20_000
 #: Window offsets that one group of a split prefix answers for.
@@ -56,13 +58,6 @@ class Windows:
         return self.width - self.gram + 1
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a compressed table in the shared folder, read back."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def sliding(x: np.ndarray, n: int, best: np.ufunc) -> np.ndarray:
     """best(x[i : i + n]) for every i."""
     k = 1
@@ -125,26 +120,33 @@ def find_anchors(docs: DataFrame, win: Windows) -> DataFrame:
     """Anchors of the texts: key (gram), seg (segment hash; null: already covered), doc, tag, at (position and reach)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got, n = [], 0
         for b in batches:
             doc_id, tag = b.column("doc").to_numpy(), b.column("tag").to_numpy()
-            got = []
             for first, _, data, offs in text_slices(b, "text"):
                 values, before = symbols(data, offs, win)
                 pos, key = anchors(values, before, win)
                 text = np.searchsorted(before, pos, "right") - 1
                 lo, hi = np.maximum(before[text], pos - win.offsets + 1), np.minimum(before[text + 1], pos + win.width)
-                seg = mix(range_hashes(values, lo, pos) * _BYTE[3] + range_hashes(values, pos, hi))
+                seg = mix(mix(range_hashes(values, lo, pos) + _BYTE[3]) + range_hashes(values, pos, hi))
                 got.append((key, seg, doc_id[first + text], tag[first + text], pos - before[text], pos - lo, hi - pos))
-            if not got:
-                continue
-            key, seg, doc, mark, pos, left, right = (np.concatenate(c) for c in zip(*got, strict=True))
-            order, covered = _earliest(key, seg, doc, mark, pos, win.strict)
-            key[order[covered]] = mix(doc[order[covered]].astype(np.uint64))  # these only pass through
-            null = np.zeros(len(key), bool)
-            null[order[covered]] = True
-            for k in range(0, len(key), 1 << 16):
-                s = slice(k, k + (1 << 16))
-                yield pa.RecordBatch.from_arrays([pa.array(key[s].view(np.int64)), pa.array(seg[s].view(np.int64), mask=null[s]), pa.array(doc[s]), pa.array(mark[s]), pa.array(_pack(pos[s], left[s], right[s]))], names=_ROW_NAMES)
+                n += len(key)
+                if n >= AT_ONCE:
+                    yield from send(got)
+                    got, n = [], 0
+        yield from send(got)
+
+    def send(got: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if not got:
+            return
+        key, seg, doc, mark, pos, left, right = (np.concatenate(c) for c in zip(*got, strict=True))
+        order, covered = _earliest(key, seg, doc, mark, pos, win.strict)
+        key[order[covered]] = mix(doc[order[covered]].astype(np.uint64))  # these only pass through
+        null = np.zeros(len(key), bool)
+        null[order[covered]] = True
+        for k in range(0, len(key), 1 << 16):
+            s = slice(k, k + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(key[s].view(np.int64)), pa.array(seg[s].view(np.int64), mask=null[s]), pa.array(doc[s]), pa.array(mark[s]), pa.array(_pack(pos[s], left[s], right[s]))], names=_ROW_NAMES)
 
     return docs.mapInArrow(run, _ROWS)
 
@@ -283,13 +285,13 @@ def repeated_offsets(rank: np.ndarray, lcp: np.ndarray, left: np.ndarray, n_left
     before = np.zeros(n, np.uint64)
     for r in range(win.offsets):
         if r:
-            before = mix(before * _BYTE[5] + left[:, r - 1].astype(np.uint64) + np.uint64(1))
+            before = mix(before + mix(left[:, r - 1].astype(np.uint64) + _BYTE[5]))
         cls = np.empty(n, np.int64)
         cls[rank] = np.concatenate([[0], np.cumsum(lcp < win.width - r)])
         rows = np.flatnonzero((n_left >= r) & (n_right >= win.width - r) & (r_lo <= r) & (r <= r_hi))
         if len(rows) < 2:
             continue
-        c = mix(cls[rows].astype(np.uint64) * _BYTE[6] + before[rows])
+        c = mix(mix(cls[rows].astype(np.uint64) + _BYTE[6]) + before[rows])
         order = np.argsort(c, kind="stable")
         c, rows = c[order], rows[order]
         new = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
@@ -369,7 +371,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def covered_ranges(docs: DataFrame, win: Windows, suffix_order: Callable) -> DataFrame:
     """(doc, tag, ranges array of lo, hi) of what repeats in the rows of ``keyed``."""
-    met = written(match_anchors(find_anchors(docs, win), win), "anchors")
+    met = cut(match_anchors(find_anchors(docs, win), win), "anchors")
     asked = met.where("key is not null")
     more = compare_segments(cut_segments(asked, docs, win), win, suffix_order)
     every = met.where("key is null").select("doc", "tag", "lo", "hi").union(more)

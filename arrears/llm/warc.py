@@ -170,7 +170,8 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES)
         for k in range(0, len(rows), 4096):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 4096], strict=True), _INDEX_SCHEMA.types, strict=True)], schema=_INDEX_SCHEMA)
 
-    return pages.select("page_id", "url", "time", "payload", "digest", "refers_to").mapInArrow(run, _INDEX)
+    cols = ["page_id", "url", "time", "payload", "digest", "refers_to"]
+    return pages.select(*cols).sortWithinPartitions("page_id", "digest", "url").mapInArrow(run, _INDEX)  # a repeated task writes the same file
 
 
 def merge_runs(runs: DataFrame) -> DataFrame:

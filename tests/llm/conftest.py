@@ -1,0 +1,17 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from arrears.llm.common import python_ready  # noqa: E402
+from arrears.session import local_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    s = local_session("*")
+    python_ready(s)
+    yield s
