@@ -15,7 +15,8 @@ whose smallest shingles occur anywhere else has no partner.  Equal sets are one
 node.  Links are needed as components, so no group is expanded into all its
 pairs: equal subsets link to one of their sets, and inverted lists are first
 linked to their centre; only pairs of different components so far are looked
-at again.
+at again, and of those only the ones whose signatures (parities of hashed
+shingles, a lower bound of the difference) leave a link possible.
 
 Shingles are 64-bit hashes of the word hashes.
 
@@ -38,11 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BYTE, components, cut, gram_hashes, mix, range_hashes, text_slices, word_hashes, word_spans
-from .repeats import written
+from .common import _BYTE, components, cut, gram_hashes, mix, range_hashes, text_slices, unused, word_hashes, word_spans
 
 #: Cells of the fixed-size count of shingles that orders them by frequency.
 CELLS = 1 << 20
+#: Parts of that count that are added up apart.
+PARTS = 64
+#: Bits of a set's signature.
+SIGNATURE = 512
 #: Sets above this size are never enumerated.
 LARGEST_SMALL = 28
 #: Shingles of both partners' smallest ones that must agree, as a share of a set (in percent).
@@ -108,7 +112,7 @@ def document_sets(docs: DataFrame, jac: Jaccard) -> DataFrame:
 
         part, k = TaskContext.get().partitionId(), 0
         for b in batches:
-            for first, last, data, offs in text_slices(b, "text", 16 << 20):
+            for first, last, data, offs in text_slices(b, "text", 8 << 20):
                 for lo in range(0, last - first, 1 << 15):
                     hi = min(last - first, lo + (1 << 15))
                     batch = part << 31 | k
@@ -206,8 +210,20 @@ _OWN = pa.list_(pa.struct([(c, pa.int64()) for c in ("doc_id", "tag", "n", "k1",
 _LIST_TYPES = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), _OWN]
 
 
+def signatures(h: np.ndarray, t: np.ndarray, n_sets: int) -> np.ndarray:
+    """64 bytes for each set: of ``SIGNATURE`` bits, those that an odd number of its shingles fall on.
+
+    Two sets differ in at least as many shingles as their signatures in bits.
+    """
+    bit = (mix(h + _BYTE[16]) & np.uint64(SIGNATURE - 1)).astype(np.int64)
+    odd = np.zeros(n_sets * SIGNATURE, bool)
+    cell, times = np.unique(t * SIGNATURE + bit, return_counts=True)
+    odd[cell[times % 2 == 1]] = True
+    return np.packbits(odd.reshape(n_sets, SIGNATURE), axis=1).view("<i8")
+
+
 def node_sets(docs: DataFrame, nodes: DataFrame, jac: Jaccard) -> DataFrame:
-    """(node, n, s array of shingles): the sets of the nodes (node, doc_id, tag)."""
+    """(node, n, s array of shingles, g signature): the sets of the nodes (node, doc_id, tag)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -215,12 +231,14 @@ def node_sets(docs: DataFrame, nodes: DataFrame, jac: Jaccard) -> DataFrame:
                 h, t = shingles(data, offs, jac.n)
                 at = np.searchsorted(t, np.arange(hi - lo + 1))
                 s = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(h.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([b.column("node").slice(lo, hi - lo), pa.array(np.diff(at), pa.int64()), s], names=["node", "n", "s"])
+                g = pa.array(signatures(h, t, hi - lo).tolist(), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([b.column("node").slice(lo, hi - lo), pa.array(np.diff(at), pa.int64()), s, g], names=["node", "n", "s", "g"])
 
-    keyed = nodes.select("node", F.col("doc_id").alias("_d"), F.col("tag").alias("_t"))
-    text = docs.select(F.col("doc_id").cast("long").alias("_d2"), F.xxhash64("text").alias("_t2"), "text")
-    rows = text.join(keyed, F.col("_d2").eqNullSafe(F.col("_d")) & (F.col("_t2") == F.col("_t"))).select("node", "text").mapInArrow(run, "node long, n long, s array<long>")
-    return rows.dropDuplicates(["node"])  # rows that repeat
+    some_id = lambda c: F.coalesce(c.cast("long"), F.lit(-(1 << 63)))
+    keyed = nodes.select("node", some_id(F.col("doc_id")).alias("d"), F.col("tag").alias("t"))
+    text = docs.select(some_id(F.col("doc_id")).alias("d"), F.xxhash64("text").alias("t"), "text")
+    rows = text.join(keyed, ["d", "t"]).groupBy("d", "t", "node").agg(F.first("text").alias("text"))  # rows that repeat
+    return rows.select("node", "text").mapInArrow(run, "node long, n long, s array<long>, g array<long>")
 
 
 def _cell(h: np.ndarray) -> np.ndarray:
@@ -239,16 +257,21 @@ def frequencies(sets: DataFrame) -> np.ndarray:
     """How often the shingles of each of ``CELLS`` cells occur: a table of fixed size, whatever the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CELLS, np.int64)
+        total = np.zeros(CELLS, "<i8")
         for b in batches:
             if b.num_rows:
                 total += np.bincount(_cell(_sets(b)[0]), minlength=CELLS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["cell", "k"])
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([x.tobytes() for x in np.split(total, PARTS)], pa.binary())], names=["part", "k"])
 
-    got = sets.select("n", "s").mapInArrow(run, "cell long, k long").groupBy("cell").agg(F.sum("k").alias("k")).toArrow()
+    def add(t: pa.Table) -> pa.Table:
+        total = np.sum([np.frombuffer(x.as_buffer(), "<i8") for x in t["k"]], axis=0)
+        return pa.Table.from_arrays([t["part"][:1], pa.array([total.astype("<i8").tobytes()], pa.binary())], names=["part", "k"])
+
+    counted = sets.select("n", "s").mapInArrow(run, "part int, k binary").groupBy("part").applyInArrow(add, "part int, k binary")
     out = np.zeros(CELLS, np.int64)
-    out[got["cell"].to_numpy()] = got["k"].to_numpy()
+    for r in counted.toArrow().to_pylist():
+        out[r["part"] * (CELLS // PARTS) : (r["part"] + 1) * (CELLS // PARTS)] = np.frombuffer(r["k"], "<i8")
     return out
 
 
@@ -303,7 +326,7 @@ def light_links(sets: DataFrame, x: int, jac: Jaccard) -> DataFrame:
                     if o not in by_size:
                         # Leaving out a - o of the shingles: the sum of hashes of what stays names the subset.
                         one, two = mix(s + _BYTE[13]), mix(s + _BYTE[14])
-                        out = np.array(list(combinations(range(a), a - o)), np.int64).reshape(-1, a - o)
+                        out = np.array(list(combinations(range(a), a - o)), np.int64).reshape(comb(a, o), a - o)
                         by_size[o] = mix(one.sum() - one[out].sum(1)) + two.sum() - two[out].sum(1)
                     lo, hi = min(a, p), max(a, p)
                     k = mix(by_size[o] + np.uint64((lo << 20 | hi << 8 | o) * int(_BYTE[15]) & (1 << 64) - 1))
@@ -354,6 +377,14 @@ def _may_link(a: str, b: str, x: int, jac: Jaccard):
     return (jac.den * lo >= jac.num * hi) & (hi > x) & short & (left >= need)
 
 
+def _alike(a: str, b: str, jac: Jaccard):
+    """Condition on two rows with signatures: they differ in no more bits than linked sets differ in shingles."""
+    both = F.col(f"{a}.n") + F.col(f"{b}.n")
+    need = F.ceil(F.lit(jac.num) * both / F.lit(jac.num + jac.den))
+    bits = [F.bit_count(F.col(f"{a}.g")[i].bitwiseXOR(F.col(f"{b}.g")[i])) for i in range(SIGNATURE // 64)]
+    return sum(bits[1:], bits[0]) <= both - 2 * need
+
+
 def verified(pairs: DataFrame, sets: DataFrame, jac: Jaccard) -> DataFrame:
     """The pairs (a, b) whose sets link."""
     one = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
@@ -364,33 +395,36 @@ def verified(pairs: DataFrame, sets: DataFrame, jac: Jaccard) -> DataFrame:
 
 def heavy_links(sets: DataFrame, x: int, freq, jac: Jaccard, known: DataFrame) -> DataFrame:
     """Links (a, b) that join the components of all pairs with a set of more than x shingles; ``known``: links found already."""
-    lists = written(entries(sets, x, freq, jac), "lists")
+    lists = cut(entries(sets, x, freq, jac), "lists")
     e = lists.alias("e")
     centre = lists.groupBy("h").agg(F.min(F.struct((~F.col("short")).alias("long"), F.col("node"), F.col("n"), F.col("at"), F.col("short"))).alias("c"), F.count("*").alias("k"))
     centre = centre.where("k > 1 and not c.long").select("h", "c.*", "k").drop("long").alias("c")
     star = e.join(centre, "h").where("e.node <> c.node").where(_may_link("e", "c", x, jac))
     star = star.select(F.least("e.node", "c.node").alias("a"), F.greatest("e.node", "c.node").alias("b")).distinct()
+    known_n = sets.select("node", "n", "g")
+    star = star.join(known_n.alias("l"), F.col("a") == F.col("l.node")).join(known_n.alias("r"), F.col("b") == F.col("r.node")).where(_alike("l", "r", jac)).select("a", "b")
     first = cut(verified(star, sets, jac).union(known))
     of = components(first)
     # Lists again: an entry whose component is that of its list's centre has met the others of it.
-    name = F.coalesce(F.col("component"), F.col("node"))
-    marked = lists.join(of, "node", "left").withColumn("of", name).drop("component")
-    live = marked.join(centre.select("h", F.col("c.node").alias("centre")), "h")
+    # Pairs whose signatures differ too much are left out where they arise.
+    shared = lists.join(centre.select("h", F.col("c.node").alias("centre")), "h")
+    mine = sets.select("node", "g").join(of, "node", "left").withColumn("of", F.coalesce("component", "node")).drop("component")
     of_centre = of.select(F.col("node").alias("centre"), F.col("component").alias("centre_of"))
-    live = written(live.join(of_centre, "centre", "left").withColumn("centre_of", F.coalesce("centre_of", "centre")), "lists")
+    live = shared.join(mine, "node").join(of_centre, "centre", "left").withColumn("centre_of", F.coalesce("centre_of", "centre"))
+    live = cut(live, "lists")
     other = live.where("of <> centre_of").alias("p")
-    pairs = other.join(live.alias("q"), "h").where("p.of <> q.of and p.node <> q.node").where(_may_link("p", "q", x, jac))
+    pairs = other.join(live.alias("q"), "h").where("p.of <> q.of and p.node <> q.node").where(_may_link("p", "q", x, jac) & _alike("p", "q", jac))
     pairs = pairs.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
     return first.union(verified(pairs, sets, jac))
 
 
 def similar_groups(docs: DataFrame, jac: Jaccard = Jaccard()) -> DataFrame:
     """A row per document: doc_id, tag (hash of the text), n_shingles, component_id, group (number of its component)."""
-    rows = written(document_sets(docs, jac), "sets")
+    rows = cut(document_sets(docs, jac), "sets")
     some = rows.where("likely")
     nodes = some.groupBy("k1", "k2", "n").agg(F.min_by(F.struct("rid", "doc_id", "tag"), "rid").alias("r"))
-    nodes = written(nodes.select("k1", "k2", F.col("n").alias("n_of"), F.col("r.rid").alias("node"), F.col("r.doc_id").alias("doc_id"), F.col("r.tag").alias("tag")), "nodes")
-    sets = written(node_sets(docs, nodes, jac), "shingles")
+    nodes = cut(nodes.select("k1", "k2", F.col("n").alias("n_of"), F.col("r.rid").alias("node"), F.col("r.doc_id").alias("doc_id"), F.col("r.tag").alias("tag")), "nodes")
+    sets = cut(node_sets(docs, nodes, jac), "shingles")
     spark = docs.sparkSession
     freq = spark.sparkContext.broadcast(frequencies(sets))  # CELLS numbers
     x = boundary(sets, freq, jac)
@@ -415,12 +449,13 @@ def keep_first(docs: DataFrame, jac: Jaccard = Jaccard()) -> DataFrame:
 
     Documents without words are in no group and stay.
     """
+    key, d, t, groups, rows = unused(docs, "text_key", "kept_id", "kept_key", "n_groups", "n_rows")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")
-    kept = similar_groups(docs, jac).groupBy("group").agg(F.min(order).alias("k"), F.count("*").alias("_rows"))
-    kept = kept.groupBy(F.col("k.doc_id").alias("_d"), F.col("k.tag").alias("_t")).agg(F.count("*").alias("_groups"), F.max("_rows").alias("_rows"))
-    out = docs.withColumn("_key", F.xxhash64("text"))
-    out = out.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_t")))
+    kept = similar_groups(docs, jac).groupBy("group").agg(F.min(order).alias("k"), F.count("*").alias("n"))
+    kept = kept.groupBy(F.col("k.doc_id").alias(d), F.col("k.tag").alias(t)).agg(F.count("*").alias(groups), F.max("n").alias(rows))
+    out = docs.withColumn(key, F.xxhash64("text"))
+    out = out.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(d)) & (F.col(key) == F.col(t)))
     # Rows equal in id and text are in one group: of those one stays. Without words each is its own group.
-    again = (F.col("_rows") > 1) & (F.col("_groups") == 1)
-    one = out.where(again).dropDuplicates(["doc_id", "_key"])
+    again = (F.col(rows) > 1) & (F.col(groups) == 1)
+    one = out.where(again).dropDuplicates(["doc_id", key])
     return out.where(~again).select(*docs.columns).union(one.select(*docs.columns))
