@@ -1,7 +1,7 @@
 """Token ids in shards of independent zstandard frames with a trailing seek table.
 
-Texts are tokenised where they are read (each distinct word of a batch once),
-dealt to shards by range of doc_id, and written as frames of little-endian ids.
+Documents are dealt to shards by range of doc_id, tokenised there (each distinct
+word of a batch once) and written as frames of little-endian 32-bit ids.
 The last frame of a shard is a skippable one that lists every frame's
 compressed size, decompressed size and checksum, so a reader seeks to the
 frames of the documents it wants and decompresses those only.
@@ -12,15 +12,19 @@ Layout of the trailing table (the public seekable format):
     (number of frames, 0x80, 0x8F92EAB1); all little-endian 32-bit but the 0x80 byte.
 
 Cases: a null or empty text is written as the end id alone; null ids come first;
-rows with one doc_id stand in the order of their token ids, each with its own row; an empty table gives no shard and an empty
+rows with one doc_id stand in the order of a hash of their text, each with its own row; an empty table gives no shard and an empty
 result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import bisect
+import json
+import os
 import struct
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,78 +35,163 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import cut, scratch, text_slices, word_hashes, word_spans
+from .common import SLICE_BYTES, cut, scratch, text_slices, word_hashes, word_spans
 
 END_ID = 1
 FRAME_IDS = 1 << 16
-#: Words whose ids a worker remembers between batches.
-KNOWN_WORDS = 200_000
+#: Words that go through the tokenizer as one string.
+WORDS_AT_ONCE = 1 << 14
+#: Text whose distinct words are looked for together.
+TEXT_BYTES = 24 << 20
 SHARD_BYTES = 256 << 20
 
 _tokenizers: dict = {}
 
 
-def _tokenizer(path: str):
-    if path not in _tokenizers:
-        import os
+#: The word put between words that go through the tokenizer together.
+BETWEEN = "0"
+
+
+@dataclass(frozen=True)
+class Words:
+    """A tokenizer file in use.
+
+    ``by_word``: it drops white space and joins nothing across it, so a text's ids are its words' ids in turn;
+    ``between``: the one id of the word ``BETWEEN``; ``folds``: it lower-cases; ``marks``: it joins no letter with
+    the punctuation after it.
+    """
+
+    tok: object
+    by_word: bool
+    between: int
+    folds: bool
+    marks: bool
+
 
+def _tokenizer(path: str) -> Words:
+    """The tokenizer of a file, loaded once by each worker."""
+    if path not in _tokenizers:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
+        tok = Tokenizer.from_file(path)
+        ids = lambda x: tok.encode(x, add_special_tokens=False).ids
+        pairs = (("a", "b"), ("it's", "'s"), ("1", "2."), (".", "the"), ("é!", "?"), (BETWEEN, BETWEEN), ("x", BETWEEN))
+        by_word = len(ids(BETWEEN)) == 1 and all(ids(f"{a}{w}{b}") == ids(a) + ids(b) for a, b in pairs for w in (" ", "\n", " \t "))
+        named = (json.loads(tok.to_str()).get("normalizer") or {}).get("normalizers", [])
+        ends = (".", ",", ";", ":", "!", "?", ")", '"', "...", "!!", "***", "$$$", '").', "-", "/", "_", "%")
+        marks = all(ids(w + m) == ids(w) + ids(m) for w in ("the", "of", "a", "word", "xqzv", "It", "www", "é" + "t") for m in ends)
+        _tokenizers[path] = Words(tok, by_word, ids(BETWEEN)[0] if by_word else -1, any(n["type"] == "Lowercase" for n in named), marks)
     return _tokenizers[path]
 
 
-def encode_words(words: list[bytes], tok, known: dict[bytes, np.ndarray]) -> list[np.ndarray]:
-    """Token ids of each word.
+def encode_words(words: list[bytes], use: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all words, number of ids of each).
 
-    The tokenizer drops white space and never joins what stands on two sides of
-    it, so a text's ids are those of its words in turn.
+    Many words go through the tokenizer as one string with a known word between them; none of them may hold that
+    word's character, so its id marks where each ends.
+    """
+    ids, sizes = [], np.zeros(len(words), np.int64)
+    sep = f" {BETWEEN} ".encode()
+    for k in range(0, len(words), WORDS_AT_ONCE):
+        part = words[k : k + WORDS_AT_ONCE]
+        got = np.array(use.tok.encode_batch_fast([sep.join(part).decode("utf-8")], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(got == use.between)
+        sizes[k : k + len(part)] = np.diff(np.concatenate([[-1], ends, [len(got)]])) - 1
+        ids.append(np.delete(got, ends))
+    return np.concatenate([*ids, np.zeros(0, np.uint32)]), sizes
+
+
+_LETTER = np.array([chr(i).isalpha() and i < 128 for i in range(256)])
+#: Punctuation that can be taken off a word's end: not the apostrophe, which begins contractions, nor parts of special tokens.
+_MARK = np.array([32 < i < 127 and not chr(i).isalnum() and chr(i) not in "'<|" for i in range(256)])
+
+
+def split_marks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The spans with the punctuation at a word's end, after an ASCII letter, as a word of its own."""
+    at = ends.copy()  # where the marks at the end of each word begin
+    live = np.flatnonzero(_MARK[data[ends - 1]])
+    while len(live):
+        at[live] -= 1
+        live = live[(at[live] > starts[live]) & _MARK[data[np.maximum(at[live] - 1, 0)]]]
+    cut_here = (at > starts) & (at < ends)
+    cut_here[cut_here] = _LETTER[data[at[cut_here] - 1]]
+    i = np.flatnonzero(cut_here)
+    more = np.concatenate([[0], np.cumsum(cut_here)])
+    return np.insert(starts, i + 1, at[i]), np.insert(ends, i, at[i]), before + more[before]
+
+
+def _words(data: np.ndarray, offs: np.ndarray, use: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of the words to encode and the number of them before each text, found in parts that fit a cache."""
+    starts, ends, before, n, lo = [], [], [np.zeros(1, np.int64)], 0, 0
+    while lo < len(offs) - 1:
+        hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + SLICE_BYTES, "right")) - 1)
+        part, at = data[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
+        s, e, b = word_spans(part, at)
+        if use.marks and len(s):
+            s, e, b = split_marks(part, s, e, b)
+        starts.append(s + offs[lo])
+        ends.append(e + offs[lo])
+        before.append(b[1:] + n)
+        n, lo = n + len(s), hi
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(starts or none), np.concatenate(ends or none), np.concatenate(before)
+
+
+_ODD = np.isin(np.arange(256), list(b"<|" + BETWEEN.encode()))
+
+
+def encode_each(texts: list[bytes], use: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts, number of ids of each), each text on its own."""
+    ids, sizes = [], []
+    for k in range(0, len(texts), 1024):
+        for e in use.tok.encode_batch_fast([x.decode("utf-8") for x in texts[k : k + 1024]], add_special_tokens=False):
+            ids.append(np.array(e.ids, np.uint32))
+            sizes.append(len(ids[-1]))
+    return np.concatenate([*ids, np.zeros(0, np.uint32)]), np.array(sizes, np.int64)
+
+
+def encode_slice(data: np.ndarray, offs: np.ndarray, use: Words, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts, offsets of each text's ids), the end id last in each.
+
+    Where the tokenizer drops white space and joins nothing across it, every distinct word is encoded once.
     """
-    new = [w for w in words if w not in known]
-    out = dict(zip(new, (np.array(e.ids, np.uint32) for e in tok.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)), strict=True))
-    result = [known.get(w) if w in known else out[w] for w in words]
-    for w in new[: max(0, KNOWN_WORDS - len(known))]:
-        known[w] = out[w]
-    return result
-
-
-def encode_slice(data: np.ndarray, offs: np.ndarray, tok, known: dict, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all texts, offsets of each text's ids), the end id last in each."""
-    starts, ends, before = word_spans(data, offs)
-    keys, first, back = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
     raw = data.tobytes()
-    ids = encode_words([raw[starts[i] : ends[i]] for i in first], tok, known)
-    flat = np.concatenate([*ids, np.array([end_id], np.uint32)])
-    size = np.array([len(x) for x in ids] + [1], np.int64)
+    if not use.by_word:
+        ids, size = encode_each([raw[a:b] for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)], use)
+        ends = np.cumsum(size)
+        return np.insert(ids, ends, end_id), np.concatenate([[0], ends + np.arange(1, len(size) + 1)])
+    starts, ends, before = _words(data, offs, use)
+    # Words that hold the word between, or that may hold part of a special token, are taken as they stand, one by one.
+    odd = np.zeros(len(starts), bool)
+    odd[np.searchsorted(ends, np.flatnonzero(_ODD[data]), "right")] = True
+    keys = word_hashes(data, starts, ends, lower=use.folds)
+    for i, a, b in zip(np.flatnonzero(odd).tolist(), starts[odd].tolist(), ends[odd].tolist(), strict=True):
+        keys[i] = xxhash.xxh64_intdigest(raw[a:b])
+    keys, first, back = np.unique(keys, return_index=True, return_inverse=True)
+    rank = np.argsort(odd[first], kind="stable")
+    plain = len(rank) - int(odd[first].sum())
+    word = lambda i: [raw[a:b] for a, b in zip(starts[i].tolist(), ends[i].tolist(), strict=True)]
+    ids, size = encode_words(word(first[rank[:plain]]), use)
+    lone, lone_size = encode_each(word(first[rank[plain:]]), use)
+    place = np.empty(len(rank), np.int32)
+    place[rank] = np.arange(len(rank), dtype=np.int32)
+    flat = np.concatenate([ids, lone, np.array([end_id], np.uint32)])
+    size = np.concatenate([size, lone_size, [1]])
     begin = np.cumsum(size) - size
     # The sequence of words with the end id after each text's last word.
-    order = np.insert(back.astype(np.int64), before[1:], len(keys))
+    order = np.insert(place[back], before[1:], len(keys))
     n = size[order]
     at = np.cumsum(n) - n
-    out = flat[np.repeat(begin[order] - at, n) + np.arange(int(n.sum()))]
+    out = np.empty(int(n.sum()), np.uint32)
+    for k in range(0, len(order), 1 << 18):
+        m = n[k : k + (1 << 18)]
+        lo, hi = int(at[k]), int(at[k] + m.sum())
+        out[lo:hi] = flat[np.repeat(begin[order[k : k + (1 << 18)]] - at[k : k + (1 << 18)], m) + np.arange(lo, hi)]
     stops = np.flatnonzero(order == len(keys))
     return out, np.concatenate([[0], at[stops] + 1])
 
 
-def tokenize(docs: DataFrame, path: str, end_id: int = END_ID, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, ids binary of little-endian 32-bit, or 16-bit where all ids fit) of each document."""
-    schema = pa.schema([("doc_id", pa.int64()), ("wide", pa.bool_()), ("ids", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, known = _tokenizer(path)
-        for b in batches:
-            for lo, hi, data, offs in text_slices(b, "text"):
-                ids, at = encode_slice(data, offs, tok, known, end_id)
-                wide = bool(len(ids)) and int(ids.max()) > 0xFFFF
-                packed = ids.astype("<u4" if wide else "<u2").tobytes()
-                k = 4 if wide else 2
-                blobs = [packed[k * at[i] : k * at[i + 1]] for i in range(hi - lo)]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), pa.array([wide] * (hi - lo)), pa.array(blobs, pa.binary())], schema=schema)
-
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, wide boolean, ids binary")
-
-
 def _open_fs(folder: str):
     fs, path = pafs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pafs.LocalFileSystem(), folder)
     return fs, path.rstrip("/")
@@ -118,7 +207,13 @@ def put_file(folder: str, name: str, parts) -> None:
     with fs.open_output_stream(own) as f:
         for p in parts:
             f.write(p)
-    fs.move(own, f"{path}/{name}")
+    try:
+        fs.move(own, f"{path}/{name}")
+    except OSError:  # a store that does not replace: an earlier attempt of the same task left the same file
+        if fs.get_file_info(f"{path}/{name}").type == pafs.FileType.NotFound:
+            raise
+        fs.delete_file(f"{path}/{name}")
+        fs.move(own, f"{path}/{name}")
 
 
 def seek_table(frames: list[tuple[int, int, int]]) -> bytes:
@@ -139,60 +234,65 @@ def read_seek_table(f, size: int) -> np.ndarray:
     return np.column_stack([np.cumsum(t[:, 0]) - t[:, 0], t[:, 0], np.cumsum(t[:, 1]) - t[:, 1], t[:, 1], t[:, 2]])
 
 
-def write_shards(tokens: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, frame_ids: int = FRAME_IDS) -> DataFrame:
-    """Write the shards; return a row per document: doc_id, shard, part, at (first id in the file), n_tokens."""
+def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES, frame_ids: int = FRAME_IDS) -> DataFrame:
+    """Deal the documents to shards by range of doc_id, tokenise and write them.
+
+    A row per document: doc_id, shard, part, at (first id in the file), n_tokens.
+    """
+    schema = pa.schema([("doc_id", pa.int64()), ("shard", pa.int32()), ("part", pa.int32()), ("at", pa.int64()), ("n_tokens", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        use = _tokenizer(tokenizer)
         shard = TaskContext.get().partitionId()
         z = zstandard.ZstdCompressor(level=3, write_content_size=True)
-        part, frames, blobs, buf, held, at, rows = 0, [], [], [], 0, 0, []
+        part, frames, blobs, size, buf, held, at = 0, [], [], 0, [], 0, 0
 
         def frame():
-            nonlocal buf, held
+            nonlocal buf, held, size
             if held:
                 raw = b"".join(buf)
                 blobs.append(z.compress(raw))
+                size += len(blobs[-1])
                 frames.append((len(blobs[-1]), len(raw), xxhash.xxh64(raw).intdigest() & 0xFFFFFFFF))
                 buf, held = [], 0
 
         def close():
-            nonlocal part, frames, blobs, at, rows
+            nonlocal part, frames, blobs, size, at
             frame()
-            if rows:
+            if frames:
                 put_file(folder, f"shard-{shard:06d}-{part:04d}.zst", [*blobs, seek_table(frames)])
-                out = rows
-                part, frames, blobs, at, rows = part + 1, [], [], 0, []
-                yield pa.RecordBatch.from_pylist([dict(zip(("doc_id", "shard", "part", "at", "n_tokens"), r, strict=True)) for r in out], pa.schema([("doc_id", pa.int64()), ("shard", pa.int32()), ("part", pa.int32()), ("at", pa.int64()), ("n_tokens", pa.int64())]))
+                part, frames, blobs, size, at = part + 1, [], [], 0, 0
 
         for b in batches:
-            for d, wide, ids in zip(b.column("doc_id").to_pylist(), b.column("wide").to_pylist(), b.column("ids"), strict=True):
-                v = np.frombuffer(ids.as_buffer(), "<u4" if wide else "<u2").astype("<u4")
-                rows.append((d, shard, part, at, len(v)))
-                at += len(v)
-                buf.append(v.tobytes())
-                held += len(v)
-                if held >= frame_ids:
-                    frame()
-                if sum_size(blobs) >= shard_bytes:
-                    yield from close()
-        yield from close()
-
-    def sum_size(blobs):
-        return 0 if not blobs else (len(blobs[-1]) * len(blobs) if len(blobs) < 64 else sum(map(len, blobs)))
-
-    order = [F.col("doc_id").asc_nulls_first(), F.col("wide"), F.col("ids")]
-    dealt = tokens.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(*order)
-    return dealt.mapInArrow(run, "doc_id long, shard int, part int, at long, n_tokens long")
-
-
-def read_shards(index: DataFrame, folder: str) -> DataFrame:
-    """Read documents back: the index rows (doc_id, shard, part, at, n_tokens, start) with ``ids`` as little-endian 32-bit binary.
+            for lo, hi, data, offs in text_slices(b, "text", TEXT_BYTES):
+                ids, ends = encode_slice(data, offs, use, end_id)
+                raw = ids.astype("<u4").tobytes()
+                where = []
+                for x, y in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                    where.append((part, at, y - x))
+                    at += y - x
+                    buf.append(raw[4 * x : 4 * y])
+                    held += y - x
+                    if held >= frame_ids:
+                        frame()
+                    if size >= shard_bytes:
+                        close()
+                p, first, n = zip(*where, strict=True)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), pa.array([shard] * len(p), pa.int32()), pa.array(p, pa.int32()), pa.array(first, pa.int64()), pa.array(n, pa.int64())], schema=schema)
+        close()
+
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, "doc_id long, shard int, part int, at long, n_tokens long")
+
+
+def _read(index: DataFrame, folder: str, schema: pa.Schema, ddl: str, row) -> DataFrame:
+    """``row(index row, ids bytes)`` of each index row, read from its shard.
 
     Only the frames that hold a wanted document are decompressed, and each is checked against its checksum.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = _open_fs(folder)
@@ -208,19 +308,20 @@ def read_shards(index: DataFrame, folder: str) -> DataFrame:
                     name, last = want, (None, b"")
                     f = fs.open_input_file(want)
                     frames = read_seek_table(f, f.size())
+                    begins = frames[:, 2].tolist()
                 lo, hi = 4 * r["at"], 4 * (r["at"] + r["n_tokens"])
-                k = int(np.searchsorted(frames[:, 2], lo, "right")) - 1
+                k = bisect.bisect_right(begins, lo) - 1
                 got = []
-                while k < len(frames) and frames[k, 2] < hi:
+                while k < len(begins) and begins[k] < hi:
                     if last[0] != k:
                         f.seek(int(frames[k, 0]))
                         raw = z.decompress(f.read(int(frames[k, 1])), max_output_size=int(frames[k, 3]))
                         if xxhash.xxh64(raw).intdigest() & 0xFFFFFFFF != frames[k, 4]:
                             raise ValueError(f"{want}: frame {k} does not match its checksum")
                         last = (k, raw)
-                    got.append(last[1][max(0, lo - frames[k, 2]) : hi - frames[k, 2]])
+                    got.append(last[1][max(0, lo - begins[k]) : hi - begins[k]])
                     k += 1
-                out.append({"doc_id": r["doc_id"], "start": r["start"], "n_tokens": r["n_tokens"], "ids": b"".join(got)})
+                out.append(row(r, got[0] if len(got) == 1 else b"".join(got)))
                 if len(out) >= 512:
                     yield pa.RecordBatch.from_pylist(out, schema)
                     out = []
@@ -231,7 +332,21 @@ def read_shards(index: DataFrame, folder: str) -> DataFrame:
 
     cols = ["doc_id", "shard", "part", "at", "n_tokens", "start"]
     near = index.select(*cols).repartition("shard", "part", F.floor(F.col("at") / (64 * FRAME_IDS))).sortWithinPartitions("shard", "part", "at")
-    return near.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return near.mapInArrow(run, ddl)
+
+
+def read_shards(index: DataFrame, folder: str) -> DataFrame:
+    """Read documents back: doc_id, start, n_tokens and ``ids`` (little-endian 32-bit) of the index rows given."""
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
+    row = lambda r, ids: {"doc_id": r["doc_id"], "start": r["start"], "n_tokens": len(ids) // 4, "ids": ids}
+    return _read(index, folder, schema, "doc_id long, start long, n_tokens long, ids binary", row)
+
+
+def digest_shards(index: DataFrame, folder: str) -> DataFrame:
+    """Read documents back and return their ids' CRC-32 in place of the ids."""
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+    row = lambda r, ids: {"doc_id": r["doc_id"], "start": r["start"], "n_tokens": len(ids) // 4, "ids_crc32": zlib.crc32(ids)}
+    return _read(index, folder, schema, "doc_id long, start long, n_tokens long, ids_crc32 long", row)
 
 
 def with_start(index: DataFrame) -> DataFrame:
@@ -244,12 +359,11 @@ def with_start(index: DataFrame) -> DataFrame:
 def shard_corpus(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = END_ID) -> tuple[DataFrame, str]:
     """Tokenise and write; (index with start, folder)."""
     folder = folder or scratch(docs.sparkSession, "tokens")
-    index = cut(write_shards(tokenize(docs, tokenizer, end_id), folder))
+    index = cut(write_shards(docs, tokenizer, folder, end_id))
     return with_start(index), folder
 
 
 def token_report(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, from the shards read back."""
     index, folder = shard_corpus(docs, tokenizer)
-    back = read_shards(index, folder)
-    return back.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+    return digest_shards(index, folder)

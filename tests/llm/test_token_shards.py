@@ -15,7 +15,8 @@ from arrears.llm.queries import tokenizer_path
 
 PATH = tokenizer_path()
 ODD = ["", None, "It's 42 o'clock!!", "<|endoftext|> a<|endoftext|>b", "<|startoftext|>", "<|", "|>", "a | b < c", "É é ́x é", "x y z", "\x1c\x85 \x00 q",
-       "日本語 テキスト 123٣٤", "😀👍🏽 ok", "DON'T we'LL", "a" * 5000, "\n\t \r", "ǅ İ ß ﬁ", "end\u0085line", "'s 't 're"]
+       "日本語 テキスト 123٣٤", "😀👍🏽 ok", "DON'T we'LL", "a" * 5000, "\n\t \r", "ǅ İ ß ﬁ", "end\u0085line", "'s 't 're", "word. word, word!! (word). \"word\"). it's. dogs' dogs'. a.b.c. x... y,,; z-- <|endoftext|>. b|> c< d<. e|.",
+       "é. ét. té, 1. 2, a1. 1a. w/ w_ w% ***w*** $$$ !!", "The. THE. the. İ. K. K"]
 
 
 def test_driver_table(spark):
