@@ -7,6 +7,9 @@ smallest hashes of its ``gram``-symbol grams are anchors.  Equal windows have
 equal anchors at equal offsets, so no repeat is lost, and only about two in
 ``width - gram + 2`` suffixes stay.
 
+0. A small sample of the texts shows which grams are anchors of many different
+   segments (a passage that a third of the documents hold, say). Their anchors
+   are dealt out by segment, and all their segments are split as in step 3.
 1. Every task finds the anchors of its texts, with a hash of the segment that
    all windows around an anchor can reach.  Of anchors with equal segments
    among those sent together only the earliest goes on; the others are covered by it.
@@ -38,6 +41,10 @@ AT_ONCE = 1 << 18
 GROUP = 20_000
 #: Window offsets that one group of a split prefix answers for.
 ROUTE = 8
+#: The sample: anchors it should hold, and different segments in it that make a gram a frequent one (a thousandth).
+SAMPLE, FREQUENT = 1 << 18, 1 << 8
+#: Parts that the anchors of a frequent gram are dealt to.
+SALT = 64
 
 
 @dataclass(frozen=True)
@@ -107,17 +114,35 @@ def _earliest(key: np.ndarray, seg: np.ndarray, doc: np.ndarray, tag: np.ndarray
     return order, (d != d[first]) | (t != t[first]) | (p != p[first])  # a row that repeats is the same place
 
 
-_ROWS = "key long, seg long, doc long, tag int, at long"
-_ROW_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-_ROW_NAMES = ["key", "seg", "doc", "tag", "at"]
+_ROWS = "key long, salt int, seg long, doc long, tag int, at long"
+_ROW_NAMES = ["key", "salt", "seg", "doc", "tag", "at"]
 
 
 def _pack(pos: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return pos << 16 | left << 8 | right
 
 
-def find_anchors(docs: DataFrame, win: Windows) -> DataFrame:
-    """Anchors of the texts: key (gram), seg (segment hash; null: already covered), doc, tag, at (position and reach)."""
+def frequent_grams(docs: DataFrame, win: Windows) -> np.ndarray:
+    """Grams (sorted) that are anchors of at least ``FREQUENT`` different segments in a sample of the texts.
+
+    At most ``SAMPLE / FREQUENT`` or so, however large the corpus. The sample only steers
+    where rows go; grams that it misses are matched in one task each.
+    """
+    each = 2.0 / (win.offsets + 1)
+    rows, symbols_in_all = docs.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    anchors_in_all = (symbols_in_all or 0) * each / (6 if win.words else 1)
+    if not anchors_in_all:
+        return np.zeros(0, np.int64)
+    some = docs if anchors_in_all <= SAMPLE else docs.sample(SAMPLE / anchors_in_all, seed=7)
+    kinds = find_anchors(some, win, None).where("seg is not null").select("key", "seg").distinct().groupBy("key").agg(F.count("*").alias("n"))
+    got = kinds.where(F.col("n") >= FREQUENT).select("key").toArrow()
+    return np.sort(got["key"].to_numpy())
+
+
+def find_anchors(docs: DataFrame, win: Windows, frequent: np.ndarray | None) -> DataFrame:
+    """Anchors of the texts: key (gram), salt (0, or the part of a frequent gram), seg (segment hash; null: already
+    covered), doc, tag, at (position and reach)."""
+    many = docs.sparkSession.sparkContext.broadcast(np.zeros(0, np.int64) if frequent is None else frequent)  # see frequent_grams
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got, n = [], 0
@@ -144,9 +169,12 @@ def find_anchors(docs: DataFrame, win: Windows) -> DataFrame:
         key[order[covered]] = mix(doc[order[covered]].astype(np.uint64))  # these only pass through
         null = np.zeros(len(key), bool)
         null[order[covered]] = True
+        known = many.value
+        at = np.minimum(np.searchsorted(known, key.view(np.int64)), max(0, len(known) - 1))
+        salt = np.where(known[at] == key.view(np.int64), (seg % np.uint64(SALT)).astype(np.int32) + 1, 0).astype(np.int32) if len(known) else np.zeros(len(key), np.int32)
         for k in range(0, len(key), 1 << 16):
             s = slice(k, k + (1 << 16))
-            yield pa.RecordBatch.from_arrays([pa.array(key[s].view(np.int64)), pa.array(seg[s].view(np.int64), mask=null[s]), pa.array(doc[s]), pa.array(mark[s]), pa.array(_pack(pos[s], left[s], right[s]))], names=_ROW_NAMES)
+            yield pa.RecordBatch.from_arrays([pa.array(key[s].view(np.int64)), pa.array(salt[s]), pa.array(seg[s].view(np.int64), mask=null[s]), pa.array(doc[s]), pa.array(mark[s]), pa.array(_pack(pos[s], left[s], right[s]))], names=_ROW_NAMES)
 
     return docs.mapInArrow(run, _ROWS)
 
@@ -169,22 +197,22 @@ def match_anchors(found: DataFrame, win: Windows) -> DataFrame:
             return
         t = pa.Table.from_batches(kept)
         kept.clear()
-        key, seg, doc, tag, at = (t[c].to_numpy() for c in _ROW_NAMES)
+        key, salt, seg, doc, tag, at = (t[c].to_numpy() for c in _ROW_NAMES)
         del t
         by = np.argsort(key)
         new = np.concatenate([[True], key[by][1:] != key[by][:-1], [True]])
-        alone = new[:-1] & new[1:]
+        alone = new[:-1] & new[1:] & (salt[by] == 0)  # of a frequent gram other parts hold the rest
         some = by[~alone]
-        key, seg, doc, tag, at = key[some], seg[some], doc[some], tag[some], at[some]
+        key, salt, seg, doc, tag, at = key[some], salt[some], seg[some], doc[some], tag[some], at[some]
         order, covered = _earliest(key, seg, doc, tag, at, win.strict)
-        key, seg, doc, tag, at = key[order], seg[order], doc[order], tag[order], at[order]
+        key, salt, seg, doc, tag, at = key[order], salt[order], seg[order], doc[order], tag[order], at[order]
         pos, left, right = at >> 16, at >> 8 & 255, at & 255
         if covered.any():
             c = covered
             yield from _split(pa.RecordBatch.from_arrays([pa.nulls(int(c.sum()), pa.int64()), pa.array(doc[c]), pa.array(tag[c]), pa.array((pos - left)[c]), pa.array((pos + right)[c])], names=out_names))
         # Of what is left, grams with different segments have something to compare.
         r = ~covered
-        key, seg, doc, tag, pos = key[r], seg[r], doc[r], tag[r], pos[r]
+        key, salt, seg, doc, tag, pos = key[r], salt[r], seg[r], doc[r], tag[r], pos[r]
         if not len(key):
             return
         new = np.concatenate([[True], key[1:] != key[:-1]])
@@ -199,11 +227,13 @@ def match_anchors(found: DataFrame, win: Windows) -> DataFrame:
             np.maximum.at(hi, group, other)
             varied &= lo < hi
         large = np.bincount(group) > GROUP
+        large[group[salt > 0]] = True
+        varied |= large
         m = varied[group]
         if m.any():
             yield from _split(pa.RecordBatch.from_arrays([pa.array(key[m]), pa.array(doc[m]), pa.array(tag[m]), pa.array(pos[m]), pa.array(large[group][m].astype(np.int64))], names=out_names))
 
-    return found.repartition("key").mapInArrow(run, "key long, doc long, tag int, lo long, hi long")
+    return found.repartition("key", "salt").mapInArrow(run, "key long, doc long, tag int, lo long, hi long")
 
 
 def _split(b: pa.RecordBatch, n: int = 1 << 16) -> Iterator[pa.RecordBatch]:
@@ -371,7 +401,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def covered_ranges(docs: DataFrame, win: Windows, suffix_order: Callable) -> DataFrame:
     """(doc, tag, ranges array of lo, hi) of what repeats in the rows of ``keyed``."""
-    met = cut(match_anchors(find_anchors(docs, win), win), "anchors")
+    met = cut(match_anchors(find_anchors(docs, win, frequent_grams(docs, win)), win), "anchors")
     asked = met.where("key is not null")
     more = compare_segments(cut_segments(asked, docs, win), win, suffix_order)
     every = met.where("key is null").select("doc", "tag", "lo", "hi").union(more)

@@ -128,3 +128,15 @@ def test_anchors_of_equal_windows_agree():
         whole, keys = repeats.anchors(text, np.array([0, 400]), win)
         inside = (whole >= a) & (whole <= a + 30 - 8)
         assert len(pos) and set(zip(pos.tolist(), key.tolist())) <= set(zip((whole[inside] - a).tolist(), keys[inside].tolist()))
+
+
+def test_frequent_grams_are_dealt_out(spark, monkeypatch):
+    """A passage in many surroundings: its grams are found in the sample and their anchors meet by segment."""
+    monkeypatch.setattr(repeats, "FREQUENT", 5)
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(70)]
+    rows = [(i, " ".join([f"u{rng.randrange(9)}" for _ in range(30)] + passage[rng.choice([0, 9]) : rng.choice([None, -12])] + [f"v{rng.randrange(4)}" for _ in range(30)])) for i in range(200)]
+    for win in (suffix_tree.WINDOW, suffix_array.WINDOW):
+        assert len(repeats.frequent_grams(repeats.keyed(documents(spark, rows)), win)) > 0
+    assert _words(spark, rows) == sorted(brute.strip_words(rows), key=str)
+    assert _bytes(spark, rows) == sorted(brute.strip_bytes(rows), key=str)
