@@ -169,27 +169,34 @@ def encode_slice(data: np.ndarray, offs: np.ndarray, use: Words, end_id: int) ->
     for i, a, b in zip(np.flatnonzero(odd).tolist(), starts[odd].tolist(), ends[odd].tolist(), strict=True):
         keys[i] = xxhash.xxh64_intdigest(raw[a:b])
     keys, first, back = np.unique(keys, return_index=True, return_inverse=True)
-    rank = np.argsort(odd[first], kind="stable")
-    plain = len(rank) - int(odd[first].sum())
-    word = lambda i: [raw[a:b] for a, b in zip(starts[i].tolist(), ends[i].tolist(), strict=True)]
-    ids, size = encode_words(word(first[rank[:plain]]), use)
-    lone, lone_size = encode_each(word(first[rank[plain:]]), use)
-    place = np.empty(len(rank), np.int32)
-    place[rank] = np.arange(len(rank), dtype=np.int32)
+    n_keys, lone_first = len(keys), odd[first]
+    rank = np.argsort(lone_first, kind="stable")
+    plain = n_keys - int(lone_first.sum())
+    place = np.empty(n_keys, np.int32)
+    place[rank] = np.arange(n_keys, dtype=np.int32)
+    # The sequence of words with the end id after each text's last word.
+    order = np.insert(place[back], before[1:], n_keys)
+    a, b = starts[first[rank]].tolist(), ends[first[rank]].tolist()
+    del keys, back, odd, starts, ends, place
+    word = lambda lo, hi: [raw[x:y] for x, y in zip(a[lo:hi], b[lo:hi], strict=True)]
+    ids, size = encode_words(word(0, plain), use)
+    lone, lone_size = encode_each(word(plain, n_keys), use)
     flat = np.concatenate([ids, lone, np.array([end_id], np.uint32)])
     size = np.concatenate([size, lone_size, [1]])
     begin = np.cumsum(size) - size
-    # The sequence of words with the end id after each text's last word.
-    order = np.insert(place[back], before[1:], len(keys))
-    n = size[order]
-    at = np.cumsum(n) - n
-    out = np.empty(int(n.sum()), np.uint32)
+    stops = np.flatnonzero(order == n_keys)
+    out = np.empty(int(size[order].sum()), np.uint32)
+    ends_at, done = np.zeros(len(stops) + 1, np.int64), 0
     for k in range(0, len(order), 1 << 18):
-        m = n[k : k + (1 << 18)]
-        lo, hi = int(at[k]), int(at[k] + m.sum())
-        out[lo:hi] = flat[np.repeat(begin[order[k : k + (1 << 18)]] - at[k : k + (1 << 18)], m) + np.arange(lo, hi)]
-    stops = np.flatnonzero(order == len(keys))
-    return out, np.concatenate([[0], at[stops] + 1])
+        part = order[k : k + (1 << 18)]
+        m = size[part]
+        at = np.cumsum(m) - m
+        hi = int(m.sum())
+        out[done : done + hi] = flat[np.repeat(begin[part] - at, m) + np.arange(hi)]
+        x, y = np.searchsorted(stops, (k, k + len(part)))
+        ends_at[x + 1 : y + 1] = done + at[stops[x:y] - k] + 1
+        done += hi
+    return out, ends_at
 
 
 def _open_fs(folder: str):
