@@ -45,12 +45,14 @@ from .common import _BYTE, components, cut, gram_hashes, mix, range_hashes, text
 CELLS = 1 << 20
 #: Parts of that count that are added up apart.
 PARTS = 64
+#: Sets whose ids (24 bytes each) are broadcast to find their texts, so that the other texts stay where they are.
+BROADCAST_NODES = 250_000
 #: Bits of a set's signature.
 SIGNATURE = 512
 #: Sets above this size are never enumerated.
 LARGEST_SMALL = 28
 #: Shingles of both partners' smallest ones that must agree, as a share of a set (in percent).
-AGREE = 20
+AGREE = 10
 #: Buckets of the lists of smallest shingles: four for each task that reads the texts, between 2^4 and 2^18.
 BUCKET_BITS = 4, 18
 
@@ -236,6 +238,8 @@ def node_sets(docs: DataFrame, nodes: DataFrame, jac: Jaccard) -> DataFrame:
 
     some_id = lambda c: F.coalesce(c.cast("long"), F.lit(-(1 << 63)))
     keyed = nodes.select("node", some_id(F.col("doc_id")).alias("d"), F.col("tag").alias("t"))
+    if nodes.count() <= BROADCAST_NODES:  # else both sides are shuffled
+        keyed = F.broadcast(keyed)
     text = docs.select(some_id(F.col("doc_id")).alias("d"), F.xxhash64("text").alias("t"), "text")
     rows = text.join(keyed, ["d", "t"]).groupBy("d", "t", "node").agg(F.first("text").alias("text"))  # rows that repeat
     return rows.select("node", "text").mapInArrow(run, "node long, n long, s array<long>, g array<long>")
