@@ -50,6 +50,24 @@ def test_recall_in_clusters(spark):
         assert [s for _, s in got[q]] == sorted((s for _, s in got[q]), reverse=True)
 
 
+def test_recall_without_clusters(spark):
+    """Vectors like the driver's, near to isotropic, and many times VISIT_LEAST rows, with the default parameters."""
+    x = np.random.default_rng(5).normal(size=(24_000, 64)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    want, got = _exact([(i, x[i]) for i in range(len(x))]), _found(N.neighbours_report(_vectors(spark, rows)))
+    assert set(got) == set(want)
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 5 for q in want]) >= 0.9
+
+
+def test_many_chunks_of_queries_and_small_blocks(spark, monkeypatch):
+    x = np.random.default_rng(6).normal(size=(2000, 8))
+    df = _vectors(spark, [(i, v.tolist()) for i, v in enumerate(x)])
+    one = _found(N.neighbours_report(df))
+    monkeypatch.setattr(N, "BLOCK", 37)
+    monkeypatch.setattr(N, "CHUNK", 7)
+    assert _found(N.neighbours_report(df)) == one
+
+
 def test_ties_and_a_cell_of_copies(spark, monkeypatch):
     monkeypatch.setattr(N, "BLOCK", 64)  # the copies fill many blocks
     rng = np.random.default_rng(2)
@@ -81,3 +99,11 @@ def test_cells_come_by_distance():
     sums = [d1[c // 9] + d2[c % 9] for c in cells]
     assert sorted(cells) == list(range(63)) and sums == sorted(sums)
     assert N.cells_by_distance(d1, d2, held, 5) == cells[:5]
+
+
+def test_visited_cells_by_sort_or_heap():
+    rng = np.random.default_rng(4)
+    d1, d2 = rng.random(7), rng.random(9)
+    held = rng.integers(0, 30, 63)
+    for enough in (1, 50, 300, 10**6):
+        assert sorted(N.visited(d1, d2, held, enough)) == sorted(N.cells_by_distance(d1, d2, held, enough))
