@@ -1,8 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
 
 Texts and test items become words (letters and digits, A-Z folded).  The n-grams
-of the items are looked up in every text; n-grams that the corpus holds often
-beside those of the same item are dropped, the rare ones are seeds.  Around the
+of the items are looked up in every text; n-grams that occur often in the corpus
+beside those of the same item are dropped, the rare ones are seeds.  Every
+occurrence counts once, however many items or blocks share the n-gram.  Around the
 seeds of an item a window of the text is aligned with the whole item word by
 word; edits and paraphrases cost score, unrelated words on either side do not.
 A text is contaminated where the best local alignment reaches ``MIN_SCORE`` of
@@ -35,6 +36,9 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_BYTES = 16 << 20
 #: A seed occurs at most this many times as often as its item's median n-gram.
 RARE = 2
+#: Stands for the item in rows that hold a task's n-grams and how often they occur.
+COUNTS = -1
+_NEAR = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("text_key", pa.int64()), ("item", pa.int64()), ("start", pa.int64()), ("words", pa.binary()), ("grams", pa.binary())])
 
 
 class Items:
@@ -189,12 +193,15 @@ def _block(docs: DataFrame, items: Items, min_score: float) -> DataFrame:
 
     def seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items.of(held.value)
+        total = np.zeros(len(items.distinct), np.int64)
         for b in batches:
             ids, keys, line = b.column("doc_id"), b.column("text_key"), b.column("row")
             for first, _, data, offs in text_slices(b, "text"):
                 starts, ends, before = word_spans(data, offs, LETTERS)
                 words = word_hashes(data, starts, ends, lower=True)
                 of, pos, gram = items.hits(words, before)
+                at, times = np.unique(gram, return_counts=True)
+                total[at] += times
                 out = []
                 bounds = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]])) if len(of) else []
                 for x, y in zip(bounds[:-1], bounds[1:], strict=True):
@@ -204,19 +211,20 @@ def _block(docs: DataFrame, items: Items, min_score: float) -> DataFrame:
                         out.append((ids[first + t].as_py(), line[first + t].as_py(), keys[first + t].as_py(), item, s - lo, words[s:e].tobytes(), g.astype("<i8").tobytes()))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["doc_id", "row", "text_key", "item", "start", "words", "grams"])
+        seen = np.flatnonzero(total)
+        for k in range(0, len(seen), 1 << 16):  # the occurrences of the task, beside its windows
+            at = seen[k : k + (1 << 16)]
+            yield pa.RecordBatch.from_pylist([{"item": COUNTS, "words": total[at].astype("<i8").tobytes(), "grams": at.astype("<i8").tobytes()}], _NEAR)
 
     near = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(seek, "doc_id long, row long, text_key long, item long, start long, words binary, grams binary"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(held.value["distinct"]), np.int64)
         for b in batches:
-            if b.num_rows:
-                total += np.bincount(np.concatenate([np.frombuffer(x.as_buffer(), "<i8") for x in b.column("grams")]), minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["gram", "n"])
+            for g, n in zip(b.column("grams"), b.column("words"), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x.as_buffer(), "<i8")) for x in (g, n)], names=["gram", "n"])
 
     times = np.zeros(len(items.distinct), np.int64)
-    counted = near.select("grams").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()  # the n-grams of a block
+    counted = near.where(F.col("item") == COUNTS).select("grams", "words").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()  # the n-grams of a block
     times[counted["gram"].to_numpy()] = counted["n"].to_numpy()
     seeds = spark.sparkContext.broadcast(rare_seeds(items, times))
 
@@ -234,7 +242,7 @@ def _block(docs: DataFrame, items: Items, min_score: float) -> DataFrame:
                 at = b.column("start").to_numpy()[i]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(i)), b.column("row").take(pa.array(i)), b.column("text_key").take(pa.array(i)), pa.array([items.ids[item[k]] for k in i], pa.int64()), pa.array(s), pa.array(at + lo), pa.array(at + hi)], names=["doc_id", "row", "text_key", "item_id", "score", "word_start", "word_end"])
 
-    return near.repartition("doc_id", "item").mapInArrow(score, "doc_id long, row long, text_key long, item_id long, score double, word_start long, word_end long")
+    return near.where(F.col("item") != COUNTS).repartition("doc_id", "item").mapInArrow(score, "doc_id long, row long, text_key long, item_id long, score double, word_start long, word_end long")
 
 
 def rare_seeds(items: Items, times: np.ndarray, rare: float = RARE) -> list[set[int]]:

@@ -90,6 +90,41 @@ def test_blocks_of_items(spark):
     assert key(one) == key(many) == [(i, i, 1.0) for i in range(12)]
 
 
+def test_blocks_of_items_that_share_stock_phrases(spark):
+    """What counts as rare does not depend on the block that an item is read in: edited copies whose last whole n-grams are stock phrases."""
+    stock = [_item(6) for _ in range(4)]
+    items = [_item(3) + stock[i % 4] + _item(3) + stock[(i + 1) % 4] + _item(2) for i in range(24)]
+    rows = [(1000 + k, " ".join(_item(40) + stock[k % 4] + _item(40))) for k in range(80)]
+    for i, x in enumerate(items):
+        copy = [w if 3 <= p < 9 or 12 <= p < 18 else (RNG.choice(V) if p % 3 == 1 else w) for p, w in enumerate(x)]
+        rows.append((i, " ".join(_item(30) + copy + _item(30))))
+    docs = documents(spark, rows)
+    texts = [" ".join(x) for x in items]
+    key = lambda df: sorted((r["doc_id"], r["item_id"], r["score"]) for r in df.collect())
+    one = key(D.contaminated(docs, _items(spark, texts)))
+    assert {(i, i) for i in range(24)} <= {x[:2] for x in one}
+    assert key(D.contaminated(docs, _items(spark, texts), block_bytes=300)) == one
+
+
+def test_rarity_counts_occurrences(spark, monkeypatch):
+    """An occurrence counts once, though several items hold the n-gram, and alike in every block."""
+    seen = {}
+
+    def rare(items, times, *a):
+        for g, n in zip(items.distinct.tolist(), times.tolist(), strict=True):
+            seen.setdefault(g, set()).add(n)
+        return plain(items, times, *a)
+
+    plain = D.rare_seeds
+    monkeypatch.setattr(D, "rare_seeds", rare)
+    stock = _item(4)
+    items = [" ".join(_item(8) + stock + _item(8)) for _ in range(9)]
+    docs = documents(spark, [(i, " ".join(_item(9) + stock + _item(9) + stock)) for i in range(5)])
+    for block in (D.BLOCK_BYTES, 300):
+        D.contaminated(docs, _items(spark, items), block_bytes=block)
+    assert sorted(seen.values(), key=max)[-1] == {10} and all(len(x) == 1 for x in seen.values())
+
+
 def test_nulls_short_items_and_repeats(spark):
     rows = [(1, None), (2, ""), (3, "one two three"), (4, "some two words"), (5, "x two three y"), (5, "x two three y"), (None, "two three")]
     docs = documents(spark, rows)
