@@ -11,7 +11,10 @@ page_id keeps the payload; the others become revisit records that name it.
 
 Cases: a null payload counts as empty; smaller payloads are always responses;
 repeated rows (same page_id and payload) are one capture each, the copies of a
-response's own page are responses too; a null url has an empty key; an empty
+response's own page are responses too; a null url has an empty key; a null
+time is ``FIRST_CAPTURE``; a page with a null page_id is a response of its own
+without a record id (null when read back, first among equal keys and times),
+never a revisit nor the keeper of a payload; an empty
 table gives no archive and an empty result; extra columns are ignored.
 """
 
@@ -35,6 +38,8 @@ MIN_REVISIT = 100
 FILE_BYTES = 256 << 20
 #: Captures of a page table without times are dated from here, a second for each page_id.
 FIRST_CAPTURE = 1_700_000_000
+#: A null page_id while captures are in order.
+_NO_ID = float("-inf")
 
 
 class LoserTree:
@@ -92,12 +97,12 @@ def _date(t: int) -> str:
     return str(np.datetime64(int(t), "s")) + "Z"
 
 
-def record(page_id: int, url: str | None, time: int, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def record(page_id: int | None, url: str | None, time: int, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     """One WARC record; a revisit carries no payload, but its length and digest."""
     kind = "response" if refers_to is None else "revisit"
     target = re.sub(r"[\r\n]+", " ", url or "")
     lines = [
-        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{page_id}>", f"WARC-Date: {_date(time)}", f"WARC-Target-URI: {target}",
+        "WARC/1.1", f"WARC-Type: {kind}", *([] if page_id is None else [f"WARC-Record-ID: <urn:page:{page_id}>"]), f"WARC-Date: {_date(time)}", f"WARC-Target-URI: {target}",
         f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {len(payload)}",
     ]
     if refers_to is not None:
@@ -118,16 +123,17 @@ def parse_record(raw: bytes) -> dict:
     payload = body.partition(b"\r\n\r\n")[2]
     digest = names["WARC-Payload-Digest"].removeprefix("sha256:")
     if names["WARC-Type"] == "response" and (hashlib.sha256(payload).hexdigest() != digest or len(payload) != int(names["X-Payload-Length"])):
-        raise ValueError(f"{names['WARC-Record-ID']}: payload does not match its digest")
+        raise ValueError(f"{names.get('WARC-Record-ID')}: payload does not match its digest")
     page = lambda x: int(x.removeprefix("<urn:page:").removesuffix(">"))
-    refers = names.get("WARC-Refers-To")
-    return {"page_id": page(names["WARC-Record-ID"]), "payload_bytes": int(names["X-Payload-Length"]), "payload_digest": digest, "record_type": names["WARC-Type"], "refers_to": page(refers) if refers else None}
+    own, refers = names.get("WARC-Record-ID"), names.get("WARC-Refers-To")
+    return {"page_id": page(own) if own else None, "payload_bytes": int(names["X-Payload-Length"]), "payload_digest": digest, "record_type": names["WARC-Type"], "refers_to": page(refers) if refers else None}
 
 
 def roles(pages: DataFrame, payload: str = "html") -> DataFrame:
     """(page_id, url, time, payload, digest, refers_to) of each row: which captures become revisits."""
     raw = F.encode(F.coalesce(F.col(payload), F.lit("")), "UTF-8")
     time = F.col("time").cast("long") if "time" in pages.columns else F.lit(FIRST_CAPTURE) + F.col("page_id")
+    time = F.coalesce(time, F.lit(FIRST_CAPTURE))
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url"), time.alias("time"), raw.alias("payload"))
     digests = p.select("page_id", F.sha2("payload", 256).alias("digest"), F.length("payload").alias("n"))
     large = digests.where(F.col("n") >= MIN_REVISIT)
@@ -160,7 +166,7 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES)
             for r in zip(*[b.column(c).to_pylist() for c in ("page_id", "url", "time", "payload", "digest", "refers_to")], strict=True):
                 z = zlib.compressobj(2, zlib.DEFLATED, 31)
                 blob = z.compress(record(*r)) + z.flush()
-                rows.append((url_key(r[1]), r[2], r[0], run_id, f"capture-{run_id:06d}-{part:04d}.warc.gz", at, len(blob)))
+                rows.append((url_key(r[1]), r[2], _NO_ID if r[0] is None else r[0], run_id, f"capture-{run_id:06d}-{part:04d}.warc.gz", at, len(blob)))
                 blobs.append(blob)
                 at += len(blob)
                 if at >= file_bytes:
@@ -168,7 +174,7 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES)
         close()
         rows.sort()  # one file's captures or a few: the run of this task
         for k in range(0, len(rows), 4096):
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 4096], strict=True), _INDEX_SCHEMA.types, strict=True)], schema=_INDEX_SCHEMA)
+            yield _indexed(rows[k : k + 4096], _INDEX_SCHEMA)
 
     cols = ["page_id", "url", "time", "payload", "digest", "refers_to"]
     return pages.select(*cols).sortWithinPartitions("page_id", "digest", "url").mapInArrow(run, _INDEX)  # a repeated task writes the same file
@@ -193,7 +199,8 @@ def merge_runs(runs: DataFrame) -> DataFrame:
 
         def piece(lo: int, hi: int) -> Iterator:
             for k in range(lo, hi, 1024):
-                yield from zip(*[t[c].slice(k, min(1024, hi - k)).to_pylist() for c in _INDEX_SCHEMA.names], strict=True)
+                for r in zip(*[t[c].slice(k, min(1024, hi - k)).to_pylist() for c in _INDEX_SCHEMA.names], strict=True):
+                    yield r if r[2] is not None else (*r[:2], _NO_ID, *r[3:])
 
         out, n = [], 0
         for item in LoserTree([piece(a, b) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]):
@@ -210,8 +217,13 @@ def merge_runs(runs: DataFrame) -> DataFrame:
 
 
 def _merged(rows: list[tuple]) -> pa.RecordBatch:
-    schema = _INDEX_SCHEMA.append(pa.field("range", pa.int32())).append(pa.field("position", pa.int64()))
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+    return _indexed(rows, _INDEX_SCHEMA.append(pa.field("range", pa.int32())).append(pa.field("position", pa.int64())))
+
+
+def _indexed(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True))
+    cols[2] = [None if x == _NO_ID else x for x in cols[2]]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types, strict=True)], schema=schema)
 
 
 def read_archives(index: DataFrame, folder: str, parse: Callable[[bytes], dict] = parse_record) -> DataFrame:

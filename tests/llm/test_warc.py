@@ -36,6 +36,20 @@ def test_revisits_nulls_and_repeats(spark):
     assert warc.archive_report(_pages(spark, [])).collect() == []
 
 
+def test_null_page_id_and_null_time(spark):
+    big = "x" * 200
+    rows = [(None, "http://a/", big, 7), (None, "http://a/", big, 7), (None, "http://a/", "t", None), (4, "http://a/", big, 7), (6, "http://a/", big, None), (None, None, None, None), (2, "http://a/", "t", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, time long").repartition(3)
+    want = [(None, 200, brute.sha(big), "response", None)] * 2 + [(None, 1, brute.sha("t"), "response", None), (None, 0, brute.sha(""), "response", None)]
+    want += [(4, 200, brute.sha(big), "response", None), (6, 200, brute.sha(big), "revisit", 4), (2, 1, brute.sha("t"), "response", None)]
+    assert rows_of(warc.archive_report(pages)) == sorted(want, key=str)
+    assert rows_of(warc.archive_report(pages.drop("time"))) == sorted(want, key=str)
+    index, folder = warc.archive(pages)
+    got = [(r["url_key"], r["time"], r["page_id"]) for r in warc.read_archives(index, folder).orderBy("range", "position").collect()]
+    none_first = lambda x: (*x[:2], x[2] is not None, x[2] or 0)
+    assert got == sorted(((warc.url_key(u), warc.FIRST_CAPTURE if t is None else t, p) for p, u, _, t in rows), key=none_first)
+
+
 def test_index_is_one_global_order(spark):
     hosts = ["a.com", "www.b.com", "x.b.com"]
     rows = [(i, f"http://{hosts[i * 7 % 3]}/p{i % 20}?q={i % 3}", f"page {i}") for i in range(600)]
