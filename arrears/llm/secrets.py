@@ -6,7 +6,8 @@ upper case and digits are candidates; the values are hashed and counted by the
 distinct repositories and owners that hold them.  A value that many owners hold
 is a copied example, one that stays with few owners looks like a live credential
 and its spans are added.  The same counts grade the fixed kinds
-(``n_live``: values of any kind held by few owners).
+(``n_live``: values of any kind held by few owners).  With a bound on the
+repositories of an owner, a value that spreads within one owner is an example too.
 
 All work is DataFrame expressions: positions come from the lengths of the gaps
 and matches that ``split`` and ``regexp_extract_all`` return.
@@ -92,11 +93,16 @@ def ownership(found: DataFrame) -> DataFrame:
     return rows.groupBy("value_key").agg(F.countDistinct(some("repository")).alias("n_repositories"), F.countDistinct(some("owner")).alias("n_owners"))
 
 
-def find_secrets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", repository: str = "repository", owner: str = "owner", max_owners: int = MAX_OWNERS) -> DataFrame:
-    """One row per document: doc_id, counts and spans of the base kinds, all spans, and the number of live-looking spans."""
+def find_secrets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", repository: str = "repository", owner: str = "owner", max_owners: int = MAX_OWNERS, max_repositories: int | None = None) -> DataFrame:
+    """One row per document: doc_id, counts and spans of the base kinds, all spans, and the number of live-looking spans.
+
+    A value that more than ``max_repositories`` repositories for each of its owners hold is a copied example too.
+    """
     found = scan(docs, text, doc_id, repository, owner)
     some = found.where(F.size("base") + F.size("opaque") > 0)
     rare = ownership(found).where(F.col("n_owners") <= max_owners)
+    if max_repositories is not None:
+        rare = rare.where(F.col("n_repositories") <= max_repositories * F.col("n_owners"))
     each = some.select("doc_id", "text_key", F.explode(F.concat("base", "opaque")).alias("x")).distinct()
     each = each.withColumn("value_key", F.sha2(_value(F.col("x")), 256))
     live = each.join(rare.select("value_key"), "value_key").groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("t"))
@@ -114,6 +120,9 @@ def find_secrets(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", re
 
 
 def document_secrets(docs: DataFrame) -> DataFrame:
-    """``find_secrets`` on the documents table: the source owns, and each language of a source is a repository of its own."""
+    """``find_secrets`` on the documents table: the source owns, and each language of a source is a repository of its own.
+
+    The query's SQL decides by owners alone, so repositories have no bound here.
+    """
     named = docs.select("doc_id", "text", F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit(""))).alias("repository"), F.col("source").alias("owner"))
     return find_secrets(named)

@@ -47,6 +47,17 @@ def test_copied_values_are_examples(spark):
     assert all(r[1:4] == (0, 0, 0) and r[4] == brute.sha("") for r in got.values())
 
 
+def test_a_value_in_many_repositories_of_one_owner(spark):
+    live, spread = "Zk81" + "Qw9eRt" * 4, "Ex4mple" * 4
+    rows = [(i, spread, f"r{i % 6}", "o") for i in range(12)] + [(20, live, "r1", "o"), (21, live, "r2", "o"), (22, live, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, repository string, owner string")
+    counts = {tuple(r)[1:] for r in secrets.ownership(secrets.scan(docs)).collect()}
+    assert counts == {(6, 1), (3, 2)}
+    got = {r["doc_id"]: (r["spans"] != "", r["n_live"]) for r in secrets.find_secrets(docs, max_repositories=2).collect()}
+    assert got == {i: (i >= 20, int(i >= 20)) for i, *_ in rows}
+    assert all(r["n_live"] == 1 for r in secrets.find_secrets(docs).collect())
+
+
 def test_repeated_rows_and_nulls(spark):
     t = "x " + "".join(random.Random(1).choices(string.ascii_letters + string.digits, k=30)) + "1aA"
     rows = [(1, t, "a"), (1, t, "a"), (1, "other", "a"), (None, t, None), (2, None, "b")]
