@@ -43,7 +43,10 @@ z AS (SELECT *, CASE WHEN j % 2 = 0 THEN j // 2 ELSE n - 1 - (j - 1) // 2 END AS
 e AS (SELECT *, CAST(LEAST(floor((k + 1) * ratio + shift) - floor(k * ratio + shift), {MAX_REPEATS}) AS BIGINT) AS copies FROM z)
 SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM e"""
 
-SQL["op3_ngram_join"] = f"""
+
+def _groups(share: int) -> str:
+    """Components of documents whose sets of 4-word shingles have a similarity of ``share`` percent or more."""
+    return f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {WORD}) AS words
   FROM documents),
@@ -52,13 +55,16 @@ s AS (SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(wor
 e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS g FROM s),
 i AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, COUNT(*) AS o
       FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
-l AS (SELECT a, b FROM i WHERE 100 * o >= 85 * (na + nb - o)),
+l AS (SELECT a, b FROM i WHERE 100 * o >= {share} * (na + nb - o)),
 link AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
 c AS (SELECT a, MIN(b) AS least FROM reach GROUP BY a)
 SELECT s.doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, LEAST(s.doc_id, COALESCE(c.least, s.doc_id)) AS component_id
 FROM s LEFT JOIN c ON s.doc_id = c.a"""
 
+
+SQL["op3_ngram_join"] = _groups(85)
+
 SQL["op4_secrets"] = f"""
 WITH k AS (SELECT * FROM (VALUES (0, {_text(ASSIGN)}), (1, {_text(ACCESS)}), (2, {_text(HEX)}), (3, {_text(OPAQUE)})) AS v(kind, pattern)),
 t AS (SELECT doc_id, COALESCE(text, '') AS text, COALESCE('s' || source, '-') AS owner FROM documents),
@@ -116,3 +122,41 @@ kept AS (SELECT t.doc_id, string_agg(substr(h, CAST(2 * a + 1 AS BIGINT), CAST(2
 SELECT t.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(COALESCE(gone, 0) AS BIGINT) AS n_removed, CAST(COALESCE(spans, 0) AS BIGINT) AS n_spans,
        sha256(unhex(COALESCE(kept.h, t.h))) AS kept_sha256
 FROM t LEFT JOIN c USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+SQL["op11_lexical_search"] = """
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM documents),
+f AS (SELECT doc_id, term, COUNT(*) AS tf FROM t GROUP BY 1, 2),
+c AS (SELECT COUNT(DISTINCT doc_id) AS docs, COUNT(*) AS words FROM t),
+m AS (SELECT doc_id, 100 - 90 + ((90 * COUNT(*) * any_value(docs)) // any_value(words)) AS m FROM t CROSS JOIN c GROUP BY doc_id),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / CAST(2 * COUNT(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM f CROSS JOIN c GROUP BY term),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+s AS (SELECT item_id, doc_id, CAST(SUM(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM q JOIN f USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY 1, 2),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10"""
+
+# DuckDB has no crc32: its table and the steps over a word's bytes are written out, once for each distinct word.
+SQL["op12_importance_resampling"] = """
+WITH tab AS (SELECT list(list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crc FROM range(256) AS x(i)),
+d AS (SELECT 0 AS side, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word FROM documents
+      UNION ALL
+      SELECT 1, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) FROM benchmark),
+v AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM d)),
+y AS (SELECT word, list_transform(range(CAST(length(h) // 2 AS BIGINT)), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)) AS bytes FROM v),
+b AS (SELECT word, xor(list_reduce([4294967295] || bytes, lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM y CROSS JOIN tab),
+e AS (SELECT side, doc_id, bucket FROM d JOIN b USING (word)),
+k AS (SELECT bucket, COUNT(*) FILTER (WHERE side = 0) AS s, COUNT(*) FILTER (WHERE side = 1) AS t FROM e GROUP BY bucket),
+a AS (SELECT SUM(s) AS s_all, SUM(t) AS t_all FROM k),
+g AS (SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (s_all + 10000) AS DOUBLE) / CAST((s + 1) * (t_all + 10000) AS DOUBLE))) AS BIGINT) AS gain FROM k CROSS JOIN a),
+w AS (SELECT doc_id, COUNT(*) AS n, CAST(SUM(gain) AS BIGINT) AS total FROM e JOIN g USING (bucket) WHERE side = 0 GROUP BY doc_id),
+x AS (SELECT doc_id, CAST(COALESCE(n, 0) AS BIGINT) AS n_features,
+             COALESCE(total // n - CASE WHEN total % n < 0 THEN 1 ELSE 0 END, 0) AS weight,
+             CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS h
+      FROM documents LEFT JOIN w USING (doc_id)),
+z AS (SELECT doc_id, n_features, CAST(weight AS BIGINT) AS weight, CAST(weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM x),
+o AS (SELECT doc_id, ROW_NUMBER() OVER (ORDER BY score DESC, doc_id) AS rank, COUNT(*) OVER () AS able FROM z WHERE n_features >= 20)
+SELECT z.doc_id, n_features, weight, score, CAST(CASE WHEN rank <= 10 * able // 100 THEN rank END AS BIGINT) AS rank
+FROM z LEFT JOIN o ON z.doc_id = o.doc_id"""
+
+SQL["op13_minhash"] = f"SELECT *, doc_id = component_id AS kept FROM ({_groups(80)}) AS g"

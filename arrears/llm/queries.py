@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, mixing, neighbours, ngram_join, quality, secrets, suffix_array, suffix_tree, token_shards, warc
+from . import decontamination, importance, lexical, minhash, mixing, neighbours, ngram_join, quality, secrets, suffix_array, suffix_tree, token_shards, warc
 from .common import python_ready, table
 from .oracle import SQL  # noqa: F401  the registered statements
 
@@ -78,7 +78,36 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@_python
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_python
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampling_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_python
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.groups_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_mixing, op2_decontamination, op3_ngram_join, op4_secrets, op5_warc, op6_substring_words, op7_substring_bytes, op8_neighbours, op9_token_shards, op10_quality)
+    for f in (
+        op1_mixing,
+        op2_decontamination,
+        op3_ngram_join,
+        op4_secrets,
+        op5_warc,
+        op6_substring_words,
+        op7_substring_bytes,
+        op8_neighbours,
+        op9_token_shards,
+        op10_quality,
+        op11_lexical_search,
+        op12_importance_resampling,
+        op13_minhash,
+    )
 }

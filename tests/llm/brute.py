@@ -1,9 +1,10 @@
 """Plain versions of the training-data operators, for small inputs."""
 
 import hashlib
+import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from fractions import Fraction
 
 SPACE = " \t\n\r\x0b\x0c"
@@ -170,3 +171,50 @@ def tokens(rows, tok, end_id=1):
         out.append((d, start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))))
         start += len(ids)
     return out
+
+
+def _lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def search(docs, items, k=10):
+    """[(item_id, rank, doc_id, score)] of (doc_id, text) and (item_id, text) rows; a null doc_id is the largest."""
+    terms = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", _lower(t))
+    rows = [(d, Counter(terms(t))) for d, t in docs]
+    rows = [(d, c, sum(c.values())) for d, c in rows if c]
+    n_docs, n_terms = len(rows), sum(n for *_, n in rows)
+    df = Counter(x for _, c, _ in rows for x in c)
+    out = []
+    for item, text in {(i, t) for i, t in items}:
+        found = []
+        for d, c, n in rows:
+            m = 100 - 90 + 90 * n * n_docs // n_terms
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[x] + 1))) * (10**9 * c[x] // (1000 * c[x] + 8 * m)) for x in set(terms(text)) if x in c)
+            if score > 0:
+                found.append((-score, d is None, d or 0))
+        out += [(item, r + 1, None if none else d, -s) for r, (s, none, d) in enumerate(sorted(found)[:k])]
+    return sorted(out, key=str)
+
+
+def resample(docs, target, n=1, buckets=10000, min_words=20, num=10, den=100, seed=2024):
+    """[(doc_id, n_features, weight, score, rank)] of (doc_id, text) rows and target texts."""
+
+    def grams(t):
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", _lower(t))
+        return w, [" ".join(w[i : i + k]) for k in range(1, n + 1) for i in range(len(w) - k + 1)]
+
+    bucket = lambda x: zlib.crc32(x.encode("utf-8")) % buckets
+    corpus = Counter(bucket(x) for _, t in docs for x in grams(t)[1])
+    wanted = Counter(bucket(x) for t in target for x in grams(t)[1])
+    s_all, t_all = sum(corpus.values()), sum(wanted.values())
+    gain = lambda b: math.floor(1000 * math.log((wanted[b] + 1) * (s_all + buckets) / ((corpus[b] + 1) * (t_all + buckets))))
+    out = []
+    for d, t in docs:
+        w, f = grams(t)
+        weight = sum(gain(bucket(x)) for x in f) // len(f) if f else 0
+        h = int(sha(f"{seed}:{'null' if d is None else d}")[:8], 16)
+        out.append([d, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None, len(w) >= min_words])
+    able = sorted((r for r in out if r[5]), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1]))
+    for i, r in enumerate(able[: num * len(able) // den]):
+        r[4] = i + 1
+    return sorted((tuple(r[:5]) for r in out), key=str)
