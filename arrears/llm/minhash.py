@@ -4,11 +4,13 @@ A document's set of word shingles gets a signature of ``HASHES`` minima.  Sets
 that agree on a band of ``ROWS`` of them share a bucket.  Candidates of a bucket
 are compared signature batch by signature batch: the agreements seen so far give
 a posterior of their similarity, and a pair whose chance to reach the threshold
-is below ``MISS`` goes.  What is left is verified on the full sets.
+is below ``MISS`` goes.  What is left is verified exactly: first by parities of
+hashed shingles, which differ in no more bits than the sets differ in shingles,
+then on the full sets.
 
 Links are wanted as components, so no bucket is expanded into all its pairs.
 Equal sets are one node.  Each bucket first links its members to its smallest
-and its largest node.  After that only members outside the bucket's largest
+and its largest node, and in some bands to one at random.  After that only members outside the bucket's largest
 component are compared with the others, inside Arrow batches, and only survivors
 of the signature test become rows.  Where even that is too much work for a
 bucket (many unlike texts with a passage in common), its members are dealt
@@ -54,9 +56,14 @@ WORK = 1 << 22
 SIDE = 1 << 12
 #: Times that a bucket is dealt anew, and the next bands that are tried for that.
 DEPTH, REACH = 2, 8
+#: Bands whose buckets also have a centre at random: one in so many.
+RANDOM_CENTRES = 8
+#: Bits of a set's parities: the power of two from twice its size on, within these bounds.
+PARITY = 1 << 8, 1 << 14
 #: Signature values held at once while pairs are compared.
 CELLS = 1 << 22
 
+SKETCH = ["size", "signature", "parity"]
 NEAR = Jaccard(n=4, num=80, den=100)
 _FACTORS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * _BYTE[21]) | np.uint64(1)
 
@@ -88,26 +95,64 @@ def least_agreements(jac: Jaccard, miss: float = MISS) -> np.ndarray:
     return out
 
 
-def likely_pairs(one: np.ndarray, two: np.ndarray, left: np.ndarray, right: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """Which pairs (one[left], two[right]) of signatures pass every batch."""
-    alive = np.arange(len(left))
+def parities(h: np.ndarray, t: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """For each set, of size n and with the shingles h of text t, the bits that an odd number of them fall on."""
+    bits = np.clip(1 << np.ceil(np.log2(np.maximum(2 * n, 2))).astype(np.int64), *PARITY)
+    at = np.concatenate([[0], np.cumsum(bits)])
+    cell = at[t] + (mix(h + _BYTE[20]) & (bits[t] - 1).astype(np.uint64)).astype(np.int64)
+    raw = np.packbits((np.bincount(cell, minlength=int(at[-1])) & 1).astype(bool)).tobytes()
+    return [raw[x:y] for x, y in zip((at[:-1] // 8).tolist(), (at[1:] // 8).tolist(), strict=True)]
+
+
+class Sketches:
+    """Signatures, sizes and parities of the sets in columns of a table."""
+
+    def __init__(self, t: pa.RecordBatch | pa.Table, of: str = ""):
+        col = lambda c: x.combine_chunks() if isinstance(x := t[f"{of}{c}"], pa.ChunkedArray) else x
+        self.s = np.frombuffer(b"".join(x.as_py() for x in col("signature")), np.uint32).reshape(-1, HASHES)
+        self.n = col("size").to_numpy()
+        self.parity = [np.frombuffer(x.as_py(), np.uint8) for x in col("parity")]
+        self.width = np.array([len(x) for x in self.parity], np.int64)
+
+    def folded(self, rows: np.ndarray, width: int) -> np.ndarray:
+        """The parities of the rows in ``width`` bytes, none of theirs being narrower."""
+        out = np.empty((len(rows), width), np.uint8)
+        for i, r in enumerate(rows.tolist()):
+            out[i] = np.bitwise_xor.reduce(self.parity[r].reshape(-1, width), axis=0)
+        return out.view(np.uint64)
+
+
+def likely_pairs(one: Sketches, two: Sketches, left: np.ndarray, right: np.ndarray, least: np.ndarray, jac: Jaccard) -> np.ndarray:
+    """Which pairs (one[left], two[right]) may link: by size, every batch of the signatures, and parities."""
+    a, b = one.n[left], two.n[right]
+    alive = np.flatnonzero(jac.den * np.minimum(a, b) >= jac.num * np.maximum(a, b))
     same = np.zeros(len(left), np.int64)
     for m in range(0, HASHES, BATCH):
         for k in range(0, len(alive), CELLS // BATCH):
             x = alive[k : k + CELLS // BATCH]
-            same[x] += (one[left[x], m : m + BATCH] == two[right[x], m : m + BATCH]).sum(1)
+            same[x] += (one.s[left[x], m : m + BATCH] == two.s[right[x], m : m + BATCH]).sum(1)
         alive = alive[same[alive] >= least[m + BATCH]]
-    return alive
+    kept = [np.zeros(0, np.int64)]
+    width = np.minimum(one.width[left[alive]], two.width[right[alive]])
+    for w in np.unique(width).tolist():
+        x = alive[width == w]
+        l, at_l = np.unique(left[x], return_inverse=True)
+        r, at_r = np.unique(right[x], return_inverse=True)
+        p, q = one.folded(l, w), two.folded(r, w)
+        for k in range(0, len(x), max(1, CELLS // w)):
+            y = slice(k, k + max(1, CELLS // w))
+            differ = np.bitwise_count(p[at_l[y]] ^ q[at_r[y]]).sum(1, dtype=np.int64)
+            both = a[x[y]] + b[x[y]]
+            kept.append(x[y][differ <= both - 2 * jac.overlap(a[x[y]], b[x[y]])])
+    return np.sort(np.concatenate(kept))
 
 
 def _matrix(col: pa.Array) -> np.ndarray:
-    if isinstance(col, pa.ChunkedArray):
-        col = col.combine_chunks()
     return np.frombuffer(b"".join(x.as_py() for x in col), np.uint32).reshape(-1, HASHES)
 
 
 def document_signatures(docs: DataFrame, jac: Jaccard) -> DataFrame:
-    """(doc_id, tag, n, k1, k2, signature) of each document: size and hashes of its set; an empty set has no signature."""
+    """(doc_id, tag, n, k1, k2, signature, parity) of each document: size and hashes of its set; an empty set has no signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -122,10 +167,11 @@ def document_signatures(docs: DataFrame, jac: Jaccard) -> DataFrame:
                 for i, s in zip(rows.tolist(), signatures(h, np.concatenate([[0], np.cumsum(n[rows])])), strict=True):
                     sig[i] = s.tobytes()
                 cols = [b.column(c).slice(lo, hi - lo) for c in ("doc_id", "tag")]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(sig, pa.binary())], names=["doc_id", "tag", "n", "k1", "k2", "signature"])
+                cols += [pa.array(n, pa.int64()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(sig, pa.binary()), pa.array(parities(h, t, n), pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "tag", "n", "k1", "k2", "signature", "parity"])
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tag"), "text")
-    return src.mapInArrow(run, "doc_id long, tag long, n long, k1 long, k2 long, signature binary")
+    return src.mapInArrow(run, "doc_id long, tag long, n long, k1 long, k2 long, signature binary, parity binary")
 
 
 def band_hashes(s: np.ndarray) -> np.ndarray:
@@ -165,17 +211,17 @@ def further_keys(entries: DataFrame) -> DataFrame:
 
 
 def pass_signature_test(pairs: DataFrame, nodes: DataFrame, jac: Jaccard) -> DataFrame:
-    """The pairs (a, b) of nodes that the posterior leaves."""
+    """The pairs (a, b) of nodes that may link."""
     least = least_agreements(jac)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at = np.arange(b.num_rows)
-            kept = pa.array(likely_pairs(_matrix(b.column("sa")), _matrix(b.column("sb")), at, at, least))
+            kept = pa.array(likely_pairs(Sketches(b, "a_"), Sketches(b, "b_"), at, at, least, jac))
             yield pa.RecordBatch.from_arrays([b.column("a").take(kept), b.column("b").take(kept)], names=["a", "b"])
 
-    sig = lambda x: nodes.select(F.col("node").alias(x), F.col("signature").alias(f"s{x}"))
-    return pairs.join(sig("a"), "a").join(sig("b"), "b").mapInArrow(run, "a long, b long")
+    sketch = lambda x: nodes.select(F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in SKETCH])
+    return pairs.join(sketch("a"), "a").join(sketch("b"), "b").mapInArrow(run, "a long, b long")
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -211,13 +257,13 @@ def outsider_pairs(entries: DataFrame, jac: Jaccard) -> DataFrame:
         for t in _runs(batches):
             node, of, out, probe = (t[c].to_numpy() for c in ("node", "of", "outsider", "probe"))
             left, right = np.flatnonzero(probe), np.flatnonzero(~probe)
-            s = _matrix(t["signature"])
+            s = Sketches(t)
             step = max(1, CELLS // BATCH // max(1, len(right)))
             for k in range(0, len(left), step):
                 x, y = np.repeat(left[k : k + step], len(right)), np.tile(right, len(left[k : k + step]))
                 m = (of[x] != of[y]) & ((node[x] < node[y]) | ~out[y])  # two outsiders meet once
                 x, y = x[m], y[m]
-                m = likely_pairs(s, s, x, y, least)
+                m = likely_pairs(s, s, x, y, least, jac)
                 a.append(np.minimum(node[x[m]], node[y[m]]))
                 b.append(np.maximum(node[x[m]], node[y[m]]))
             if sum(map(len, a)) >= 1 << 16:
@@ -229,7 +275,7 @@ def outsider_pairs(entries: DataFrame, jac: Jaccard) -> DataFrame:
     chunks = lambda n: F.ceil(n / F.lit(SIDE)).cast("int")
     chunk = lambda n: F.pmod(F.xxhash64("node"), chunks(n)).cast("int")
     part = lambda i, j: i * chunks(F.col("all")) + j
-    some = [F.col(c) for c in ("key", "node", "of", "outsider", "signature")]
+    some = [F.col(c) for c in ("key", "node", "of", "outsider", *SKETCH)]
     probes = entries.where("outsider").withColumn("i", chunk(F.col("outside")))
     probes = probes.select(*some, F.lit(True).alias("probe"), F.explode(F.transform(F.sequence(F.lit(0), chunks(F.col("all")) - 1), lambda j: part(F.col("i"), j))).alias("part"))
     others = entries.withColumn("j", chunk(F.col("all")))
@@ -251,12 +297,13 @@ def similar_groups(docs: DataFrame, jac: Jaccard = NEAR) -> DataFrame:
     """A row per document: doc_id, tag (hash of the text), n_shingles, component_id, group (null for an empty set)."""
     rows = cut(document_signatures(docs, jac), "signatures")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("tag"))
-    nodes = rows.where("n > 0").groupBy("k1", "k2", F.col("n").alias("size")).agg(F.min(order).alias("r"), F.first("signature").alias("signature"))
-    nodes = cut(nodes.select("k1", "k2", "size", F.monotonically_increasing_id().alias("node"), "r.doc_id", "r.tag", "signature"), "nodes")
+    nodes = rows.where("n > 0").groupBy("k1", "k2", F.col("n").alias("size")).agg(F.min(order).alias("r"), F.first("signature").alias("signature"), F.first("parity").alias("parity"))
+    nodes = cut(nodes.select("k1", "k2", "size", F.monotonically_increasing_id().alias("node"), "r.doc_id", "r.tag", "signature", "parity"), "nodes")
     entries = band_keys(nodes)
-    shared = entries.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
+    some = F.min_by("node", F.when(F.col("band") % RANDOM_CENTRES == 0, F.xxhash64("node", "key")))
+    shared = entries.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), some.alias("some")).where("lo < hi")
     live = cut(entries.join(shared, "key"), "buckets")
-    ends = F.explode(F.array("lo", "hi"))
+    ends = F.explode(F.array("lo", "hi", "some"))
     star = live.select("node", ends.alias("end")).where("node <> end").select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")).distinct()
     star = cut(pass_signature_test(star, nodes, jac), "pairs")
     met = live.select("node").distinct()
@@ -264,10 +311,10 @@ def similar_groups(docs: DataFrame, jac: Jaccard = NEAR) -> DataFrame:
     first = cut(verified(star, sets, jac), "links")
     of = components(first)
     left = live.select("key", "band", "node").join(of, "node", "left").select("key", "band", "node", F.coalesce("component", "node").alias("of"))
-    signed = nodes.select("node", "signature")
+    sketches = nodes.select("node", *SKETCH)
     found = None
     for depth in range(DEPTH + 1):
-        left = cut(open_buckets(left).join(signed, "node"), "open")
+        left = cut(open_buckets(left).join(sketches, "node"), "open")
         much = F.col("all") * F.col("outside") > WORK
         last = depth == DEPTH or left.where(much).isEmpty()
         pairs = cut(outsider_pairs(left if last else left.where(~much), jac).distinct(), "pairs")

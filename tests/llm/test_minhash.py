@@ -2,6 +2,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SF, documents, rows_of
 
@@ -100,12 +101,30 @@ def test_posterior_prunes_unlike_pairs_only():
     for similarity, kept in ((0.85, 1.0), (0.3, 0.0)):
         two = np.where(rng.random(one.shape) < similarity, one, one + np.uint32(1))
         at = np.arange(len(one))
-        assert abs(len(M.likely_pairs(one, two, at, at, least)) / len(one) - kept) < 0.001
+        assert abs(len(M.likely_pairs(_sketches(one), _sketches(two), at, at, least, M.NEAR)) / len(one) - kept) < 0.001
 
 
-def test_rows_of_a_bucket_over_several_batches():
-    import pyarrow as pa
+def _sketches(s, sizes=None, parity=None):
+    n = len(s)
+    return M.Sketches(pa.table({"signature": [x.tobytes() for x in s], "size": sizes or [100] * n, "parity": parity or [bytes(32)] * n}))
+
+
+def test_parities_bound_the_difference():
+    """Sets that link always pass, also with parities of two widths; sets far apart do not."""
+    rng = np.random.default_rng(3)
+    h = np.unique(rng.integers(0, 1 << 63, 700).astype(np.uint64))
+    same = np.zeros((1, M.HASHES), np.uint32)
+    for lo, size in ((0, 520), (20, 520), (29, 500), (50, 500), (57, 505), (150, 500), (100, 420)):
+        a, b = h[:500], h[lo : lo + size]
+        parity = [M.parities(x, np.zeros(len(x), np.int64), np.array([len(x)])) for x in (a, b)]
+        o = len(np.intersect1d(a, b))
+        at = np.array([0])
+        got = M.likely_pairs(_sketches(same, [len(a)], parity[0]), _sketches(same, [len(b)], parity[1]), at, at, M.least_agreements(M.NEAR), M.NEAR)
+        links = 100 * o >= 80 * (len(a) + len(b) - o)
+        assert len(got) if links else (len(got) == 0 or o > 0.7 * len(np.union1d(a, b)))
 
+
+def test_rows_of_a_bucket_over_several_batches():
     key, part = [1, 1, 1, 2, 2, 3], [0, 0, 1, 1, 1, 1]
     whole = pa.record_batch({"key": key, "part": part, "x": list(range(6))})
     for size in (1, 2, 3, 6):
