@@ -44,6 +44,22 @@ def cut(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Free what finished steps leave behind: their plans on the driver, and with those their broadcasts and shuffle files.
+
+    Spark drops broadcasts and shuffle files when the driver's garbage collector finds their plans unused.  A driver that
+    only plans collects rarely, so over many steps its heap, and the executors' disks, would fill up to their bounds.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
+def cut_and_tidy(df: DataFrame, name: str = "step") -> DataFrame:
+    """``cut`` for operators of many steps: what the steps so far left behind is freed."""
+    out = cut(df, name)
+    tidy(df.sparkSession)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -177,8 +193,8 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component) of every node of an edge list; the component is its smallest node.
+def components(edges: DataFrame, a: str = "a", b: str = "b", cut=cut) -> DataFrame:
+    """(node, component) of every node of an edge list; the component is its smallest node.  ``cut`` writes a round's edges.
 
     Alternating large-star and small-star rounds: every round regroups the edges
     by node and links neighbours to the smallest one, so the number of edges

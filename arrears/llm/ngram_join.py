@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BYTE, components, cut, gram_hashes, mix, range_hashes, text_slices, unused, word_hashes, word_spans
+from .common import _BYTE, components, cut_and_tidy, gram_hashes, mix, range_hashes, text_slices, unused, word_hashes, word_spans
 
 #: Cells of the fixed-size count of shingles that orders them by frequency.
 CELLS = 1 << 20
@@ -399,7 +399,7 @@ def verified(pairs: DataFrame, sets: DataFrame, jac: Jaccard) -> DataFrame:
 
 def heavy_links(sets: DataFrame, x: int, freq, jac: Jaccard, known: DataFrame) -> DataFrame:
     """Links (a, b) that join the components of all pairs with a set of more than x shingles; ``known``: links found already."""
-    lists = cut(entries(sets, x, freq, jac), "lists")
+    lists = cut_and_tidy(entries(sets, x, freq, jac), "lists")
     e = lists.alias("e")
     centre = lists.groupBy("h").agg(F.min(F.struct((~F.col("short")).alias("long"), F.col("node"), F.col("n"), F.col("at"), F.col("short"))).alias("c"), F.count("*").alias("k"))
     centre = centre.where("k > 1 and not c.long").select("h", "c.*", "k").drop("long").alias("c")
@@ -407,15 +407,15 @@ def heavy_links(sets: DataFrame, x: int, freq, jac: Jaccard, known: DataFrame) -
     star = star.select(F.least("e.node", "c.node").alias("a"), F.greatest("e.node", "c.node").alias("b")).distinct()
     known_n = sets.select("node", "n", "g")
     star = star.join(known_n.alias("l"), F.col("a") == F.col("l.node")).join(known_n.alias("r"), F.col("b") == F.col("r.node")).where(_alike("l", "r", jac)).select("a", "b")
-    first = cut(verified(star, sets, jac).union(known))
-    of = components(first)
+    first = cut_and_tidy(verified(star, sets, jac).union(known))
+    of = components(first, cut=cut_and_tidy)
     # Lists again: an entry whose component is that of its list's centre has met the others of it.
     # Pairs whose signatures differ too much are left out where they arise.
     shared = lists.join(centre.select("h", F.col("c.node").alias("centre")), "h")
     mine = sets.select("node", "g").join(of, "node", "left").withColumn("of", F.coalesce("component", "node")).drop("component")
     of_centre = of.select(F.col("node").alias("centre"), F.col("component").alias("centre_of"))
     live = shared.join(mine, "node").join(of_centre, "centre", "left").withColumn("centre_of", F.coalesce("centre_of", "centre"))
-    live = cut(live, "lists")
+    live = cut_and_tidy(live, "lists")
     other = live.where("of <> centre_of").alias("p")
     pairs = other.join(live.alias("q"), "h").where("p.of <> q.of and p.node <> q.node").where(_may_link("p", "q", x, jac) & _alike("p", "q", jac))
     pairs = pairs.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
@@ -424,16 +424,17 @@ def heavy_links(sets: DataFrame, x: int, freq, jac: Jaccard, known: DataFrame) -
 
 def similar_groups(docs: DataFrame, jac: Jaccard = Jaccard()) -> DataFrame:
     """A row per document: doc_id, tag (hash of the text), n_shingles, component_id, group (number of its component)."""
-    rows = cut(document_sets(docs, jac), "sets")
+    rows = cut_and_tidy(document_sets(docs, jac), "sets")
     some = rows.where("likely")
     nodes = some.groupBy("k1", "k2", "n").agg(F.min_by(F.struct("rid", "doc_id", "tag"), "rid").alias("r"))
-    nodes = cut(nodes.select("k1", "k2", F.col("n").alias("n_of"), F.col("r.rid").alias("node"), F.col("r.doc_id").alias("doc_id"), F.col("r.tag").alias("tag")), "nodes")
-    sets = cut(node_sets(docs, nodes, jac), "shingles")
+    nodes = cut_and_tidy(nodes.select("k1", "k2", F.col("n").alias("n_of"), F.col("r.rid").alias("node"), F.col("r.doc_id").alias("doc_id"), F.col("r.tag").alias("tag")), "nodes")
+    sets = cut_and_tidy(node_sets(docs, nodes, jac), "shingles")
     spark = docs.sparkSession
     freq = spark.sparkContext.broadcast(frequencies(sets))  # CELLS numbers
     x = boundary(sets, freq, jac)
     links = heavy_links(sets, x, freq, jac, light_links(sets, x, jac))
-    of = components(links)
+    of = components(links, cut=cut_and_tidy)
+    freq.unpersist()
     # The smallest doc_id of each component, over all rows of its sets.
     node = some.join(nodes.select("k1", "k2", F.col("n_of").alias("n"), "node"), ["k1", "k2", "n"]).select("rid", "doc_id", "node")
     node = node.join(of, "node", "left").withColumn("c", F.coalesce("component", "node"))
