@@ -11,39 +11,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from arrears.llm import decontamination, mixing, ngram_join, quality, token_shards
-from arrears.llm.common import python_ready, scratch, table
+from arrears.llm.common import python_ready, scratch, table, tidy
 from arrears.llm.queries import tokenizer_path
 
 #: Near duplicates: five-word shingles, similarity 0.8 or more.
 NEAR = ngram_join.Jaccard(n=5, num=80, den=100)
 
 
+def _begin(spark: SparkSession) -> None:
+    """Before a stage: Python tasks can run, and what the stage before left on the driver is freed."""
+    python_ready(spark)
+    tidy(spark)
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
-    python_ready(spark)
+    _begin(spark)
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest doc_id."""
-    python_ready(spark)
+    _begin(spark)
     return ngram_join.keep_first(docs, NEAR)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
-    python_ready(spark)
+    _begin(spark)
     return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix by source weights: documents as often as they were drawn."""
+    _begin(spark)
     return mixing.mix_documents(docs)
 
 
 def write_token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document of the mix, from the shards read back."""
-    python_ready(spark)
+    _begin(spark)
     return token_shards.token_report(docs, tokenizer_path())
 
 
