@@ -689,3 +689,34 @@ SELECT company_code, COUNT(*) AS instalments,
        COUNT(*) FILTER (WHERE COALESCE(guarantee_amount + principal_amount + interest_amount + tax_amount + fee_amount
                                        <> gross_amount, false)) AS mismatched
 FROM s GROUP BY company_code"""
+
+SQL["batch_enrichment"] = BASE + cascade_ctes() + f""",
+u AS (SELECT lt.borrower_contract_id, lt.company_code, CAST(lt.borrower_contract_id AS BIGINT) % 40 AS part FROM loan_tape lt),
+late AS (
+  SELECT c.company_code, c.borrower_contract_id,
+         MAX(CASE WHEN applied_amount >= gross_amount * 0.8 THEN 0 ELSE {_dpd(1)} END) AS d8,
+         MAX(CASE WHEN applied_amount >= gross_amount THEN 0 ELSE {_dpd(1)} END) AS d10,
+         SUM(CASE WHEN applied_amount < gross_amount * 0.8 AND {_dpd(1)} > 0 THEN GREATEST(gross_amount - applied_amount, 0) END) AS a8,
+         SUM(CASE WHEN applied_amount < gross_amount AND {_dpd(1)} > 0 THEN GREATEST(gross_amount - applied_amount, 0) END) AS a10
+  FROM c GROUP BY 1, 2
+),
+tp AS (SELECT borrower_contract_id, SUM(total_payment) AS paid FROM payments WHERE total_payment > 0 GROUP BY 1),
+r AS (SELECT *, CASE WHEN part % 5 <> 0 THEN (part % 20) / 100.0 ELSE 0.0 END AS rate FROM u),
+npv AS (
+  SELECT r.borrower_contract_id, SUM(CASE WHEN rate = 0 THEN CAST(COALESCE(gross_amount, 0) AS DOUBLE)
+           ELSE CAST(COALESCE(gross_amount, 0) AS DOUBLE) * (1.0 / pow(1.0 + CAST(rate AS DOUBLE), CAST(date_diff('day', {CALC}, installment_date) AS DOUBLE) / 365.25)) END) AS pv
+  FROM s JOIN r ON s.borrower_contract_id = r.borrower_contract_id AND s.company_code = r.company_code WHERE installment_date > {CALC} GROUP BY 1
+)
+SELECT r.company_code || '/' || part AS unit, r.borrower_contract_id, r.company_code,
+       CASE WHEN part % 3 < 2 THEN CAST(COALESCE(CASE WHEN part % 2 = 0 THEN d8 ELSE d10 END, 0) AS INTEGER) END AS dpd_current,
+       CASE WHEN part % 3 < 2 THEN CAST(GREATEST(COALESCE(CASE WHEN part % 2 = 0 THEN d8 ELSE d10 END, 0), CASE WHEN part % 4 = 0 THEN COALESCE(d10, 0) ELSE 0 END) AS INTEGER) END AS dpd_max,
+       CASE WHEN part % 3 < 2 THEN CAST(COALESCE(CASE WHEN part % 2 = 0 THEN a8 ELSE a10 END, 0) AS {M}) END AS amount_in_arrears,
+       CASE WHEN part % 3 > 0 THEN CAST(COALESCE(tp.paid, 0) AS {M}) END AS total_amount_paid,
+       CASE WHEN part % 3 > 0 THEN round(COALESCE(npv.pv, 0.0), 2) END AS vpn
+FROM r LEFT JOIN late ON late.borrower_contract_id = r.borrower_contract_id AND late.company_code = r.company_code
+LEFT JOIN tp ON tp.borrower_contract_id = r.borrower_contract_id
+LEFT JOIN npv ON npv.borrower_contract_id = r.borrower_contract_id"""
+
+SQL["dpd_max_state"] = BASE + cascade_ctes() + cascade_ctes(calc=PREV, name="c0") + """,
+runs AS (SELECT company_code, borrower_contract_id, dpd_current FROM c UNION ALL SELECT company_code, borrower_contract_id, dpd_current FROM c0)
+SELECT company_code, borrower_contract_id, MAX(dpd_current) AS dpd_max FROM runs GROUP BY 1, 2"""

@@ -565,3 +565,47 @@ def bucket_mismatch(spark, sf_dir):
         F.count(F.lit(1)).alias("instalments"),
         F.count_if(component_mismatch()).alias("mismatched"),
     )
+
+
+#: Outputs that the driver data's batch has for each company.
+BATCH_OUTPUTS = 40
+
+
+@query
+def batch_enrichment(spark, sf_dir):
+    """All units of a batch in one plan: each company's tape cut into ``BATCH_OUTPUTS`` outputs, with parameters of their own."""
+    from arrears.operators.batch import enrich_units
+
+    part = F.pmod(F.col(CONTRACT).cast("long"), F.lit(BATCH_OUTPUTS)).cast("int")
+    tapes = _loans(spark, sf_dir).withColumn("part", part)
+    tapes = tapes.withColumn("unit", F.concat("company_code", F.lit("/"), F.col("part").cast("string")))
+    k = F.col("part") % 3
+    products = F.when(k == 0, F.array(F.lit("dpd"))).when(k == 1, F.array(F.lit("dpd"), F.lit("total_amount"), F.lit("vpn"))).otherwise(F.array(F.lit("total_amount"), F.lit("vpn")))
+    units = tapes.select("unit", "company_code", "part").distinct().select(
+        "unit", "company_code", products.alias("products"),
+        F.when(F.col("part") % 2 == 0, 0.8).otherwise(1.0).alias("paid_threshold"),
+        F.when(F.col("part") % 4 == 0, 1.0).alias("highest_share"),
+        F.when(F.col("part") % 5 != 0, (F.col("part") % 20) / F.lit(100.0)).alias("interest_rate"),
+    )
+    pays = tables.with_company_code(_pays(spark, sf_dir), TD.company_map(spark))
+    out = enrich_units(units, tapes.select("unit", CONTRACT, "company_code"), _sched(spark, sf_dir), pays, TD.CALC_DATE)
+    return out
+
+
+@query
+def dpd_max_state(spark, sf_dir):
+    """The high-watermark table after batches of two cut-offs, one replayed and late, and a compaction between them."""
+    from arrears.sources.state import append_watermarks, compact_watermarks, read_watermarks
+
+    path = _scratch(spark, "watermarks")
+    sched, pays = _sched(spark, sf_dir), _pays(spark, sf_dir)
+
+    def run(as_of):
+        late = A.allocate(sched, pays, Cutoff(as_of=as_of), "cascade")
+        return late.groupBy("company_code", CONTRACT).agg(F.max("dpd_current").alias("dpd_max"))
+
+    append_watermarks(run(TD.CALC_DATE), path, 2)
+    append_watermarks(run(TD.PREVIOUS_CALC_DATE), path, 1)
+    compact_watermarks(spark, path)
+    append_watermarks(run(TD.PREVIOUS_CALC_DATE), path, 1)
+    return read_watermarks(spark, path)
