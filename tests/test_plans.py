@@ -91,3 +91,13 @@ def test_request_bodies_are_parsed_once(spark):
     df = E.queries()["rejected_requests"](spark, SF)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") == 1, plan
+
+
+def test_terms_are_worked_out_once_per_loan(spark):
+    """The rates' powers stand once each in the plan, above the exchange that spreads the loans."""
+    from arrears.operators.schedule import generate_schedule
+    from arrears.sources.testdata import loan_tape
+
+    plan = generate_schedule(loan_tape(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("power(") <= 2
+    assert plan.lower().rindex("power(") < plan.index("RepartitionByExpression")
