@@ -3,10 +3,11 @@
 Suffixes are dealt to groups by prefixes of variable length (``repeats.py``:
 a gram of words, lengthened where a group would not fit in memory).  Every
 group's suffixes form one compressed tree; an internal node is a word sequence
-that all leaves below share, as long as the node is deep.  Nodes that reach the
-window's length are the repeats; the words to the left of their leaves are
-compared to extend them, and of the windows in a class all but those of the
-smallest doc_id are removed.
+that all leaves below share, as long as the node is deep.  The tree gives the
+suffixes' order and common prefixes only; the repeats are the hashed classes of
+windows that ``repeats.py`` forms from those, with the words to the left of the
+sampled suffixes, and of the windows in a class all but those of the smallest
+doc_id are removed.
 
 Cases: a null or empty text has no words; a text shorter than a window keeps
 all; copies (also of the same id with another text) are compared like any other
