@@ -80,6 +80,29 @@ def cascade(schedule: DataFrame, payments: DataFrame, cfg: Cutoff, others: Mappi
     return _outcome(rows, "applied_amount", cfg, others or {}, any_counts=True).drop("__owed", "__before", "__pool")
 
 
+def applied_column(component: str) -> str:
+    """``principal_amount`` → ``applied_principal``."""
+    return f"applied_{component.removesuffix('_amount')}"
+
+
+def cascade_components(schedule: DataFrame, payments: DataFrame, cfg: Cutoff) -> DataFrame:
+    """:func:`cascade` with what each component got (``applied_guarantee`` … ``applied_fee``).
+
+    An instalment's components stand one after the other on the contract's line
+    of money, in drain order from where the instalment begins; a component gets
+    the part of its stretch that the pool covers.  The parts add up to
+    ``applied_amount``; components of 0 or less get nothing.
+    """
+    rows = cascade(schedule, payments, cfg)
+    covered = units(F.col("applied_amount"))
+    start, parts = F.lit(0), {}
+    for b in SCHEDULE_BUCKETS:
+        owed = F.greatest(units(F.col(b)), F.lit(0))
+        parts[applied_column(b)] = from_units(F.greatest(F.lit(0), F.least(owed, covered - start)))
+        start = start + owed
+    return rows.withColumns(parts)
+
+
 def paid_by_reference(payments: DataFrame, cfg: Cutoff) -> DataFrame:
     """Σ usable payments per (contract, reference); null and blank references are ignored."""
     keys = list(cfg.contract_keys)

@@ -22,24 +22,16 @@ from arrears.config import CONTRACT, DAYS_PER_YEAR, Cutoff
 from arrears.functions.dates import days_late
 from arrears.functions.money import money
 from arrears.operators.allocate import allocate
+from arrears.operators.salted import meet
 from arrears.schemas import MONEY
 
 COMPANY = "company_code"
-#: Parts that each company, or unit, of a large table is dealt to where it meets the units.
-SALT = 32
 #: A paid share as an exact number.
 SHARE = "decimal(9,6)"
 
 _FACTS = {"share": SHARE, "rate": "double", "late": "int", "arrears": "decimal(18,4)", "pv": "decimal(38,12)", "paid": "decimal(18,4)"}
 
 
-def meet(df: DataFrame, units: DataFrame, on: str, by: Sequence[str]) -> DataFrame:
-    """Join with a small table on a key that may hold most rows of ``df``: its rows are dealt to ``SALT`` parts by the columns ``by``, and each part gets all of the other."""
-    salt = F.pmod(F.xxhash64(*by), F.lit(SALT)).cast("int")
-    spread = units.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    return df.withColumn("__salt", salt).join(spread, [on, "__salt"]).drop("__salt")
-
-
 def _wants(product: str) -> Column:
     return F.array_contains("products", product)
 

@@ -76,7 +76,8 @@ def _numbered(df: DataFrame) -> DataFrame:
     return df.withColumn("id", day * F.lit(1 << 32) + F.row_number().over(order))
 
 
-def sanitize_schedule(df: DataFrame, bucket_fallback: bool = True, observation=None, date_format: str | None = None) -> DataFrame:
+def sanitize_schedule(df: DataFrame, bucket_fallback: bool = True, observation=None, date_format: str | None = None,
+                      position: str | None = None) -> DataFrame:
     """Uniform schedule: ``installment_date`` date, text refs, ids, decimal buckets.
 
     * ``date`` or ``installment_date`` is parsed tolerantly into
@@ -85,7 +86,8 @@ def sanitize_schedule(df: DataFrame, bucket_fallback: bool = True, observation=N
       is not a number becomes null;
     * a missing id column is filled with the instalment's place in its contract
       (a function of the contract's rows alone, so retries give the same ids); single null ids with a hash of the
-      row, so rows that differ have ids that differ;
+      row, so rows that differ have ids that differ; with ``position`` (a column that is dropped then, see
+      :func:`arrears.operators.position.file_positions`) both are filled with the row's position instead;
     * with ``bucket_fallback``, rows whose components sum to 0 but whose
       gross is positive get ``principal_amount = gross_amount``.
 
@@ -111,7 +113,10 @@ def sanitize_schedule(df: DataFrame, bucket_fallback: bool = True, observation=N
         for b in SCHEDULE_BUCKETS
     }
     out = out.withColumns(buckets).withColumn("gross_amount", money("gross_amount", df.schema["gross_amount"].dataType))
-    if "id" in df.columns:
+    if position is not None:
+        given = F.col("id").try_cast("long") if "id" in df.columns else F.lit(None)
+        out = out.withColumn("id", F.coalesce(given, F.col(position).cast("long"))).drop(position)
+    elif "id" in df.columns:
         whole = F.xxhash64("borrower_contract_id", "installment_date", REFERENCE, "gross_amount", *SCHEDULE_BUCKETS)
         out = out.withColumn("id", F.coalesce(F.col("id").try_cast("long"), whole))
     else:

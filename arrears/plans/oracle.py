@@ -99,6 +99,12 @@ SELECT company_id, borrower_contract_id, borrower_installment_reference, payment
 FROM payments
 WHERE company_id = 2 AND payment_date IS NOT NULL AND total_payment > 0"""
 
+SQL["scan_payments_all"] = f"""WITH {ORACLE_CTES}
+SELECT company_id, borrower_contract_id, borrower_installment_reference, payment_date, total_payment,
+       MAX(payment_date) OVER (PARTITION BY company_id) AS last_payment_date
+FROM payments
+WHERE payment_date IS NOT NULL AND total_payment > 0"""
+
 SQL["dpd_cascade"] = BASE + cascade_ctes() + f"""
 SELECT {ALLOC_COLS}, applied_amount, dpd_current, amount_in_arrears FROM c"""
 SQL["dpd_cascade_partial"] = BASE + cascade_ctes(partial=True) + f"""
@@ -110,6 +116,13 @@ SELECT {ALLOC_COLS}, applied_amount, dpd_current, amount_in_arrears FROM c"""
 SQL["dpd_join"] = BASE + join_ctes() + f"""
 SELECT {ALLOC_COLS}, paid_amount, dpd_current, amount_in_arrears FROM j"""
 
+# Components stand one after the other where the instalment begins on the contract's line of money.
+_BUCKETS = ("guarantee", "principal", "interest", "tax", "fee")
+SQL["cascade_components"] = BASE + cascade_ctes() + f"""
+SELECT borrower_contract_id, id, applied_amount,
+       {", ".join(f"CAST(GREATEST(0, LEAST(GREATEST({b}_amount, 0), pool - before - ({' + '.join(['0', *[f'GREATEST({x}_amount, 0)' for x in _BUCKETS[:i]]])}))) AS {M}) AS applied_{b}" for i, b in enumerate(_BUCKETS))}
+FROM c"""
+
 SQL["payments_by_ref"] = BASE + f"""
 SELECT borrower_contract_id, borrower_installment_reference, CAST(SUM(total_payment) AS {M}) AS paid_amount
 FROM pv
@@ -223,6 +236,12 @@ SELECT id, company_code, borrower_contract_id, borrower_installment_reference, i
        interest_amount, tax_amount, fee_amount
 FROM t"""
 
+SQL["schedule_position_ids"] = f"""
+SELECT COALESCE(CASE WHEN l_partkey % 3 <> 0 THEN l_orderkey * 10 + l_linenumber END, ROW_NUMBER() OVER ()) AS id,
+       CAST(l_orderkey AS VARCHAR) AS borrower_contract_id, CAST(l_shipdate AS DATE) AS installment_date,
+       CAST(l_extendedprice AS {M}) AS gross_amount
+FROM lineitem"""
+
 SQL["sanitize_payments"] = f"""WITH {ORACLE_CTES},
 raw AS (SELECT *, {_raw_date('payment_date')} AS date FROM payments)
 SELECT id, company_id, borrower_contract_id, {_read_date('date')} AS payment_date,
@@ -253,13 +272,15 @@ FROM cm LEFT JOIN sd ON cm.company_code = sd.company_code LEFT JOIN pd ON cm.com
 PREV = "DATE '1997-12-31'"
 
 SQL["current_dpd_by_contract"] = BASE + cascade_ctes() + """
-SELECT borrower_contract_id, MAX(dpd_current) AS dpd_credito FROM c GROUP BY 1"""
+SELECT *, ROW_NUMBER() OVER (ORDER BY dpd_credito DESC, borrower_contract_id) AS position
+FROM (SELECT borrower_contract_id, MAX(dpd_current) AS dpd_credito FROM c GROUP BY 1)"""
 
 SQL["max_dpd_by_contract"] = BASE + cascade_ctes() + cascade_ctes(calc=PREV, name="c0") + """
-SELECT c.borrower_contract_id, MAX(GREATEST(c.dpd_current, COALESCE(c0.dpd_current, 0))) AS max_tiempo_mora
-FROM c LEFT JOIN c0 ON c.id = c0.id AND c.borrower_contract_id = c0.borrower_contract_id
-                   AND c.installment_date = c0.installment_date
-GROUP BY 1"""
+SELECT *, ROW_NUMBER() OVER (ORDER BY max_tiempo_mora DESC, borrower_contract_id) AS position
+FROM (SELECT c.borrower_contract_id, MAX(GREATEST(c.dpd_current, COALESCE(c0.dpd_current, 0))) AS max_tiempo_mora
+      FROM c LEFT JOIN c0 ON c.id = c0.id AND c.borrower_contract_id = c0.borrower_contract_id
+                         AND c.installment_date = c0.installment_date
+      GROUP BY 1)"""
 
 SQL["run_counters"] = DETAIL + """
 SELECT COUNT(*) AS instalments, COUNT(DISTINCT borrower_contract_id) AS contracts,
@@ -356,7 +377,6 @@ MESSY = f"""messy AS (
   SELECT borrower_contract_id, company_code, first_date AS first_installment_date, principal, rate AS interest_rate, n,
          CASE WHEN {_K} % 499 = 7 THEN 'diario' ELSE periodicity END AS periodicity,
          list_filter([CASE WHEN principal IS NULL THEN 'original_principal is not a number' END,
-                      CASE WHEN principal >= 1000000000000 THEN 'original_principal is 10^12 or more' END,
                       CASE WHEN n = 0 THEN 'num_installments is zero' END,
                       CASE WHEN n < 0 THEN 'num_installments is negative' END,
                       CASE WHEN rate IS NULL THEN 'interest_rate is not a number' END,
@@ -371,7 +391,7 @@ MESSY = f"""messy AS (
 )"""
 _RENAMED = "original_principal AS principal, num_installments AS n,"
 assert _RENAMED in TERMS and "  FROM loan_tape\n)," in TERMS
-MESSY_TERMS = TERMS.replace(f"{ORACLE_CTES},", f"{ORACLE_CTES},\n{MESSY},", 1).replace(_RENAMED, "CAST(principal AS DECIMAL(18,6)) AS principal, n,").replace(
+MESSY_TERMS = TERMS.replace(f"{ORACLE_CTES},", f"{ORACLE_CTES},\n{MESSY},", 1).replace(_RENAMED, "CAST(principal AS DECIMAL(26,6)) AS principal, n,").replace(
     "  FROM loan_tape\n),", "  FROM messy WHERE len(errs) = 0\n),")
 
 SQL["period_rate"] = TERMS.replace("WITH RECURSIVE", "WITH") + """
@@ -394,18 +414,18 @@ SELECT borrower_contract_id, i AS installment_number, {_DUE} AS installment_date
 SQL["generate_schedule"] = MESSY_TERMS + f""",
 amort AS (
   SELECT borrower_contract_id, company_code, first_installment_date, periodicity, n, rdec, payment,
-         0 AS i, CAST(principal AS DECIMAL(18,6)) AS bal,
-         CAST(NULL AS DECIMAL(18,2)) AS interest, CAST(NULL AS DECIMAL(18,6)) AS princ
+         0 AS i, CAST(principal AS DECIMAL(26,6)) AS bal,
+         CAST(NULL AS DECIMAL(18,2)) AS interest, CAST(NULL AS DECIMAL(26,6)) AS princ
   FROM terms WHERE n >= 1
   UNION ALL
   SELECT borrower_contract_id, company_code, first_installment_date, periodicity, n, rdec, payment,
          i + 1,
          CAST(GREATEST(bal - CAST(CASE WHEN i + 1 < n
                                        THEN GREATEST(payment - CAST(round(bal * rdec, 2) AS DECIMAL(18,2)), 0.01)
-                                       ELSE bal END AS DECIMAL(18,6)), 0) AS DECIMAL(18,6)),
+                                       ELSE bal END AS DECIMAL(26,6)), 0) AS DECIMAL(26,6)),
          CAST(round(bal * rdec, 2) AS DECIMAL(18,2)),
          CAST(CASE WHEN i + 1 < n THEN GREATEST(payment - CAST(round(bal * rdec, 2) AS DECIMAL(18,2)), 0.01)
-                   ELSE bal END AS DECIMAL(18,6))
+                   ELSE bal END AS DECIMAL(26,6))
   FROM amort WHERE i < n
 )
 SELECT company_code, borrower_contract_id,

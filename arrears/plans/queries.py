@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.config import CONTRACT, CURRENT_REPORT_COLUMN, HISTORY_REPORT_COLUMN, Cutoff
+from arrears.config import CONTRACT, CURRENT_REPORT_COLUMN, HISTORY_REPORT_COLUMN, SCHEDULE_BUCKETS, Cutoff
 from arrears.operators import allocate as A
 from arrears.operators import products as P
 from arrears.operators import reports as R
@@ -65,6 +65,12 @@ def scan_payments(spark, sf_dir):
     return tables.read_payments(TD.payments(spark, sf_dir), company_id=2)
 
 
+@query
+def scan_payments_all(spark, sf_dir):
+    """Payments of all companies, each with the last payment date of its company."""
+    return tables.read_payments(TD.payments(spark, sf_dir))
+
+
 # --- allocation ------------------------------------------------------------
 
 
@@ -93,6 +99,13 @@ def dpd_join(spark, sf_dir):
     return _alloc(spark, sf_dir, "join", "paid_amount")
 
 
+@query
+def cascade_components(spark, sf_dir):
+    """What each component of an instalment got from the contract's payments."""
+    out = A.cascade_components(_sched(spark, sf_dir), _pays(spark, sf_dir), cfg())
+    return out.select(CONTRACT, "id", "applied_amount", *[A.applied_column(b) for b in SCHEDULE_BUCKETS])
+
+
 @query
 def payments_by_ref(spark, sf_dir):
     return A.paid_by_reference(_pays(spark, sf_dir), cfg())
@@ -179,6 +192,22 @@ def sanitize_schedule_raw(spark, sf_dir):
     return sanitize_schedule(raw_schedule(spark, sf_dir))
 
 
+@query
+def schedule_position_ids(spark, sf_dir):
+    """A schedule file in which a third of the ids are missing: these are the rows' places in the file."""
+    from arrears.operators.position import file_positions
+
+    li = file_positions(spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet"))
+    raw = li.select(
+        "position",
+        F.when(F.col("l_partkey") % 3 != 0, F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+        F.col("l_orderkey").cast("string").alias(CONTRACT),
+        F.col("l_shipdate").cast("date").alias("installment_date"),
+        F.col("l_extendedprice").alias("gross_amount"),
+    )
+    return sanitize_schedule(raw, position="position").select("id", CONTRACT, "installment_date", "gross_amount")
+
+
 @query
 def sanitize_payments(spark, sf_dir):
     """A payment tape with all faults: references in a column without a header, text dates and amounts."""
@@ -240,13 +269,13 @@ def _instalment_dpd_history(spark, sf_dir):
 
 @query
 def current_dpd_by_contract(spark, sf_dir):
-    return R.per_contract_max(A.cascade(_sched(spark, sf_dir), _pays(spark, sf_dir), cfg()), "dpd_current",
-                              CURRENT_REPORT_COLUMN)
+    return R.ranked_by_contract(A.cascade(_sched(spark, sf_dir), _pays(spark, sf_dir), cfg()), "dpd_current",
+                                CURRENT_REPORT_COLUMN)
 
 
 @query
 def max_dpd_by_contract(spark, sf_dir):
-    return R.per_contract_max(_instalment_dpd_history(spark, sf_dir), "dpd_max", HISTORY_REPORT_COLUMN)
+    return R.ranked_by_contract(_instalment_dpd_history(spark, sf_dir), "dpd_max", HISTORY_REPORT_COLUMN)
 
 
 @query
@@ -330,7 +359,8 @@ def level_payment(spark, sf_dir):
     from arrears.operators.schedule import level_payment as pmt, loan_terms
 
     t = loan_terms(_loans(spark, sf_dir)).where(F.size("errors") == 0)
-    return t.select(CONTRACT, pmt(F.col("principal"), F.col("period_rate"), F.col("num_installments")).alias("payment"))
+    payment = pmt(F.col("principal"), F.col("period_rate"), F.col("num_installments"))
+    return t.select(CONTRACT, payment.cast("decimal(18,2)").alias("payment"))
 
 
 @query

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 4)
 PRINCIPAL = T.DecimalType(18, 6)
+WIDE_PRINCIPAL = T.DecimalType(26, 6)
 RATE = T.DecimalType(19, 18)
 
 SCHEDULE = T.StructType(

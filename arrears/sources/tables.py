@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrears.config import SCHEDULE_BUCKETS
+from arrears.operators.salted import meet
 from arrears.schemas import MONEY
 
 SCHEDULE_COLUMNS = ["id", "company_code", "borrower_contract_id", "borrower_installment_reference",
@@ -30,18 +31,21 @@ def read_schedule(schedule: DataFrame, company_code: str | None = None) -> DataF
 
 
 def read_payments(payments: DataFrame, company_id: int | None = None) -> DataFrame:
-    """Dated positive payments; of one company with its last payment date.
+    """Dated positive payments with the last payment date of their company.
 
-    The maximum is one row, joined back by broadcast.  For all companies the
-    dates come from :func:`arrears.operators.reports.freshness`, one row per
-    company, so the payments are not shuffled on the company.
+    The maximum of one company is one row, joined back by broadcast.  For all
+    companies it is a row for each, reduced map-side; a company may hold most
+    payments, so they meet it dealt to parts, not on the company alone.
+    Payments without a company have no last date.
     """
     df = payments.where(F.col("payment_date").isNotNull() & (F.col("total_payment") > 0))
     cols = ["company_id", "borrower_contract_id", "borrower_installment_reference", "payment_date", "total_payment"]
-    if company_id is None:
-        return df.select(*cols)
-    df = df.where(F.col("company_id") == F.lit(int(company_id))).select(*cols)
+    if company_id is not None:
+        df = df.where(F.col("company_id") == F.lit(int(company_id)))
+    df = df.select(*cols)
     last = df.groupBy("company_id").agg(F.max("payment_date").alias("last_payment_date"))
+    if company_id is None:
+        return meet(df, last, "company_id", by=cols, how="left")
     return df.join(F.broadcast(last), "company_id", "left")  # one row: a single company was selected
 
 

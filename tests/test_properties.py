@@ -6,10 +6,10 @@ from decimal import Decimal
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from arrears.config import Cutoff
+from arrears.config import SCHEDULE_BUCKETS, Cutoff
 from arrears.operators import allocate as A
 from arrears.schemas import PAYMENTS, SCHEDULE
-from tests.sequential import expected_cascade
+from tests.sequential import expected_cascade, expected_components
 
 CALC = dt.date(2024, 6, 30)
 money = st.decimals(min_value=Decimal("-50"), max_value=Decimal("900"), places=2)
@@ -60,6 +60,16 @@ def test_cascade_equals_sequential_drain(spark, data, partial, threshold):
         assert r[1] >= 0 and r[0] >= 0
 
 
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=portfolios())
+def test_components_are_drained_in_order(spark, data):
+    sched, pays = data
+    rows = A.cascade_components(_df(spark, sched, SCHEDULE), _df(spark, pays, PAYMENTS), Cutoff(as_of=CALC)).collect()
+    got = {r["id"]: tuple(r[A.applied_column(b)] for b in SCHEDULE_BUCKETS) for r in rows}
+    assert got == expected_components(sched, pays, CALC)
+    assert all(sum(got[r["id"]]) == r["applied_amount"] for r in rows)
+
+
 def test_input_order_does_not_matter(spark):
     from tests.fixtures import SEED_PAYMENTS, SEED_SCHEDULE, frames
 
