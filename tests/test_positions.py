@@ -1,6 +1,7 @@
 """Places of rows in file order and in a given order, and the last payment date of every company."""
 
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -13,11 +14,13 @@ from arrears.sources.tables import read_payments
 from tests.fixtures import frames, payment
 
 
-def _files(spark, name, kind):
+def _folder(spark):
+    return scratch_path(spark, "positions-test", uuid.uuid4().hex)
+
+
+def _files(spark, kind):
     """Three files of 50, 7 and 43 rows, row k of all holding k."""
-    path = scratch_path(spark, "positions-test", name)
-    if spark._jvm.java.io.File(path).exists():
-        return path
+    path = _folder(spark)
     for part, (lo, hi) in enumerate([(1, 51), (51, 58), (58, 101)]):
         spark.range(lo, hi, 1, 1).selectExpr("id AS k").write.format(kind).option("header", True).save(f"{path}/part={part}")
     return path
@@ -25,8 +28,8 @@ def _files(spark, name, kind):
 
 @pytest.mark.parametrize("kind", ["parquet", "csv"])
 @pytest.mark.parametrize("split", ["64", "128m"])
-def test_file_positions(spark, tmp_path, kind, split):
-    path = _files(spark, f"{kind}-{tmp_path.name}", kind)
+def test_file_positions(spark, kind, split):
+    path = _files(spark, kind)
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     try:
@@ -44,8 +47,8 @@ def test_a_table_without_files_has_no_file_order(spark):
         file_positions(spark.createDataFrame([(1,)], "k long"))
 
 
-def test_empty_file(spark, tmp_path):
-    path = f"{scratch_path(spark, 'positions-test', tmp_path.name)}/empty"
+def test_empty_file(spark):
+    path = _folder(spark)
     spark.range(0).write.parquet(path)
     assert file_positions(spark.read.parquet(path)).collect() == []
 
