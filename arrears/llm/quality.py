@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from .common import _BYTE, cut, gram_hashes, mix, text_slices, word_hashes, word_spans
+from .common import _BYTE, cut, gram_hashes, mix, text_slices, unused, word_hashes, word_spans
 
 #: Labelled rows that the fit may use at most.
 MAX_TRAIN = 10_000
@@ -214,6 +214,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that the classifier accepts, with all their columns."""
-    own = "_quality_score"
+    """The documents that the classifier accepts, with all their columns, whatever these are called."""
+    (own,) = unused(docs, "_quality_score")
     return score(docs, fit(training_rows(docs, labels)), own).where(F.col(own) >= threshold).drop(own)

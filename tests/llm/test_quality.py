@@ -66,7 +66,7 @@ def test_nulls_empties_repeats_and_odd_labels(spark):
 
 def test_keeping(spark):
     rows, labels = _labelled(spark)
-    docs = documents(spark, rows, clash=True)
+    docs = documents(spark, rows, clash=True).withColumns({"_quality_score": F.lit("x"), "__quality_score": F.lit(1)})
     kept = Q.keep_good(docs, labels)
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in rows if i % 3}
