@@ -442,6 +442,8 @@ FROM amort WHERE i >= 1"""
 
 SQL["schedule_append_idempotent"] = f"""SELECT * REPLACE ('ONE' AS company_code) FROM ({SQL['generate_schedule']})"""
 
+SQL["schedule_append_concurrent"] = SQL["schedule_append_idempotent"]
+
 SQL["schedule_rejects"] = f"""WITH {ORACLE_CTES},
 {MESSY}
 SELECT borrower_contract_id, array_to_string(errs, '; ') AS errors FROM messy WHERE len(errs) > 0"""

@@ -538,6 +538,23 @@ def schedule_append_idempotent(spark, sf_dir):
     return read_schedule_table(spark, stored).drop("id")
 
 
+@query
+def schedule_append_concurrent(spark, sf_dir):
+    """Two writers append overlapping parts of a generated schedule at the same time: each instalment is stored once."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from arrears.operators.schedule import generate_schedule as gen
+    from arrears.sources.loan_tape import append_schedule, read_schedule_table
+
+    stored = _scratch(spark, "schedule_table")
+    made = gen(messy_loans(spark, sf_dir), company_code="ONE")
+    parts = {"a": made.where(F.col("installment_number") % 3 != 0), "b": made.where(F.col("installment_number") % 3 != 1)}
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        for done in [pool.submit(append_schedule, rows, stored, "ONE", name) for name, rows in parts.items()]:
+            done.result()
+    return read_schedule_table(spark, stored, "ONE").drop("id")
+
+
 @query
 def summary_with_cases(spark, sf_dir):
     """Run summary with each contract's case label attached."""
