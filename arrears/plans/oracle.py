@@ -641,6 +641,18 @@ SELECT 'ARREARS_SERVICE' AS origin, 'PORTFOLIO_DESK' AS target, 'job-' || o_orde
 FROM o JOIN f ON f.company_id = o_orderkey % 5 + 1
 WHERE NOT malformed AND o_orderstatus IN ('F', 'O') AND digit <> '5'"""
 
+SQL["response_records"] = _REQ + """
+SELECT 'job-' || o_orderkey AS key, CAST(o_orderkey % 5 + 1 AS INTEGER) AS target_id, 'ARREARS_SERVICE' AS origin,
+       'PORTFOLIO_DESK' AS target, 3 AS n_headers
+FROM o WHERE NOT malformed AND o_orderstatus IN ('F', 'O') AND digit <> '5'"""
+
+SQL["repeated_requests"] = _REQ + f""",
+b AS (SELECT malformed, {_BODY} AS body FROM o),
+c AS (SELECT CASE WHEN malformed THEN substr(body, 1, length(body) - 7) ELSE body END AS body FROM b)
+SELECT sha256(body) AS body_hash, CAST(1 AS BIGINT) AS served,
+       CAST(COUNT(*) + COUNT(*) FILTER (WHERE length(body) % 3 = 0) - 1 AS BIGINT) AS left_out
+FROM c GROUP BY body"""
+
 # The last valid request of each company decides the paid share; dpd_max sees the highest share of all.
 SQL["requests_stream"] = BASE + cascade_ctes(name="c") + f""",
 o AS ({_REQ[len('WITH o AS ('):_REQ.index('),')]}),

@@ -495,6 +495,44 @@ def build_responses(spark, sf_dir):
                     F.col("a")["target"].alias("routed_to"))
 
 
+@query
+def response_records(spark, sf_dir):
+    """Responses handed on by the publishing stream as key, value and headers, a replayed batch among them."""
+    from arrears.streaming.requests import build_responses as respond, split_valid
+    from arrears.streaming.service import publish_responses
+
+    base = _scratch(spark, "publish")
+    valid, _ = split_valid(_validated_orders(spark, sf_dir))
+    fresh = R.freshness(TD.schedule(spark, sf_dir), TD.payments(spark, sf_dir), company_map=TD.company_map(spark))
+    answers = respond(valid, fresh.drop("company_code"), TD.SERVICE_NAME)
+    for _ in range(2):  # the second time as a replay: new files, the same messages
+        answers.write.mode("overwrite").parquet(f"{base}/responses/batch=0")
+        publish_responses(spark, f"{base}/responses", f"{base}/checkpoint", "parquet", {"path": f"{base}/queue"}).awaitTermination()
+    sent = spark.read.parquet(f"{base}/queue")
+    of = lambda name: F.decode(F.filter("headers", lambda h: h["key"] == name)[0]["value"], "UTF-8")
+    return sent.select("key", F.get_json_object("value", "$.target_id").cast("int").alias("target_id"), of("origin").alias("origin"),
+                       of("target").alias("target"), F.size("headers").alias("n_headers"))
+
+
+@query
+def repeated_requests(spark, sf_dir):
+    """Bodies that the stream serves and how often each is left out: all orders' requests, a third of them resent after a restart."""
+    from arrears.streaming.requests import mark_repeats, no_idle_batches
+    from arrears.streaming.service import REPEAT_WINDOW, request_stream
+
+    base = _scratch(spark, "repeats")
+    bodies = TD.order_requests(spark, sf_dir).select("body")
+    for rows in (bodies, bodies.where(F.length("body") % 3 == 0)):
+        rows.write.mode("append").text(f"{base}/requests")
+        marked = mark_repeats(request_stream(spark, f"{base}/requests"), REPEAT_WINDOW)
+        out = marked.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint")
+        with no_idle_batches(spark):
+            run = out.trigger(availableNow=True).start(f"{base}/marked")
+        run.awaitTermination()
+    seen = spark.read.parquet(f"{base}/marked")
+    return seen.groupBy("body_hash").agg(F.count_if("served").alias("served"), F.sum("left_out").alias("left_out"))
+
+
 @query
 def requests_stream(spark, sf_dir):
     """The requests of all orders dropped as files and served by the stream: the enriched tapes it leaves."""
