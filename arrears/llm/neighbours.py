@@ -17,8 +17,9 @@ rows is many tasks' work, never one's.  A task compares one block with at most
 about ``CHUNK`` queries.
 
 Cases: vectors that are null, empty, zero, of another dimension than most of
-the sample, or hold a null or non-finite component take no part; repeated rows
-are one candidate (same id) each; ties go to the smaller vec_id; fewer
+the sample, or hold a null or non-finite component take no part; components may be
+as large or small as doubles are; rows with one vec_id are one candidate, by its
+nearest row, and one query, by its smallest vector; ties go to the smaller vec_id; fewer
 candidates than k give all of them; empty tables give empty results; extra
 columns are ignored.
 """
@@ -108,14 +109,6 @@ def counted_before(held: np.ndarray, enough: int) -> np.ndarray:
     return np.cumsum(n) - n
 
 
-def visited(d1: np.ndarray, d2: np.ndarray, held: np.ndarray, enough: int) -> np.ndarray:
-    """The cells of ``cells_by_distance``; by one sort where many are visited."""
-    if enough * 8 < held.sum():
-        return np.array(cells_by_distance(d1, d2, held, enough), np.int64)
-    cells = cells_in_order(d1, d2, held)
-    return cells[counted_before(held[cells], enough) < enough]
-
-
 def widened(orders: Iterator[tuple[np.ndarray, np.ndarray]], held: np.ndarray, least: int, recall: float) -> int:
     """The smallest tried budget whose visit holds ``recall`` of the true neighbours.
 
@@ -132,8 +125,16 @@ def widened(orders: Iterator[tuple[np.ndarray, np.ndarray]], held: np.ndarray, l
     return tried[int(np.argmax(hit >= recall * every))]
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times the power of two that brings their largest component to 0.5 to 1.
+
+    That is exact and leaves cosines as they are, but no square overflows or vanishes.
+    """
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+
+
 def _matrix(col: pa.Array, dim: int) -> np.ndarray:
-    return col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), dim)
+    return scaled(col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), dim))
 
 
 def fit(rows: DataFrame, n: int, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, int] | None:
@@ -143,7 +144,7 @@ def fit(rows: DataFrame, n: int, sample: int = SAMPLE) -> tuple[np.ndarray, np.n
         return None
     dims, counts = np.unique([len(x) for x in got], return_counts=True)
     dim = int(dims[np.argmax(counts)])
-    x = np.array([v for v in got if len(v) == dim])
+    x = scaled(np.array([v for v in got if len(v) == dim]))
     x /= np.sqrt((x**2).sum(1, keepdims=True))
     k = int(min(1024, max(1, np.sqrt(n / PER_CELL)), len(x)))
     cut_at = max(1, dim // 2)
@@ -213,22 +214,24 @@ def search(vectors: DataFrame, is_query, k: int = NEAREST, visit: int | None = N
         ids, of, cell = left["vec_id"].to_numpy(), right["query_id"].to_numpy(), left["cell"].to_numpy()
         bits, local = right["bits"].to_pylist(), cell - line.value[4][key[0].as_py()]
         norm = np.sqrt((x * x).sum(1))
+        few = k * int(np.unique(ids, return_counts=True)[1].max())  # rows that hold k ids
         out = []
         tile = max(1, (1 << 21) // len(x))
         for t in range(0, len(q), tile):
             all_rough = (q[t : t + tile] @ x.T) / norm
             for i in range(t, min(t + tile, len(q))):
                 near = np.flatnonzero(np.unpackbits(np.frombuffer(bits[i], np.uint8)).view(bool)[local] & (ids != of[i]))
-                if len(near) > k:
+                if len(near) > few:
                     rough = all_rough[i - t][near]
-                    near = near[rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - 1e-9 * np.abs(rough).max()]
+                    near = near[rough >= np.partition(rough, len(rough) - few)[len(rough) - few] - 1e-9 * np.abs(rough).max()]
                 s = (x[near] * q[i]).sum(1) / (norm[near] * np.sqrt((q[i] * q[i]).sum()))
-                best = np.lexsort((ids[near], -s))[:k]
+                best = np.lexsort((ids[near], -s))
+                best = best[np.sort(np.unique(ids[near][best], return_index=True)[1])[:k]]  # an id by its nearest row
                 out.append((np.full(len(best), of[i]), ids[near][best], s[best], cell[near][best]))
         return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], schema=schema)
 
-    def candidates(asked: DataFrame, chunks: int, enough: int) -> DataFrame:
-        """query_id, vec_id, score and cell of the k best of each block that a query visits."""
+    def candidates(asked: DataFrame, chunks: int, enough: int | None) -> DataFrame:
+        """query_id, vec_id, score and cell of the k best of each block that a query visits; None: of all blocks."""
 
         def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             count, _, first, last, low, high = line.value
@@ -237,7 +240,7 @@ def search(vectors: DataFrame, is_query, k: int = NEAREST, visit: int | None = N
                     continue
                 v = _matrix(b.column("v"), dim)
                 for i, (d1, d2) in enumerate(distances(v)):
-                    cells = visited(d1, d2, count, enough)
+                    cells = np.flatnonzero(count) if enough is None else np.array(cells_by_distance(d1, d2, count, enough), np.int64)
                     mask = np.zeros(len(count), bool)
                     mask[cells] = True
                     reach = np.bincount(first[cells], minlength=len(low) + 1) - np.bincount(last[cells] + 1, minlength=len(low) + 1)
@@ -255,24 +258,25 @@ def search(vectors: DataFrame, is_query, k: int = NEAREST, visit: int | None = N
 
     def ranked(found: DataFrame) -> DataFrame:
         place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))  # k rows for each block that the query visits
-        return found.distinct().withColumn("rank", place).where(F.col("rank") <= k)
+        best = found.groupBy("query_id", "vec_id").agg(F.max(F.struct("score", "cell")).alias("b")).select("query_id", "vec_id", "b.*")
+        return best.withColumn("rank", place).where(F.col("rank") <= k)
 
-    asked = cut(rows.where(is_query).dropDuplicates(["vec_id"]).repartition(F.col("vec_id")))
+    asked = cut(rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v")).repartition(F.col("vec_id")))
     enough = visit
     if enough is None:
         some = cut(asked.orderBy(F.xxhash64("vec_id"), "vec_id").limit(MEASURED))
-        true = ranked(candidates(some, 1, 4 * total)).groupBy("query_id").agg(F.collect_list("cell").alias("cells"))
+        true = ranked(candidates(some, 1, None)).groupBy("query_id").agg(F.collect_list("cell").alias("cells"))
         true = {r["query_id"]: r["cells"] for r in true.collect()}  # of MEASURED queries
 
         def orders() -> Iterator[tuple[np.ndarray, np.ndarray]]:
             for r in some.collect():  # MEASURED rows
-                cells = cells_in_order(*next(distances(np.array([r["v"]]))), count)
+                cells = cells_in_order(*next(distances(scaled(np.array([r["v"]])))), count)
                 where = np.zeros(len(count), np.int64)
                 where[cells] = np.arange(len(cells))
                 yield cells, where[np.array(true.get(r["vec_id"], []), np.int64)]
 
         enough = widened(orders(), count, VISIT_LEAST, RECALL)
-    found = candidates(asked, max(1, -(-asked.count() * narrow // CHUNK)), enough).drop("cell")
+    found = candidates(asked, max(1, -(-asked.count() * narrow // CHUNK)), enough)
     return ranked(found).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 

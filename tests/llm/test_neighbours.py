@@ -101,9 +101,27 @@ def test_cells_come_by_distance():
     assert N.cells_by_distance(d1, d2, held, 5) == cells[:5]
 
 
-def test_visited_cells_by_sort_or_heap():
+def test_the_counted_order_is_that_of_the_heap():
     rng = np.random.default_rng(4)
     d1, d2 = rng.random(7), rng.random(9)
     held = rng.integers(0, 30, 63)
     for enough in (1, 50, 300, 10**6):
-        assert sorted(N.visited(d1, d2, held, enough)) == sorted(N.cells_by_distance(d1, d2, held, enough))
+        cells = N.cells_in_order(d1, d2, held)
+        assert sorted(cells[N.counted_before(held[cells], enough) < enough]) == sorted(N.cells_by_distance(d1, d2, held, enough))
+
+
+def test_extreme_magnitudes_and_repeated_ids(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(1, 301)]
+    plain = _found(N.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0))
+    wide = [(i, np.ldexp(v, [600, -600, 1000, 0][i % 4]).tolist()) for i, v in rows]
+    assert _found(N.search(spark.createDataFrame(wide, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0)) == plain
+    near = plain[50][0][0]
+    far = [-x for x in dict(rows)[50]]
+    more = rows + [(near, dict(rows)[near])] * 12 + [(near, far)] * 3 + [(50, [9.0] + [0.0] * 7)]
+    got = _found(N.search(spark.createDataFrame(more, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0))
+    smallest = min([9.0] + [0.0] * 7, dict(rows)[50])
+    if smallest == dict(rows)[50]:
+        assert got[50] == plain[50]
+    for q, found in got.items():
+        assert len(found) == 5 and len({i for i, _ in found}) == 5 and all(np.isfinite(s) for _, s in found), q
