@@ -1,8 +1,10 @@
-"""Running sums in (day, tie-break) order within a contract, without contract-wide windows.
+"""Running sums in (day, tie-break) order within a contract; very large contracts are spread over tasks.
 
-A window partitioned by contract alone sends every row of a contract to one
-task, so one very large contract (or a third of all rows under one key) would
-run on a single core.  The sums here are computed in two levels instead:
+Rows are counted per contract first (map-side combined, one number for each
+contract).  An ordinary contract is summed by a window over its rows: one
+shuffle and one sort of the rows.  A contract that holds more than its share of
+all rows (see :func:`large_keys`) would run on a single core that way, so its
+sums are computed in two levels:
 
 1. per-(contract, day) totals are aggregated with partial (map-side)
    aggregation, so only one row per contract, day and map task crosses the
@@ -11,11 +13,10 @@ run on a single core.  The sums here are computed in two levels instead:
    window's partition size is bounded by the calendar, not by data volume;
 2. the rows are hash-partitioned once on (contract, day); the per-day prefix
    is joined on those keys and the remainder within the day comes from a
-   window partitioned by (contract, day), both on the rows' partitioning,
-   so the rows themselves are shuffled exactly once.
+   window partitioned by (contract, day), both on the rows' partitioning.
 
-An optional per-contract table (e.g. the payment pool) is attached at the day
-level, so it is joined to the per-day table instead of to every row.
+Large contracts are few by definition, so they are told by a broadcast.  Without
+any, adaptive execution leaves the second way out.
 
 Sums are taken over 64-bit integers: callers pass exact money as unscaled
 units (see :func:`units`), which keeps the window and aggregate buffers on
@@ -32,6 +33,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY_SCALE = 4
+#: A contract is large with more rows than this part of all of them, ...
+LARGE_PART = 1000
+#: ... but never with fewer rows than the first number, and always with more than the second.
+LARGE_ROWS = (100, 100_000)
 
 
 def units(c: Column, scale: int = MONEY_SCALE) -> Column:
@@ -48,6 +53,15 @@ def from_units(c: Column, scale: int = MONEY_SCALE) -> Column:
     return (c.cast(T.DecimalType(18, 0)) * F.lit(Decimal(1).scaleb(-scale))).cast(T.DecimalType(18, scale))
 
 
+def large_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys that hold more rows than one task should sort: at most ``LARGE_PART``, or one for every 100,000 rows."""
+    least, most = LARGE_ROWS
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    bound = F.least(F.greatest(F.sum("__n") / F.lit(LARGE_PART), F.lit(least)), F.lit(most))
+    limit = sizes.agg(bound.alias("__limit"))
+    return sizes.join(F.broadcast(limit), F.col("__n") > F.col("__limit")).select(*keys)
+
+
 def running_before(
     df: DataFrame,
     keys: Sequence[str],
@@ -74,10 +88,31 @@ def running_before(
     for k in keys:
         present = present & F.col(k).isNotNull()
     base = df.where(present).withColumns({tmp[n]: c.cast("long") for n, c in values.items()} | {nxt[n]: c for n, c in following.items()})
+    large = F.broadcast(large_keys(df.where(present), keys))
+    ordinary = _in_one_window(base.join(large, keys, "left_anti"), keys, day, tiebreak, tmp, nxt, per_key)
+    spread = _by_days(base.join(large, keys, "left_semi"), keys, day, tiebreak, tmp, nxt, per_key)
+    extra = [c for c in (per_key.columns if per_key is not None else []) if c not in keys]
+    rest = [c for c in df.columns if c not in (*keys, day)]
+    return ordinary.unionByName(spread).select(*keys, day, *rest, *extra, *values, *following)
+
+
+def _in_one_window(base: DataFrame, keys: list[str], day: str, tiebreak: str, tmp: Mapping[str, str], nxt: Mapping[str, str],
+                   per_key: DataFrame | None) -> DataFrame:
+    """The sums by a window over each key's rows."""
+    order = Window.partitionBy(*keys).orderBy(day, tiebreak)
+    out = base.withColumns(
+        {n: F.coalesce(F.sum(c).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) for n, c in tmp.items()}
+        | {n: F.lead(c).over(order) for n, c in nxt.items()}
+    )
+    return out if per_key is None else out.join(per_key, keys, "left")
+
 
+def _by_days(base: DataFrame, keys: list[str], day: str, tiebreak: str, tmp: Mapping[str, str], nxt: Mapping[str, str],
+             per_key: DataFrame | None) -> DataFrame:
+    """The sums in two levels: days of a key, then rows of a day."""
     per_day = base.groupBy(*keys, day).agg(
-        *[F.sum(tmp[n]).alias(tmp[n]) for n in values],
-        *[F.min_by(nxt[n], tiebreak).alias(nxt[n]) for n in following],
+        *[F.sum(c).alias(c) for c in tmp.values()],
+        *[F.min_by(c, tiebreak).alias(c) for c in nxt.values()],
     )
     if per_key is not None:
         per_day = per_day.join(per_key, keys, "left")
@@ -87,15 +122,15 @@ def running_before(
         *keys,
         day,
         *extra,
-        *[F.coalesce(F.sum(tmp[n]).over(days.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"__d_{n}") for n in values],
-        *[F.lead(nxt[n]).over(days).alias(f"__n_{n}") for n in following],
+        *[F.coalesce(F.sum(c).over(days.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(f"__d_{n}") for n, c in tmp.items()],
+        *[F.lead(c).over(days).alias(f"__n_{n}") for n, c in nxt.items()],
     )
 
     rows = base.repartition(*keys, day)  # the one shuffle of the rows
     out = rows.join(per_day, [*keys, day], "inner")
     in_day = Window.partitionBy(*keys, day).orderBy(tiebreak)
     out = out.withColumns(
-        {n: F.col(f"__d_{n}") + F.coalesce(F.sum(tmp[n]).over(in_day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) for n in values}
-        | {n: F.coalesce(F.lead(nxt[n]).over(in_day), F.col(f"__n_{n}")) for n in following}
+        {n: F.col(f"__d_{n}") + F.coalesce(F.sum(c).over(in_day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) for n, c in tmp.items()}
+        | {n: F.coalesce(F.lead(c).over(in_day), F.col(f"__n_{n}")) for n, c in nxt.items()}
     )
-    return out.drop(*tmp.values(), *nxt.values(), *[f"__d_{n}" for n in values], *[f"__n_{n}" for n in following])
+    return out.drop(*[f"__d_{n}" for n in tmp], *[f"__n_{n}" for n in nxt])
