@@ -504,6 +504,8 @@ def response_records(spark, sf_dir):
     base = _scratch(spark, "publish")
     valid, _ = split_valid(_validated_orders(spark, sf_dir))
     fresh = R.freshness(TD.schedule(spark, sf_dir), TD.payments(spark, sf_dir), company_map=TD.company_map(spark))
+    fresh.write.parquet(f"{base}/freshness")  # a row for each company, worked out once for both writes
+    fresh = spark.read.parquet(f"{base}/freshness")
     answers = respond(valid, fresh.drop("company_code"), TD.SERVICE_NAME)
     for _ in range(2):  # the second time as a replay: new files, the same messages
         answers.write.mode("overwrite").parquet(f"{base}/responses/batch=0")
