@@ -22,13 +22,12 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrears.config import CONTRACT, REFERENCE, UNCLASSIFIED
-from arrears.operators.ordered import running_before
+from arrears.operators.ordered import known, running_before
 
 # Tolerances and ratio bounds of the case rules.
 TOL = 0.001  # equality tolerance between paid and gross
@@ -77,8 +76,7 @@ def contract_features(schedule: DataFrame, payments: DataFrame, as_of: _dt.date,
     keys = list(keys)
     ref = [*keys, REFERENCE]
     calc = F.lit(as_of)
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    s, p = schedule.where(known), payments.where(known)
+    s, p = schedule.where(known(keys)), payments.where(known(keys))
     ym = F.year("payment_date") * 12 + F.month("payment_date")
     # The null reference is a group of its own here: it never matches an
     # instalment, but counts for the contract's totals.
@@ -122,7 +120,8 @@ def contract_features(schedule: DataFrame, payments: DataFrame, as_of: _dt.date,
         .withColumns({"tp": F.coalesce("tp", F.lit(0)), "np": F.coalesce("np", F.lit(0))})
     )
     short = F.coalesce(F.col("tp") + _d(TOL) < F.col("gross_amount"), F.lit(False))
-    o = _flags(running_before(overdue, keys, "installment_date", "id", {"pos": F.lit(1)}, following={"next_short": short}))
+    o = _flags(running_before(overdue, keys, "installment_date", "id", {"pos": F.lit(1)}, following={"next_short": short},
+                              sized_by=s.where(due)))
     a, b = ONE_AND_A_HALF
     o = o.withColumns({
         "dup15": F.col("ratio15") >= DUPLICATE_RATIO,
@@ -203,5 +202,9 @@ def case_histogram(classified: DataFrame) -> DataFrame:
 
 def attach_cases(df: DataFrame, classified: DataFrame, column: str = "case", keys: Sequence[str] = (CONTRACT,)) -> DataFrame:
     """Add each contract's case label (detail or summary rows; one label row per contract)."""
-    labels = classified.select(*keys, F.col("case_label").alias(column))
-    return df.join(labels, list(keys), "left")
+    return df.join(case_labels(classified, column, keys), list(keys), "left")
+
+
+def case_labels(classified: DataFrame, column: str = "case", keys: Sequence[str] = (CONTRACT,)) -> DataFrame:
+    """A row per contract: its key and its case label."""
+    return classified.select(*keys, F.col("case_label").alias(column))

@@ -1,8 +1,12 @@
-"""Running sums in (day, tie-break) order within a contract, without contract-wide windows.
+"""Running sums in (day, tie-break) order within a contract; a very large contract is spread over tasks.
 
-A window partitioned by contract alone sends every row of a contract to one
-task, so one very large contract (or a third of all rows under one key) would
-run on a single core.  The sums here are computed in two levels instead:
+Rows are counted per contract first (map-side combined, a number for each
+contract).  The rows of an ordinary contract meet in one task: one shuffle of the
+rows, no table of days beside them.  What lies on earlier days is a window over the
+contract's days, what lies before a row on its own day a window within the day.
+
+A contract with more than its share of all rows (see :func:`large_keys`) would
+run on a single core that way, so its sums are computed in two levels:
 
 1. per-(contract, day) totals are aggregated with partial (map-side)
    aggregation, so only one row per contract, day and map task crosses the
@@ -15,7 +19,7 @@ run on a single core.  The sums here are computed in two levels instead:
    so the rows themselves are shuffled exactly once.
 
 An optional per-contract table (e.g. the payment pool) is attached at the day
-level, so it is joined to the per-day table instead of to every row.
+level there, so it is joined to the per-day table instead of to every row.
 
 Sums are taken over 64-bit integers: callers pass exact money as unscaled
 units (see :func:`units`), which keeps the window and aggregate buffers on
@@ -26,12 +30,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY_SCALE = 4
+#: A contract is large with more rows than this part of all of them, ...
+LARGE_PART = 1000
+#: ... but never with fewer rows than the first number, and always with more than the second.
+LARGE_ROWS = (100, 100_000)
+#: At most so many contracts are large.
+LARGE_KEYS = 10_000
 
 
 def units(c: Column, scale: int = MONEY_SCALE) -> Column:
@@ -48,6 +59,35 @@ def from_units(c: Column, scale: int = MONEY_SCALE) -> Column:
     return (c.cast(T.DecimalType(18, 0)) * F.lit(Decimal(1).scaleb(-scale))).cast(T.DecimalType(18, scale))
 
 
+def known(keys: Sequence[str]) -> Column:
+    """No part of the key is null."""
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+def large_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """The keys that hold more rows than one task should have together; None where there are none.
+
+    Runs a job that counts the rows of each key (a second one, of all rows, where some key has more than the least of
+    ``LARGE_ROWS``).  The driver gets at most ``LARGE_KEYS`` keys, the largest.
+    """
+    least, most = LARGE_ROWS
+    rows = df.where(known(keys)).select(*keys)
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > least)
+    found = sizes.orderBy(F.col("__n").desc()).limit(LARGE_KEYS).collect()
+    if found:
+        limit = min(max(rows.count() / LARGE_PART, least), most)
+        found = [r for r in found if r["__n"] > limit]
+    return df.sparkSession.createDataFrame([tuple(r)[:-1] for r in found], rows.schema) if found else None
+
+
+def apart(df: DataFrame, keys: Sequence[str], large: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary keys, rows of large keys); rows without a key are among the first."""
+    if large is None:
+        return df, None
+    marks = F.broadcast(large)
+    return df.join(marks, list(keys), "left_anti"), df.join(marks, list(keys), "left_semi")
+
+
 def running_before(
     df: DataFrame,
     keys: Sequence[str],
@@ -56,6 +96,7 @@ def running_before(
     values: Mapping[str, Column],
     per_key: DataFrame | None = None,
     following: Mapping[str, Column] | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``name`` = Σ value over rows of the same key strictly before the row.
 
@@ -65,15 +106,58 @@ def running_before(
     row per key) are added to every row, null when the key is absent there.
     ``following`` adds the value that the key's next row has (null on the last):
     from the row's own day, or else from the first row of the key's next day.
+    ``sized_by`` is a table to count the keys' rows in where that is cheaper than in ``df``;
+    what counts as large changes the work, never the result.
     """
     keys = list(keys)
     following = dict(following or {})
+    df = df.where(F.col(day).isNotNull() & known(keys))
+    ordinary, large = apart(df, keys, large_keys(df if sized_by is None else sized_by, keys))
+    extra = [c for c in (per_key.columns if per_key is not None else []) if c not in keys]
+    columns = [*keys, day, *[c for c in df.columns if c not in (*keys, day)], *extra, *values, *following]
+    out = before_in_key(ordinary.repartition(*keys), keys, day, tiebreak, values, following)
+    if per_key is not None:
+        out = out.join(per_key, keys, "left")
+    out = out.select(*columns)
+    return out if large is None else out.unionByName(_by_days(large, keys, day, tiebreak, values, per_key, following).select(*columns))
+
+
+def before_in_key(df: DataFrame, keys: Sequence[str], day: str, tiebreak: str, values: Mapping[str, Column],
+                  following: Mapping[str, Column] | None = None) -> DataFrame:
+    """:func:`running_before` for rows that are dealt by key already and have dates as days: they are not shuffled again.
+
+    Rows without a day stay; their values do not count.
+    """
+    following = dict(following or {})
+    tmp = {name: f"__v_{name}" for name in values}
+    nxt = {name: f"__f_{name}" for name in following}
+    rows = df.withColumns({tmp[n]: F.when(F.col(day).isNotNull(), c.cast("long")) for n, c in values.items()} | {nxt[n]: c for n, c in following.items()})
+    a_day = Window.partitionBy(*keys, day)
+    in_day = a_day.orderBy(tiebreak)
+    rows = rows.withColumns(
+        {f"__d_{n}": F.sum(tmp[n]).over(in_day.rowsBetween(Window.unboundedPreceding, -1)) for n in values}
+        | {f"__n_{n}": F.lead(nxt[n]).over(in_day) for n in following}
+        | {f"__f_first_{n}": F.min_by(nxt[n], tiebreak).over(a_day) for n in following}
+    )
+    by = ", ".join(f"`{k}`" for k in keys)
+
+    def other_days(function: str, order: str = "ASC") -> Column:  # as text: the API's bounds are longs, which days do not take
+        return F.expr(f"{function} OVER (PARTITION BY {by} ORDER BY `{day}` {order} RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+
+    rows = rows.withColumns(
+        {n: F.coalesce(other_days(f"sum(`{tmp[n]}`)"), F.lit(0)) + F.coalesce(F.col(f"__d_{n}"), F.lit(0)) for n in values}
+        | {n: F.coalesce(F.col(f"__n_{n}"), other_days(f"last(`__f_first_{n}`)", "DESC")) for n in following}  # the next day comes last
+    )
+    return rows.drop(*tmp.values(), *nxt.values(), *[f"__d_{n}" for n in values],
+                     *[f"{p}_{n}" for n in following for p in ("__n", "__f_first")])
+
+
+def _by_days(df: DataFrame, keys: list[str], day: str, tiebreak: str, values: Mapping[str, Column],
+             per_key: DataFrame | None, following: Mapping[str, Column]) -> DataFrame:
+    """:func:`running_before` in two levels: days of a key, then rows of a day."""
     tmp = {name: f"__v_{name}" for name in values}
     nxt = {name: f"__f_{name}" for name in following}
-    present = F.col(day).isNotNull()
-    for k in keys:
-        present = present & F.col(k).isNotNull()
-    base = df.where(present).withColumns({tmp[n]: c.cast("long") for n, c in values.items()} | {nxt[n]: c for n, c in following.items()})
+    base = df.withColumns({tmp[n]: c.cast("long") for n, c in values.items()} | {nxt[n]: c for n, c in following.items()})
 
     per_day = base.groupBy(*keys, day).agg(
         *[F.sum(tmp[n]).alias(tmp[n]) for n in values],
