@@ -57,3 +57,85 @@ def test_hot_contract_is_split_and_exact(spark):
     exp = expected_cascade(srows, prows, CALC)
     got = {r["id"]: (r["applied_amount"], r["dpd_current"], r["amount_in_arrears"]) for r in rows}
     assert got == exp
+
+
+def _shuffles(spark, df) -> int:
+    """Hash exchanges of the plan without broadcasts."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    prev = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    finally:
+        for k, v in prev.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_only_large_contracts_are_spread(spark):
+    from arrears.operators.ordered import large_keys, running_before
+
+    rows = [(c, dt.date(2020, 1, 1) + dt.timedelta(days=i // 3), i) for c, n in (("BIG", 400), ("A", 5), ("B", 99), (None, 500)) for i in range(n)]
+    df = spark.createDataFrame(rows, "c string, d date, id long")
+    assert [r["c"] for r in large_keys(df, ["c"]).collect()] == ["BIG"]
+    assert large_keys(df.where("c <> 'BIG' or c is null"), ["c"]) is None
+    pool = spark.createDataFrame([("BIG", 7), ("A", 8)], "c string, pool long")
+    out = running_before(df, ["c"], "d", "id", {"before": F.col("id")}, pool, {"next_id": F.col("id")})
+    assert out.columns == ["c", "d", "id", "pool", "before", "next_id"]
+    want = [(c, i, p, i * (i - 1) // 2, i + 1 if i + 1 < n else None) for c, n, p in (("BIG", 400, 7), ("A", 5, 8), ("B", 99, None)) for i in range(n)]
+    key = lambda x: x[:2]
+    assert sorted(((r["c"], r["id"], r["pool"], r["before"], r["next_id"]) for r in out.collect()), key=key) == sorted(want, key=key)
+
+
+def test_rows_of_ordinary_contracts_are_shuffled_once(spark):
+    """No table of days is shuffled beside the rows."""
+    sched, pays = _portfolio()
+    s = spark.createDataFrame([x for x in sched if x[2] != "HOT"], SCHEDULE)
+    p = spark.createDataFrame([x for x in pays if x[2] != "HOT"], PAYMENTS)
+    assert _shuffles(spark, A.cascade(s, p, Cutoff(as_of=CALC))) <= 2  # the rows, the payments' sums
+
+
+def _odd_portfolio():
+    """Shared, missing and blank references, days and contracts; instalments without amount; payments without reference."""
+    day = dt.date(2029, 10, 1)
+    sched, pays = [], []
+    for c in range(12):
+        for k in range(8):
+            i = 100 * c + k
+            gross = None if k == 5 and c % 3 == 0 else Decimal(100 if k != 6 else 0)
+            ref = {0: None, 1: " ", 2: f"{c}-1"}.get(k + c % 3, f"{c}-{k}")
+            sched.append((i, "X", None if c == 11 else f"C{c}", ref, None if k == 7 else day + dt.timedelta(days=20 * (k // 2)), gross,
+                          Decimal(0), Decimal(90), Decimal(10), Decimal(0), Decimal(0)))
+            for n in range(k % 3):
+                pays.append((10 * i + n, 1, None if c == 10 and k == 2 else f"C{c}", {3: None, 4: " "}.get(k, f"{c}-{k}"),
+                             None if k == 1 and c % 4 == 0 else day, Decimal(40 + 13 * c)))
+    pays.append((-1, 1, "nobody", "x", day, Decimal(5)))
+    return sched, pays
+
+
+def test_detail_is_the_same_together_and_spread(spark, monkeypatch):
+    from arrears.operators import ordered
+    from arrears.operators.reports import detail
+
+    sched, pays = _odd_portfolio()
+    s, p = spark.createDataFrame(sched, SCHEDULE), spark.createDataFrame(pays, PAYMENTS)
+    for modes in (("cascade", "join"), ("join", "cascade"), ("cascade",), ("join",)):
+        for maxima in (True, False):
+            monkeypatch.setattr(ordered, "LARGE_ROWS", (10**6, 10**6))
+            together = detail(s, p, Cutoff(as_of=CALC), modes, maxima)
+            monkeypatch.setattr(ordered, "LARGE_ROWS", (0, 12))  # some contracts
+            some = detail(s, p, Cutoff(as_of=CALC), modes, maxima)
+            monkeypatch.setattr(ordered, "LARGE_ROWS", (0, 0))  # all of them
+            spread = detail(s, p, Cutoff(as_of=CALC), modes, maxima)
+            assert together.columns == some.columns == spread.columns
+            rows = sorted(map(str, together.collect()))
+            assert len(rows) == len(sched)
+            assert rows == sorted(map(str, some.collect())) == sorted(map(str, spread.collect()))
+
+
+def test_detail_shuffles_its_rows_once(spark):
+    from arrears.operators.reports import detail
+
+    sched, pays = _odd_portfolio()
+    d = detail(spark.createDataFrame(sched, SCHEDULE), spark.createDataFrame(pays, PAYMENTS), Cutoff(as_of=CALC))
+    assert _shuffles(spark, d) <= 2  # rows with payments, the payments' sums
