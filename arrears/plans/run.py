@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrears.config import Cutoff
-from arrears.operators.classify import attach_cases, classify_contracts
+from arrears.operators.classify import attach_cases, case_labels, classify_contracts
 from arrears.operators.clean import sanitize_payments, sanitize_schedule
 from arrears.operators.reports import detail, summary
 from arrears.schemas import PAYMENTS
@@ -55,12 +55,10 @@ def run_tables(schedule: DataFrame, payments: DataFrame, as_of: _dt.date | None
             if k not in payments.columns:
                 payments = payments.withColumn(k, F.lit(None).cast("string"))
     s, p = sanitize_schedule(schedule), sanitize_payments(payments)
-    d = detail(s, p, cfg, MODES[mode])
+    labels = classify_contracts(s, p, cfg.as_of, cfg.contract_keys) if cases else None
+    d = detail(s, p, cfg, MODES[mode], per_contract=case_labels(labels, keys=cfg.contract_keys) if cases else None)
     sums = summary(detail(s, p, cfg, MODES[mode], with_contract_max=False), MODES[mode], keys=cfg.contract_keys)
-    if cases:
-        labels = classify_contracts(s, p, cfg.as_of, cfg.contract_keys)
-        d, sums = (attach_cases(x, labels, keys=cfg.contract_keys) for x in (d, sums))
-    return d, sums
+    return d, attach_cases(sums, labels, keys=cfg.contract_keys) if cases else sums
 
 
 def run_detail_summary(spark: SparkSession, schedule: str | Mapping[str, str], payments: str | Mapping[str, str], output: str,
