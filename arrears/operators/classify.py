@@ -23,11 +23,11 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrears.config import CONTRACT, REFERENCE, UNCLASSIFIED
-from arrears.operators.ordered import known, running_before
+from arrears.operators.ordered import apart, before_in_key, known, large_keys, running_before
 
 # Tolerances and ratio bounds of the case rules.
 TOL = 0.001  # equality tolerance between paid and gross
@@ -68,84 +68,127 @@ def _flags(o: DataFrame) -> DataFrame:
 def contract_features(schedule: DataFrame, payments: DataFrame, as_of: _dt.date, keys: Sequence[str] = (CONTRACT,)) -> DataFrame:
     """One row per schedule contract with every count and flag the rules use.
 
-    Payments and schedule are each reduced once per (contract, reference); the
+    Payments and schedule are each reduced per (contract, reference); the
     overdue instalments take what was paid on their reference, their position
     and whether the next one is short; all facts are then reduced by one
-    ``groupBy`` on the contract.  Nothing is stored in between.
+    ``groupBy`` on the contract.  Instalments and payments of an ordinary contract
+    are shuffled by contract only, those of large ones
+    (:func:`arrears.operators.ordered.large_keys`) by reference and by day.
     """
     keys = list(keys)
-    ref = [*keys, REFERENCE]
-    calc = F.lit(as_of)
     s, p = schedule.where(known(keys)), payments.where(known(keys))
-    ym = F.year("payment_date") * 12 + F.month("payment_date")
-    # The null reference is a group of its own here: it never matches an
-    # instalment, but counts for the contract's totals.
-    by_ref = p.groupBy(*ref).agg(
-        F.sum("total_payment").alias("tp"),
-        F.count("total_payment").alias("np"),
-        F.count(F.lit(1)).alias("nrows"),
-        F.count("payment_date").alias("ndated"),
-        F.min(ym).alias("ym_min"),
-        F.max(ym).alias("ym_max"),
-        F.min("payment_date").alias("pmin"),
-        F.max("payment_date").alias("pmax"),
-        F.bool_or(F.col("payment_date") == calc).alias("ref_on_cut"),
+    large = large_keys(s.select(*keys).unionByName(p.select(*keys)), keys)
+    (s, s_large), (p, p_large) = apart(s, keys, large), apart(p, keys, large)
+    facts = _facts_together(s, p, as_of, keys)
+    if large is not None:
+        facts = facts.unionByName(_facts_spread(s_large, p_large, as_of, keys))
+    flags = {"cents": "ce", "dup15": "dup15", "r9": "r9", "late": "late", "early": "early", "twice": "twice", "on_cut": "on_cut"}
+    out = facts.groupBy(*keys).agg(
+        F.bool_or("in_schedule").alias("in_schedule"),
+        F.coalesce(F.sum("one"), F.lit(0)).alias("n"),
+        F.coalesce(F.sum("n_pay"), F.lit(0)).alias("n_pay"),
+        *[F.count_if(F.col(c)).alias(f"n_{c}") for c in ("ex", "pa", "un", "ov", "co")],
+        *[F.coalesce(F.bool_or(c), F.lit(False)).alias(name) for name, c in flags.items()],
+        F.max("np").alias("max_np"),
+        F.max("ratio").alias("ratio_max"),
+        *[F.coalesce(f(c, "ord"), F.lit(False)).alias(name) for name, f, c in
+          (("last_pa", F.max_by, "pa"), ("last_ex", F.max_by, "ex"), ("first_ex", F.min_by, "ex"), ("first_un", F.min_by, "un"))],
+        F.min(F.when(~F.col("ex"), F.col("pos"))).alias("first_not_ex"),
+        F.max(F.when(~F.col("un"), F.col("pos"))).alias("last_not_un"),
     )
-    due = F.col("installment_date") <= calc
+    return out.where(F.col("in_schedule"))
+
+
+def _of_payments(as_of: _dt.date) -> dict[str, Column]:
+    """What the rules use of the payments on one reference."""
+    ym = F.year("payment_date") * 12 + F.month("payment_date")
+    return {
+        "tp": F.sum("total_payment"),
+        "nrows": F.count_if("__payment"),
+        "ndated": F.count("payment_date"),
+        "ym_min": F.min(ym),
+        "ym_max": F.max(ym),
+        "pmin": F.min("payment_date"),
+        "pmax": F.max("payment_date"),
+        "ref_on_cut": F.bool_or(F.col("payment_date") == F.lit(as_of)),
+    }
+
+
+def _of_schedule(as_of: _dt.date) -> dict[str, Column]:
+    """What the rules use of the instalments with one reference."""
+    due = F.col("installment_date") <= F.lit(as_of)
     first = F.struct("installment_date", "id")
-    by_sched = s.groupBy(*ref).agg(
-        F.min("installment_date").alias("smin"),
-        F.max("installment_date").alias("smax"),
-        F.min(F.when(due, F.struct(first.alias("ord"), F.col("gross_amount").alias("g")))).alias("first_due"),
-        F.lit(True).alias("in_schedule"),
-    )
-    # Late / early: some payment after / before a due date of its reference.
-    # Twice: two payments in one calendar month summing to the first overdue gross of their reference.
-    refs = by_sched.join(by_ref, ref, "full")
-    refs = refs.select(
+    return {
+        "smin": F.min("installment_date"),
+        "smax": F.max("installment_date"),
+        "first_due": F.min(F.when(due, F.struct(first.alias("ord"), F.col("gross_amount").alias("g")))),
+        "in_schedule": F.bool_or("__instalment"),
+    }
+
+
+def _reference_facts(refs: DataFrame, keys: list[str]) -> DataFrame:
+    """Late / early: some payment after / before a due date of its reference.
+    Twice: two payments in one calendar month summing to the first overdue gross of their reference.
+    The null reference never matches an instalment, but counts for the contract's totals."""
+    named = F.col(REFERENCE).isNotNull()
+    return refs.select(
         *keys,
         "in_schedule",
         F.col("nrows").alias("n_pay"),
         F.col("ref_on_cut").alias("on_cut"),
-        (F.col("pmax") > F.col("smin")).alias("late"),
-        (F.col("pmin") < F.col("smax")).alias("early"),
-        ((F.col("nrows") == 2) & (F.col("ndated") == 2) & (F.col("ym_min") == F.col("ym_max"))
+        (named & (F.col("pmax") > F.col("smin"))).alias("late"),
+        (named & (F.col("pmin") < F.col("smax"))).alias("early"),
+        (named & (F.col("nrows") == 2) & (F.col("ndated") == 2) & (F.col("ym_min") == F.col("ym_max"))
          & (F.abs(F.col("tp") - F.col("first_due.g")) < _d(TWICE_TOL))).alias("twice"),
     )
 
-    overdue = (
-        s.where(due)
-        .select(*ref, "installment_date", "id", "gross_amount")
-        .join(by_ref.select(*ref, "tp", "np"), ref, "left")
-        .withColumns({"tp": F.coalesce("tp", F.lit(0)), "np": F.coalesce("np", F.lit(0))})
-    )
-    short = F.coalesce(F.col("tp") + _d(TOL) < F.col("gross_amount"), F.lit(False))
-    o = _flags(running_before(overdue, keys, "installment_date", "id", {"pos": F.lit(1)}, following={"next_short": short},
-                              sized_by=s.where(due)))
+
+def _instalment_facts(o: DataFrame, keys: list[str]) -> DataFrame:
+    """Flags of overdue instalments with what was paid on their reference, their position and whether the next one is short."""
     a, b = ONE_AND_A_HALF
-    o = o.withColumns({
+    return _flags(o).withColumns({
         "dup15": F.col("ratio15") >= DUPLICATE_RATIO,
         # Case 9: an instalment paid 1.4–1.6× followed by one paid short.
         "r9": (F.col("gross_amount") > 0) & (F.col("ratio") >= a) & (F.col("ratio") <= b) & F.col("next_short"),
         "one": F.lit(1),
     }).select(*keys, "one", "ex", "pa", "un", "ov", "co", "np", "ce", "ratio", "dup15", "r9", "ord", "pos")
 
-    facts = refs.unionByName(o, allowMissingColumns=True)
-    flags = {"cents": "ce", "dup15": "dup15", "r9": "r9", "late": "late", "early": "early", "twice": "twice", "on_cut": "on_cut"}
-    out = facts.groupBy(*keys).agg(
-        F.bool_or("in_schedule").alias("in_schedule"),
-        F.coalesce(F.sum("one"), F.lit(0)).alias("n"),
-        F.coalesce(F.sum("n_pay"), F.lit(0)).alias("n_pay"),
-        *[F.count_if(F.col(c)).alias(f"n_{c}") for c in ("ex", "pa", "un", "ov", "co")],
-        *[F.coalesce(F.bool_or(c), F.lit(False)).alias(name) for name, c in flags.items()],
-        F.max("np").alias("max_np"),
-        F.max("ratio").alias("ratio_max"),
-        *[F.coalesce(f(c, "ord"), F.lit(False)).alias(name) for name, f, c in
-          (("last_pa", F.max_by, "pa"), ("last_ex", F.max_by, "ex"), ("first_ex", F.min_by, "ex"), ("first_un", F.min_by, "un"))],
-        F.min(F.when(~F.col("ex"), F.col("pos"))).alias("first_not_ex"),
-        F.max(F.when(~F.col("un"), F.col("pos"))).alias("last_not_un"),
+
+def _short() -> Column:
+    return F.coalesce(F.col("tp") + _d(TOL) < F.col("gross_amount"), F.lit(False))
+
+
+def _facts_together(s: DataFrame, p: DataFrame, as_of: _dt.date, keys: list[str]) -> DataFrame:
+    """The facts of contracts that fit into one task each: their instalments and payments meet there, by reference and by day."""
+    ref = [*keys, REFERENCE]
+    rows = s.select(*ref, "installment_date", "id", "gross_amount", F.lit(True).alias("__instalment"), F.lit(False).alias("__payment")).unionByName(
+        p.select(*ref, "payment_date", "total_payment", F.lit(True).alias("__payment")), allowMissingColumns=True).repartition(*keys)
+    refs = rows.groupBy(*ref).agg(*[c.alias(n) for n, c in (_of_payments(as_of) | _of_schedule(as_of)).items()])
+    due = F.col("__payment") | (F.col("installment_date") <= F.lit(as_of))
+    payments_first = Window.partitionBy(*ref).orderBy("__instalment")  # null before true
+    named = F.when(F.col(REFERENCE).isNotNull(), F.col("total_payment"))
+    o = rows.where(due).withColumn("__v_paid", named)
+    o = o.withColumns({"tp": F.sum("__v_paid").over(payments_first), "np": F.count("__v_paid").over(payments_first)}).where("__instalment")
+    o = o.withColumns({"tp": F.coalesce("tp", F.lit(0)), "np": F.coalesce("np", F.lit(0))})
+    o = before_in_key(o, keys, "installment_date", "id", {"pos": F.lit(1)}, {"next_short": _short()})
+    return _reference_facts(refs, keys).unionByName(_instalment_facts(o, keys), allowMissingColumns=True)
+
+
+def _facts_spread(s: DataFrame, p: DataFrame, as_of: _dt.date, keys: list[str]) -> DataFrame:
+    """The facts of large contracts: both tables are reduced once per (contract, reference) and joined."""
+    ref = [*keys, REFERENCE]
+    by_ref = p.withColumn("__payment", F.lit(True)).groupBy(*ref).agg(
+        *[c.alias(n) for n, c in _of_payments(as_of).items()], F.count("total_payment").alias("np"))
+    by_sched = s.withColumn("__instalment", F.lit(True)).groupBy(*ref).agg(*[c.alias(n) for n, c in _of_schedule(as_of).items()])
+    overdue = (
+        s.where(F.col("installment_date") <= F.lit(as_of))
+        .select(*ref, "installment_date", "id", "gross_amount")
+        .join(by_ref.select(*ref, "tp", "np"), ref, "left")
+        .withColumns({"tp": F.coalesce("tp", F.lit(0)), "np": F.coalesce("np", F.lit(0))})
     )
-    return out.where(F.col("in_schedule"))
+    o = running_before(overdue, keys, "installment_date", "id", {"pos": F.lit(1)}, following={"next_short": _short()},
+                       sized_by=s.where(F.col("installment_date") <= F.lit(as_of)))
+    return _reference_facts(by_sched.join(by_ref, ref, "full"), keys).unionByName(_instalment_facts(o, keys), allowMissingColumns=True)
 
 
 def case_rules(f: DataFrame) -> dict[int, Column]:

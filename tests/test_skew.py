@@ -139,3 +139,27 @@ def test_detail_shuffles_its_rows_once(spark):
     sched, pays = _odd_portfolio()
     d = detail(spark.createDataFrame(sched, SCHEDULE), spark.createDataFrame(pays, PAYMENTS), Cutoff(as_of=CALC))
     assert _shuffles(spark, d) <= 2  # rows with payments, the payments' sums
+
+
+def test_cases_are_the_same_together_and_spread(spark, monkeypatch):
+    from arrears.operators import ordered
+    from arrears.operators.classify import contract_features
+
+    sched, pays = _odd_portfolio()
+    s, p = spark.createDataFrame(sched, SCHEDULE), spark.createDataFrame(pays, PAYMENTS)
+    found = []
+    for rows in ((10**6, 10**6), (0, 12), (0, 0)):  # no contract large, some, all of them
+        monkeypatch.setattr(ordered, "LARGE_ROWS", rows)
+        found.append(sorted(map(str, contract_features(s, p, dt.date(2029, 12, 1)).collect())))
+    assert len(found[0]) == 11
+    assert found[0] == found[1] == found[2]
+
+
+def test_classifier_shuffles_by_contract_only(spark):
+    from arrears.operators.classify import classify_contracts
+
+    sched, pays = _odd_portfolio()
+    out = classify_contracts(spark.createDataFrame(sched, SCHEDULE), spark.createDataFrame(pays, PAYMENTS), CALC)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    dealt = [x.split("hashpartitioning(")[1].split(", ")[0:2] for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert dealt and all(not any(c in "".join(x) for c in ("reference", "date")) for x in dealt), plan
