@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears.config import Cutoff
+from arrears.config import CONTRACT, Cutoff
 from arrears.operators.classify import attach_cases, case_labels, classify_contracts
 from arrears.operators.clean import sanitize_payments, sanitize_schedule
 from arrears.operators.reports import detail, summary
@@ -43,6 +43,14 @@ def run_tables(schedule: DataFrame, payments: DataFrame, as_of: _dt.date | None
     The cut-off is yesterday unless given; ``cutoff`` takes the other fields of :class:`Cutoff`.
     An empty schedule is an error; without payments everything due is unpaid.
     """
+    s, p, cfg = _prepared(schedule, payments, as_of, mode, **cutoff)
+    labels = classify_contracts(s, p, cfg.as_of, cfg.contract_keys) if cases else None
+    sums = summary(detail(s, p, cfg, MODES[mode], with_contract_max=False), MODES[mode], keys=cfg.contract_keys)
+    return _detail(s, p, cfg, mode, labels), attach_cases(sums, labels, keys=cfg.contract_keys) if cases else sums
+
+
+def _prepared(schedule: DataFrame, payments: DataFrame, as_of: _dt.date | None, mode: str, **cutoff) -> tuple[DataFrame, DataFrame, Cutoff]:
+    """Sanitised tables and the cut-off of a run."""
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; expected one of {sorted(MODES)}")
     cfg = Cutoff(as_of=as_of or _dt.date.today() - _dt.timedelta(days=1), **cutoff)
@@ -54,11 +62,11 @@ def run_tables(schedule: DataFrame, payments: DataFrame, as_of: _dt.date | None
         for k in cfg.contract_keys:
             if k not in payments.columns:
                 payments = payments.withColumn(k, F.lit(None).cast("string"))
-    s, p = sanitize_schedule(schedule), sanitize_payments(payments)
-    labels = classify_contracts(s, p, cfg.as_of, cfg.contract_keys) if cases else None
-    d = detail(s, p, cfg, MODES[mode], per_contract=case_labels(labels, keys=cfg.contract_keys) if cases else None)
-    sums = summary(detail(s, p, cfg, MODES[mode], with_contract_max=False), MODES[mode], keys=cfg.contract_keys)
-    return d, attach_cases(sums, labels, keys=cfg.contract_keys) if cases else sums
+    return sanitize_schedule(schedule), sanitize_payments(payments), cfg
+
+
+def _detail(s: DataFrame, p: DataFrame, cfg: Cutoff, mode: str, labels: DataFrame | None) -> DataFrame:
+    return detail(s, p, cfg, MODES[mode], per_contract=None if labels is None else case_labels(labels, keys=cfg.contract_keys))
 
 
 def run_detail_summary(spark: SparkSession, schedule: str | Mapping[str, str], payments: str | Mapping[str, str], output: str,
@@ -66,13 +74,27 @@ def run_detail_summary(spark: SparkSession, schedule: str | Mapping[str, str], p
                        mode: str = "both", cases: bool = False, fmt: str = "parquet", **cutoff) -> None:
     """Read both tables (of one company, where given), run, and write ``detail`` and ``summary`` below ``output``.
 
-    The summary is written in order of its first mode's worst lateness.
+    The summary is written in order of its first mode's worst lateness.  With Parquet it is reduced from the detail as
+    written, so the allocation runs once.
     """
     s, p = read_source(spark, schedule), read_source(spark, payments)
     if company_code is not None:
         s = s.where(F.col("company_code") == F.lit(company_code))
     if company_id is not None:
         p = p.where(F.col("company_id") == F.lit(company_id))
-    d, sums = run_tables(s, p, as_of, mode, cases, **cutoff)
-    worst: Sequence = [F.col(f"{MODES[mode][0]}_dpd_max").desc_nulls_last(), *[F.col(k) for k in cutoff.get("contract_keys", ("borrower_contract_id",))]]
-    export_two_part(d, sums.orderBy(*worst), output, fmt)
+    keys = list(cutoff.get("contract_keys", (CONTRACT,)))
+    worst: Sequence = [F.col(f"{MODES.get(mode, ('',))[0]}_dpd_max").desc_nulls_last(), *[F.col(k) for k in keys]]
+    if fmt != "parquet":  # text has no types to read back
+        d, sums = run_tables(s, p, as_of, mode, cases, **cutoff)
+        export_two_part(d, sums.orderBy(*worst), output, fmt)
+        return
+    s, p, cfg = _prepared(s, p, as_of, mode, **cutoff)
+    labels = classify_contracts(s, p, cfg.as_of, cfg.contract_keys) if cases else None
+
+    def reduced(written: DataFrame) -> DataFrame:
+        sums = summary(written, MODES[mode], keys=keys)
+        if cases:
+            sums = sums.join(written.groupBy(*keys).agg(F.max("case").alias("case")), keys, "left")
+        return sums.orderBy(*worst)
+
+    export_two_part(_detail(s, p, cfg, mode, labels), reduced, output, fmt)

@@ -163,3 +163,20 @@ def test_classifier_shuffles_by_contract_only(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     dealt = [x.split("hashpartitioning(")[1].split(", ")[0:2] for x in plan.splitlines() if "Exchange hashpartitioning" in x]
     assert dealt and all(not any(c in "".join(x) for c in ("reference", "date")) for x in dealt), plan
+
+
+def test_export_allocates_once(spark, tmp_path, monkeypatch):
+    """The summary is reduced from the written detail, and is what run_tables gives."""
+    from arrears.plans import run
+
+    sched, pays = _odd_portfolio()
+    s, p = spark.createDataFrame(sched, SCHEDULE), spark.createDataFrame(pays, PAYMENTS)
+    s.write.parquet(f"{tmp_path}/s.parquet")
+    p.write.parquet(f"{tmp_path}/p.parquet")
+    want = [x.collect() for x in run.run_tables(s, p, dt.date(2029, 12, 1), cases=True)]
+    calls, made = [], run.detail
+    monkeypatch.setattr(run, "detail", lambda *a, **k: calls.append(1) or made(*a, **k))
+    run.run_detail_summary(spark, f"{tmp_path}/s.parquet", f"{tmp_path}/p.parquet", f"{tmp_path}/out", as_of=dt.date(2029, 12, 1), cases=True)
+    assert len(calls) == 1
+    for name, rows in zip(("detail", "summary"), want):
+        assert sorted(map(str, spark.read.parquet(f"{tmp_path}/out/{name}").collect())) == sorted(map(str, rows))
